@@ -1,6 +1,7 @@
-"""Physical quantities as column expressions, the same on batch and stream.
+"""Physical quantities, the same on batch and stream.
 
-The expressions are not rounded yet; ``with_rounded`` stores them with the digits given here.
+Arguments are column names or SQL expressions.  Results are not rounded yet; ``with_rounded``
+stores them with the digits given here.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ RADIUS_DIGITS = 1
 GRAVITY_DIGITS = 3
 PERCENT_DIGITS = 2
 PPM_DIGITS = 1
-LIVE_TEMPERATURE_DIGITS = 2
 
 
 @dataclass(frozen=True)
@@ -29,109 +29,100 @@ class Precision:
     """Digits of the stellar flux and the smallest squared distance used for radiation."""
 
     flux_digits: int
-    min_distance_sq: float
+    min_distance_sq: str
 
 
-CATALOG = Precision(flux_digits=4, min_distance_sq=1e-4)
-TELEMETRY = Precision(flux_digits=6, min_distance_sq=1e-6)
+CATALOG = Precision(flux_digits=4, min_distance_sq="1e-4D")
+TELEMETRY = Precision(flux_digits=6, min_distance_sq="1e-6D")
 
 
-def equilibrium_temperature(luminosity: Column, distance_au: Column, albedo: Column) -> Column:
+def equilibrium_temperature(luminosity: str, distance_au: str, albedo: str) -> Column:
     """Black-body temperature in Celsius; 9999 without a positive distance."""
     kelvin = (
-        F.lit(278.0)
-        * F.pow(luminosity, F.lit(0.25))
-        * F.pow(F.lit(1.0) - albedo, F.lit(0.25))
-        / F.sqrt(distance_au)
+        f"278D * pow({luminosity}, 0.25D) * pow(1D - {albedo}, 0.25D) / sqrt({distance_au})"
+    )
+    return F.expr(
+        f"CASE WHEN {distance_au} <= 0 THEN 9999D ELSE {kelvin} - {ZERO_CELSIUS_K}D END"
     )
-    return F.when(distance_au <= 0, F.lit(9999.0)).otherwise(kelvin - F.lit(ZERO_CELSIUS_K))
 
 
-def hz_inner(luminosity: Column) -> Column:
-    return F.lit(0.75) * F.sqrt(luminosity)
+def hz_inner(luminosity: str) -> Column:
+    return F.expr(f"0.75D * sqrt({luminosity})")
 
 
-def hz_outer(luminosity: Column) -> Column:
-    return F.lit(1.77) * F.sqrt(luminosity)
+def hz_outer(luminosity: str) -> Column:
+    return F.expr(f"1.77D * sqrt({luminosity})")
 
 
-def stellar_flux(luminosity: Column, distance_au: Column) -> Column:
+def stellar_flux(luminosity: str, distance_au: str) -> Column:
     """Flux relative to Earth's; 99999 without a positive distance."""
-    return F.when(distance_au <= 0, F.lit(99999.0)).otherwise(
-        luminosity / (distance_au * distance_au)
-    )
-
-
-def pressure_factor(n2_pct: Column) -> Column:
-    """Nitrogen relative to Earth's 78 percent, at least 0.01 (also where it is unknown)."""
-    return F.greatest(n2_pct / F.lit(78.0), F.lit(0.01))
+    flux = f"{luminosity} / ({distance_au} * {distance_au})"
+    return F.expr(f"CASE WHEN {distance_au} <= 0 THEN 99999D ELSE {flux} END")
 
 
 def surface_radiation(
-    luminosity: Column,
-    distance_au: Column,
-    xuv_factor: Column,
-    magnetic: Column,
-    n2_pct: Column,
+    luminosity: str,
+    distance_au: str,
+    xuv_factor: str,
+    magnetic: str,
+    n2_pct: str,
     precision: Precision = CATALOG,
 ) -> Column:
     """mSv/h at the surface; a magnetic field keeps nine tenths away, nitrogen the rest.
 
-    ``greatest`` skips NULL, so unknown inputs are ruled out first.
+    Nitrogen counts relative to Earth's 78 percent, at least 0.01.  ``greatest`` skips NULL, so
+    unknown inputs are ruled out first.
     """
-    known = distance_au.isNotNull() & luminosity.isNotNull() & n2_pct.isNotNull()
-    flux = luminosity / F.greatest(
-        distance_au * distance_au, F.lit(precision.min_distance_sq)
-    )
-    shield = F.when(magnetic, F.lit(0.1)).otherwise(F.lit(1.0))
-    dose = flux * xuv_factor * F.lit(0.0001) * shield / pressure_factor(n2_pct)
-    return F.when(known, F.greatest(dose, F.lit(0.00001)))
+    known = f"{distance_au} IS NOT NULL AND {luminosity} IS NOT NULL AND {n2_pct} IS NOT NULL"
+    flux = f"{luminosity} / greatest({distance_au} * {distance_au}, {precision.min_distance_sq})"
+    shield = f"CASE WHEN {magnetic} THEN 0.1D ELSE 1D END"
+    pressure = f"greatest({n2_pct} / 78D, 0.01D)"
+    dose = f"{flux} * {xuv_factor} * 0.0001D * {shield} / {pressure}"
+    return F.expr(f"CASE WHEN {known} THEN greatest({dose}, 0.00001D) END")
 
 
-def tidally_locked(distance_au: Column, tidal_lock_au: Column) -> Column:
-    return distance_au <= tidal_lock_au
+def tidally_locked(distance_au: str, tidal_lock_au: str) -> Column:
+    return F.expr(f"{distance_au} <= {tidal_lock_au}")
 
 
-def retains_atmosphere(gravity_g: Column, temperature_c: Column) -> Column:
-    lost = (gravity_g < 0.4) | ((temperature_c > 150) & (gravity_g < 0.8))
-    return ~lost
+def retains_atmosphere(gravity_g: str, temperature_c: str) -> Column:
+    return F.expr(f"NOT ({gravity_g} < 0.4D OR ({temperature_c} > 150 AND {gravity_g} < 0.8D))")
 
 
-def in_habitable_zone(distance_au: Column, inner_au: Column, outer_au: Column) -> Column:
-    return distance_au.between(inner_au, outer_au)
+def in_habitable_zone(distance_au: str, inner_au: str, outer_au: str) -> Column:
+    return F.expr(f"{distance_au} BETWEEN {inner_au} AND {outer_au}")
 
 
-def expected_temperature(base_c: Column, tick: Column) -> Column:
+def expected_temperature(base_c: str, tick: str) -> Column:
     """Reference temperature plus the day cycle of five degrees."""
-    return base_c + F.sin(tick * F.lit(0.1)) * F.lit(5.0)
+    return F.expr(f"{base_c} + sin({tick} * 0.1D) * 5D")
 
 
-def celsius(kelvin: Column) -> Column:
+def celsius(kelvin: str) -> Column:
     """Kelvin to Celsius; a missing value counts as 300 K."""
-    return F.coalesce(kelvin, F.lit(300.0)) - F.lit(ZERO_CELSIUS_K)
+    return F.expr(f"coalesce({kelvin}, 300D) - {ZERO_CELSIUS_K}D")
 
 
-def radius_km(earth_radii: Column) -> Column:
-    return earth_radii * F.lit(EARTH_RADIUS_KM)
+def radius_km(earth_radii: str) -> Column:
+    return F.expr(f"{earth_radii} * {EARTH_RADIUS_KM}D")
 
 
-def surface_gravity(earth_masses: Column, earth_radii: Column) -> Column:
-    return earth_masses / (earth_radii * earth_radii)
+def surface_gravity(earth_masses: str, earth_radii: str) -> Column:
+    return F.expr(f"{earth_masses} / nullif({earth_radii} * {earth_radii}, 0D)")
 
 
-def size_class(earth_radii: Column, earth_masses: Column) -> Column:
-    return (
-        F.when((earth_radii < 1.5) & (earth_masses < 2), "terrestrial")
-        .when((earth_radii < 2.5) & (earth_masses < 10), "super_earth")
-        .when(earth_radii < 6, "gas")
-        .otherwise("gas_giant")
+def size_class(earth_radii: str, earth_masses: str) -> Column:
+    return F.expr(
+        f"CASE WHEN {earth_radii} < 1.5D AND {earth_masses} < 2 THEN 'terrestrial'"
+        f" WHEN {earth_radii} < 2.5D AND {earth_masses} < 10 THEN 'super_earth'"
+        f" WHEN {earth_radii} < 6 THEN 'gas' ELSE 'gas_giant' END"
     )
 
 
-def measured_percent(percent: Column) -> Column:
+def measured_percent(percent: str) -> Column:
     """A gas share as sensors report it: not negative."""
-    return F.when(percent < 0, F.lit(0.0)).otherwise(percent)
+    return F.expr(f"if({percent} < 0, 0D, {percent})")
 
 
-def percent_to_ppm(percent: Column) -> Column:
-    return measured_percent(percent) * F.lit(10000.0)
+def percent_to_ppm(percent: str) -> Column:
+    return measured_percent(percent) * 10000.0

@@ -5,44 +5,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SPLITTER = 134217729.0  # 2**27 + 1 cuts a double into two halves whose products are exact
+_SPLITTER = "134217729D"  # 2**27 + 1 cuts a double into two halves whose products are exact
+_ALL_WHOLE = "4503599627370496D"  # from 2**52 on, a double has no fraction left to round
 
 
-def round_exact(x: Column, digits: int) -> Column:
-    """``x`` rounded to ``digits`` decimals, half to even on the exact binary value.
+def with_rounded(df: DataFrame, quantities: dict[str, tuple[Column, int]]) -> DataFrame:
+    """Add columns given as name -> (expression, digits), rounded half to even.
 
     ``F.round`` rounds the shortest decimal text of a double, so 726.85 (slightly above the tie
     in binary) and 226.85 (slightly below) both go up.  Stored catalogues were rounded on the
     binary value; kelvin to Celsius puts every whole kelvin next to such a tie, so the choice is
-    visible in the data.  The product error of ``x * 10**digits`` decides the ties.  It is plain
-    double arithmetic, which also spares the decimal objects that ``F.round`` makes per row.
-    """
-    scale = 10.0**digits
-    scaled = x * F.lit(scale)
-    high = x * F.lit(_SPLITTER) - (x * F.lit(_SPLITTER) - x)
-    error = (high * F.lit(scale) - scaled) + (x - high) * F.lit(scale)
-    nearest = F.rint(scaled)
-    off = scaled - nearest
-    step = (
-        F.when((off == 0.5) & (error > 0.0), F.lit(1.0))
-        .when((off == -0.5) & (error < 0.0), F.lit(-1.0))
-        .otherwise(F.lit(0.0))
-    )
-    # From 2**52 on, a double has no fraction left to round.
-    return F.when(F.abs(scaled) >= 4503599627370496.0, x).otherwise((nearest + step) / scale)
-
+    visible in the data.  Here the exact error of ``x * 10**digits`` decides the ties.
 
-def with_rounded(df: DataFrame, quantities: dict[str, tuple[Column, int]]) -> DataFrame:
-    """Add columns given as name -> (expression, digits).
-
-    The expressions are computed one projection before they are rounded: rounding names its
-    argument some twenty times, which a column reference can afford and an expression cannot.
+    The steps are plain double arithmetic, so no row makes a decimal object.  NULL travels through
+    them as NaN, which needs no checks and keeps the generated method small enough for the JVM to
+    compile; a NaN result is NULL again at the end.
     """
-    raw = df.withColumns({name: column for name, (column, _) in quantities.items()})
-    return raw.withColumns(
-        {name: round_exact(F.col(name), digits) for name, (_, digits) in quantities.items()}
+    scale = {name: f"{10**digits}D" for name, (_, digits) in quantities.items()}
+    steps = [
+        {"{x}": None},
+        {"_{x}_scaled": "{x} * {s}", "_{x}_high": "{x} * {k} - ({x} * {k} - {x})"},
+        {
+            "_{x}_nearest": "rint(_{x}_scaled)",
+            "_{x}_error": "(_{x}_high * {s} - _{x}_scaled) + ({x} - _{x}_high) * {s}",
+        },
+        {"_{x}_off": "_{x}_scaled - _{x}_nearest"},
+        {
+            "{x}": "nanvl(if(abs(_{x}_scaled) >= {whole}, {x}, (_{x}_nearest + if(abs(_{x}_off)"
+            " = 0.5D AND _{x}_off * _{x}_error > 0, 2D * _{x}_off, 0D)) / {s}), NULL)"
+        },
+    ]
+    for step in steps:
+        added = {}
+        for x, (column, _) in quantities.items():
+            names = {"x": x, "s": scale[x], "k": _SPLITTER, "whole": _ALL_WHOLE}
+            for name, sql in step.items():
+                known = F.coalesce(column, F.lit(float("nan")))
+                added[name.format(**names)] = F.expr(sql.format(**names)) if sql else known
+        df = df.withColumns(added)
+    return df.drop(
+        *[f"_{x}_{part}" for x in quantities for part in "scaled high nearest error off".split()]
     )
-
-
-def clamp(x: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), x))

@@ -1,11 +1,11 @@
-"""Rule sets are ordered data: (code, SQL predicate, result).  Here they become columns.
+"""Rule sets are ordered data: (SQL predicate, result).  Here they become columns.
 
 A predicate that is NULL does not fire, so a missing measure never triggers a rule.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,24 +13,21 @@ from pyspark.sql import functions as F
 Rules = Sequence[tuple[str, object]]
 
 
-def first_match(rules: Rules, default: object = None) -> Column:
-    """The result of the first predicate that holds."""
-    (predicate, result), *rest = rules
-    chain = F.when(F.expr(predicate), F.lit(result))
-    for predicate, result in rest:
-        chain = chain.when(F.expr(predicate), F.lit(result))
-    return chain.otherwise(F.lit(default))
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    return f"'{value}'" if isinstance(value, str) else f"{value!r}D"
 
 
-def any_match(rules: Rules) -> Column:
-    return F.expr(" OR ".join(f"({predicate})" for predicate, _ in rules))
+def first_match_sql(rules: Rules, default: object = None) -> str:
+    """The result of the first predicate that holds, as a CASE expression."""
+    branches = " ".join(f"WHEN {predicate} THEN {_literal(result)}" for predicate, result in rules)
+    return f"CASE {branches} ELSE {_literal(default)} END"
 
 
-def matches(groups: Iterable[Rules]) -> list[Column]:
-    """One column per group: the code of its first matching rule, else NULL."""
-    return [first_match(rules) for rules in groups]
+def first_match(rules: Rules, default: object = None) -> Column:
+    return F.expr(first_match_sql(rules, default))
 
 
-def points(terms: Mapping[str, Rules]) -> dict[str, Column]:
-    """Points per term; a term without a match is worth nothing."""
-    return {term: first_match(bands, 0.0) for term, bands in terms.items()}
+def any_match_sql(rules: Rules) -> str:
+    return " OR ".join(f"({predicate})" for predicate, _ in rules)

@@ -14,29 +14,33 @@ SKETCH_GROUPS = 64
 
 
 def fits_broadcast(
-    table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+    table: DataFrame,
+    rows: int | None = None,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> bool:
     """Measure a table before it is broadcast: its rows, then the bytes of those rows.
 
     The row count of a parquet table comes from file footers; strings are measured only if the
     rows pass, so a table that is too large costs no scan.
     """
-    rows = table.count()
+    rows = table.count() if rows is None else rows
     if rows > max_rows:
         return False
     strings = [f.name for f in table.schema.fields if isinstance(f.dataType, StringType)]
     fixed = 8 * (len(table.columns) - len(strings)) * rows
     if not strings:
         return fixed <= max_bytes
-    widths = [F.coalesce(F.sum(F.octet_length(s)), F.lit(0)) for s in strings]
-    return fixed + sum(table.agg(*widths).first()) <= max_bytes
+    widths = " + ".join(f"coalesce(sum(octet_length({s})), 0)" for s in strings)
+    return fixed + table.agg(F.expr(widths)).first()[0] <= max_bytes
 
 
-def hot_keys(table: DataFrame, key: str, share: float = 1 / SALTS) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows: at most ``1 / share`` of them.
+def hot_keys(table: DataFrame, key: str, share: float = 1 / SALTS) -> tuple[list, bool]:
+    """Keys that hold at least ``share`` of all rows, and whether rows without a key do.
 
-    Frequent-item sketches, merged in two steps, read the key column only and keep a bounded
-    state; a key above the share cannot be missed, because the sketch error is far below it.
+    At most ``1 / share`` keys can.  Frequent-item sketches, merged in two steps, read the key
+    column only and keep a bounded state; a key above the share cannot be missed, because the
+    sketch error is far below it.
     """
     sketched = (
         table.select(key)
@@ -44,18 +48,22 @@ def hot_keys(table: DataFrame, key: str, share: float = 1 / SALTS) -> DataFrame:
         .agg(
             F.expr(f"approx_top_k_accumulate({key}, {SKETCH_ITEMS})").alias("sketch"),
             F.count(key).alias("n"),
+            F.count("*").alias("n_rows"),
         )
         .agg(
             F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
             F.sum("n").alias("n"),
+            F.sum("n_rows").alias("n_rows"),
         )
+        .filter("n_rows > 0")
     )
     top = F.expr(f"approx_top_k_estimate(sketch, {round(1 / share)})")
-    return (
-        sketched.select(F.explode(top).alias("top"), "n")
-        .filter(F.col("top.count") >= F.col("n") * share)
-        .select(F.col("top.item").alias(key))
-    )
+    row = sketched.select(top.alias("top"), "n", "n_rows").first()
+    if row is None:
+        return [], False
+    limit = share * row["n_rows"]
+    hot = [item["item"] for item in row["top"] if item["item"] is not None and item["count"] >= limit]
+    return hot, row["n_rows"] - row["n"] >= limit
 
 
 def salted_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -63,21 +71,21 @@ def salted_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "inner")
 
     Rows of a hot key take their map task's number as salt, so a retried task repeats the same
     choice, and equal rows from different files still part.  The lookup row of a hot key is
-    copied once per salt; all other rows move exactly once.  Rows without a key are spread too.
+    copied once per salt; all other rows move exactly once.  Rows without a key, which only a
+    left join keeps, are spread in the same way.  Without hot keys this is a plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
-    hot = F.broadcast(hot_keys(big, key).withColumn("_hot", F.lit(True)))
-    spread = F.col("_hot") | F.col(key).isNull()
+    hot, hot_null = hot_keys(big, key)
+    spread = F.col(key).isin(hot) if hot else F.lit(False)
+    if hot_null and how == "left":
+        spread = spread | F.col(key).isNull()
+    elif not hot:
+        return big.join(lookup, key, how)
     salt = F.when(spread, F.spark_partition_id() % SALTS).otherwise(0)
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    left = big.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
-    right = (
-        lookup.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    )
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    copies = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    copied = lookup.withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
+    return big.withColumn("_salt", salt).join(copied, [key, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
@@ -86,14 +94,18 @@ def lookup_join(
     key: str,
     how: str = "inner",
     measured: DataFrame | None = None,
+    rows: int | None = None,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join to a lookup table: broadcast if it was measured to be small, else a salted shuffle.
 
-    ``measured`` is a cheaper table with the same rows (such as the one ``lookup`` derives from).
+    ``measured`` is a cheaper table with the same rows (such as the one ``lookup`` derives from);
+    ``rows`` is its row count if that is known already.
     """
-    if fits_broadcast(lookup if measured is None else measured, max_rows):
+    if fits_broadcast(lookup if measured is None else measured, rows, max_rows):
         return big.join(F.broadcast(lookup), key, how)
+    if big.isStreaming:  # keys of a stream cannot be counted ahead; its batches are bounded
+        return big.join(lookup, key, how)
     return salted_join(big, lookup, key, how)
 
 
@@ -104,9 +116,8 @@ def with_defaults(
 
     For the literal dimensions only: they have at most eight rows by definition.
     """
-    columns = [dimension[key], *[dimension[c] for c in defaults]]
-    joined = table.join(F.broadcast(dimension.select(*columns)), key, "left")
-    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+    joined = table.join(F.broadcast(dimension.select(key, *defaults)), key, "left")
+    return joined.na.fill(defaults)
 
 
 def key_hash(key: str) -> Column:

@@ -81,8 +81,8 @@ def with_planet_type(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 def _zone() -> dict[str, tuple[Column, int]]:
     return {
-        "hz_inner_au": (physics.hz_inner(F.col("luminosity")), physics.ZONE_DIGITS),
-        "hz_outer_au": (physics.hz_outer(F.col("luminosity")), physics.ZONE_DIGITS),
+        "hz_inner_au": (physics.hz_inner("luminosity"), physics.ZONE_DIGITS),
+        "hz_outer_au": (physics.hz_outer("luminosity"), physics.ZONE_DIGITS),
     }
 
 
@@ -108,14 +108,11 @@ def with_flag_twins(df: DataFrame) -> DataFrame:
 
 def with_physics(df: DataFrame) -> DataFrame:
     """Derived quantities of planets that carry the columns of both dimensions."""
-    c = F.col
-    temperature = physics.equilibrium_temperature(
-        c("luminosity"), c("distance_au"), c("base_albedo")
-    )
+    temperature = physics.equilibrium_temperature("luminosity", "distance_au", "base_albedo")
     radiation = physics.surface_radiation(
-        c("luminosity"), c("distance_au"), c("xuv_factor"), c("magnetic_field"), c("atmosphere_n2")
+        "luminosity", "distance_au", "xuv_factor", "magnetic_field", "atmosphere_n2"
     )
-    flux = physics.stellar_flux(c("luminosity"), c("distance_au"))
+    flux = physics.stellar_flux("luminosity", "distance_au")
     quantities = {
         "avg_temp_celsius": (temperature, physics.TEMPERATURE_DIGITS),
         "stellar_flux": (flux, physics.CATALOG.flux_digits),
@@ -123,13 +120,11 @@ def with_physics(df: DataFrame) -> DataFrame:
     }
     return with_rounded(df, quantities | _zone()).withColumns(
         {
-            "tidally_locked": physics.tidally_locked(c("distance_au"), c("tidal_lock_au")),
+            "tidally_locked": physics.tidally_locked("distance_au", "tidal_lock_au"),
             "in_habitable_zone": physics.in_habitable_zone(
-                c("distance_au"), c("hz_inner_au"), c("hz_outer_au")
-            ),
-            "retains_atmosphere": physics.retains_atmosphere(
-                c("gravity_g"), c("avg_temp_celsius")
+                "distance_au", "hz_inner_au", "hz_outer_au"
             ),
+            "retains_atmosphere": physics.retains_atmosphere("gravity_g", "avg_temp_celsius"),
         }
     )
 
@@ -137,7 +132,7 @@ def with_physics(df: DataFrame) -> DataFrame:
 def with_label(df: DataFrame) -> DataFrame:
     """Label and deciding rule; the rules run once."""
     return df.withColumn("label_rule", habitability.label_reason()).withColumn(
-        "label", habitability.label_of(F.col("label_rule"))
+        "label", habitability.label_of("label_rule")
     )
 
 
@@ -205,28 +200,23 @@ def default_parameter_sets(archive: DataFrame) -> DataFrame:
 
 def archive_planets(archive: DataFrame) -> DataFrame:
     """Archive rows in the units and columns of source planets."""
-    c = F.col
-    radius = F.coalesce(c("pl_rade"), F.lit(1.0))
-    mass = F.coalesce(c("pl_bmasse"), F.lit(1.0))
-    mapped = archive.select(
-        c("pl_name").alias("name"),
-        c("hostname").alias("system_name"),
-        physics.size_class(radius, mass).alias("planet_type"),
-        F.coalesce("pl_orbsmax", F.lit(1.0)).alias("distance_au"),
-        radius.alias("earth_radii"),
-        mass.alias("mass_earth"),
+    mapped = archive.selectExpr(
+        "pl_name AS name",
+        "hostname AS system_name",
+        "coalesce(pl_orbsmax, 1D) AS distance_au",
+        "coalesce(pl_rade, 1D) AS earth_radii",
+        "coalesce(pl_bmasse, 1D) AS mass_earth",
         "pl_eqt",
-        *[F.lit(v).alias(k) for k, v in ARCHIVE_CONSTANTS.items()],
-    )
+    ).withColumns({k: F.lit(v) for k, v in ARCHIVE_CONSTANTS.items()})
     converted = with_rounded(
-        mapped,
+        mapped.withColumn("planet_type", physics.size_class("earth_radii", "mass_earth")),
         {
-            "radius_km": (physics.radius_km(c("earth_radii")), physics.RADIUS_DIGITS),
+            "radius_km": (physics.radius_km("earth_radii"), physics.RADIUS_DIGITS),
             "gravity_g": (
-                physics.surface_gravity(c("mass_earth"), c("earth_radii")),
+                physics.surface_gravity("mass_earth", "earth_radii"),
                 physics.GRAVITY_DIGITS,
             ),
-            "avg_temp_celsius": (physics.celsius(c("pl_eqt")), physics.TEMPERATURE_DIGITS),
+            "avg_temp_celsius": (physics.celsius("pl_eqt"), physics.TEMPERATURE_DIGITS),
         },
     )
     return _in_schema_order(converted, schemas.SOURCE_PLANETS)

@@ -288,7 +288,7 @@ def hz_interval_join(spark, sf_dir):
         planets, stars, "system_name", measured=testbed.table(spark, sf_dir, "supplier")
     )
     return joined.filter(
-        physics.in_habitable_zone(F.col("distance_au"), F.col("hz_inner_au"), F.col("hz_outer_au"))
+        physics.in_habitable_zone("distance_au", "hz_inner_au", "hz_outer_au")
     )
 
 
@@ -348,7 +348,7 @@ def size_class(spark, sf_dir):
         "pl_name",
         "pl_rade",
         "pl_bmasse",
-        physics.size_class(F.col("pl_rade"), F.col("pl_bmasse")).alias("planet_type"),
+        physics.size_class("pl_rade", "pl_bmasse").alias("planet_type"),
     )
 
 
@@ -385,7 +385,7 @@ def decode_labels(spark, sf_dir):
     index = F.when(F.col("p_size") % 9 != 0, (F.col("p_size") % 5).cast("double"))
     parts = testbed.table(spark, sf_dir, "part").select("p_partkey", index.alias("prediction"))
     return parts.withColumn(
-        "predicted_label", habitability.decode_label(F.col("prediction"), list(vocab.LABELS))
+        "predicted_label", habitability.decode_label("prediction", list(vocab.LABELS))
     )
 
 

@@ -22,9 +22,11 @@ CONSOLE_COLUMNS = (
 
 def with_score(readings: DataFrame) -> DataFrame:
     """Add score and class."""
-    return readings.withColumn(
+    known = habitability.known_measures()
+    scored = readings.withColumns(known).withColumn(
         "habitability_score", habitability.habitability_score()
-    ).withColumn("habitability_class", habitability.habitability_class())
+    )
+    return scored.drop(*known).withColumn("habitability_class", habitability.habitability_class())
 
 
 def enrich(readings: DataFrame) -> DataFrame:
@@ -36,13 +38,16 @@ def enrich(readings: DataFrame) -> DataFrame:
 
 def score_breakdown(readings: DataFrame) -> DataFrame:
     """Add the points of every term, the reason of an elimination, and the score made of them."""
-    terms = habitability.score_points()
-    named = {f"pts_{term}": column for term, column in terms.items()}
-    return readings.withColumns(
-        named | {"eliminated_by": habitability.elimination()}
-    ).withColumn(
-        "habitability_score",
-        habitability.score_from([F.col(n) for n in named], F.col("eliminated_by").isNotNull()),
+    known = habitability.known_measures()
+    named = {f"pts_{term}": column for term, column in habitability.score_points().items()}
+    return (
+        readings.withColumns(known)
+        .withColumns(named | {"eliminated_by": habitability.elimination()})
+        .drop(*known)
+        .withColumn(
+            "habitability_score",
+            habitability.score_from(list(named), "eliminated_by IS NOT NULL"),
+        )
     )
 
 
@@ -75,17 +80,17 @@ def with_stellar_physics(spark: SparkSession, readings: DataFrame) -> DataFrame:
     The results are ``flux_now``, ``radiation_now`` and ``locked_now``; missing inputs take the
     planet defaults.
     """
-    distance = F.coalesce("distance_au", F.lit(1.0))
+    distance = "coalesce(distance_au, 1D)"
     radiation = physics.surface_radiation(
-        F.col("luminosity"),
+        "luminosity",
         distance,
-        F.col("xuv_factor"),
-        F.coalesce(F.col("magnetic_field_int") == 1, F.lit(False)),
-        F.coalesce("atmosphere_n2", F.lit(78.0)),
+        "xuv_factor",
+        "coalesce(magnetic_field_int, 0) = 1",
+        "coalesce(atmosphere_n2, 78D)",
         physics.TELEMETRY,
     )
-    flux = physics.stellar_flux(F.col("luminosity"), distance)
-    locked = physics.tidally_locked(distance, F.col("tidal_lock_au")).cast("int")
+    flux = physics.stellar_flux("luminosity", distance)
+    locked = physics.tidally_locked(distance, "tidal_lock_au").cast("int")
     quantities = {
         "flux_now": (flux, physics.TELEMETRY.flux_digits),
         "radiation_now": (radiation, physics.RADIATION_DIGITS),
@@ -105,18 +110,18 @@ def with_sensor_ranges(spark: SparkSession, readings: DataFrame) -> DataFrame:
     fallback = [float(x) for pair in dims.SENSOR_RANGES["unknown"] for x in pair]
     ranged = with_defaults(readings, profiles, "planet_type", dict(zip(bounds, fallback)))
     flags = {
-        f"{sensor}_out": F.coalesce(
-            ~F.col(column).between(F.col(f"{sensor}_lo"), F.col(f"{sensor}_hi")), F.lit(False)
-        ).cast("int")
+        f"{sensor}_out": F.expr(
+            f"if({column} NOT BETWEEN {sensor}_lo AND {sensor}_hi, 1, 0)"
+        )
         for sensor, column in dims.SENSORS.items()
     }
-    counted = sum((F.col(flag) for flag in flags), start=F.lit(0))
+    counted = F.expr(" + ".join(flags))
     return ranged.withColumns(flags).withColumn("sensors_out", counted).drop(*bounds)
 
 
 def with_temperature_residual(readings: DataFrame) -> DataFrame:
     """Expected temperature of the day cycle and how far the reading is from it."""
-    expected = physics.expected_temperature(F.col("avg_temp_celsius"), F.col("tick"))
+    expected = physics.expected_temperature("avg_temp_celsius", "tick")
     return readings.withColumn("expected_temp_c", expected).withColumn(
         "temp_residual_c", F.col("temperature_c") - F.col("expected_temp_c")
     )
@@ -125,10 +130,10 @@ def with_temperature_residual(readings: DataFrame) -> DataFrame:
 def with_composition(readings: DataFrame) -> DataFrame:
     """Gas shares as sensors report them, with the oxygen alias and carbon dioxide in ppm."""
     shares = {
-        name: (physics.measured_percent(F.col(name)), physics.PERCENT_DIGITS)
+        name: (physics.measured_percent(name), physics.PERCENT_DIGITS)
         for name in ("atmosphere_o2", "atmosphere_co2", "atmosphere_n2")
     }
-    ppm = physics.percent_to_ppm(F.col("atmosphere_co2"))
+    ppm = physics.percent_to_ppm("atmosphere_co2")
     return with_rounded(readings, {"co2_ppm": (ppm, physics.PPM_DIGITS)} | shares).withColumn(
         "o2_pct", F.col("atmosphere_o2")
     )

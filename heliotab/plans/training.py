@@ -139,7 +139,7 @@ def forest_of(model: PipelineModel) -> RandomForestClassificationModel:
 def with_predicted_label(
     model: PipelineModel, predictions: DataFrame, output: str = "predicted_label"
 ) -> DataFrame:
-    return predictions.withColumn(output, decode_label(F.col("prediction"), label_order(model)))
+    return predictions.withColumn(output, decode_label("prediction", label_order(model)))
 
 
 def score(model: PipelineModel, planets: DataFrame) -> DataFrame:

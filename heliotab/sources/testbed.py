@@ -8,49 +8,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import physics
-from ..functions.rounding import with_rounded
 from ..operators.joins import lookup_join
 from ..plans import catalog
 from . import dims
 from .wire import iso_timestamp
 
-
-DISTANCE_DIGITS = 6
+# The planet type of a part by p_size modulo 12.
+_PLANET_TYPES_BY_SIZE = (
+    "'terrestrial', 'terrestrial', 'terrestrial', 'terrestrial', 'ocean', 'ocean', "
+    "'super_earth', 'super_earth', 'gas', 'gas_giant', 'ice_dwarf', 'lava'"
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _planet_size_type():
-    kind = F.col("p_size") % 12
-    return (
-        F.when(kind < 4, "terrestrial")
-        .when(kind < 6, "ocean")
-        .when(kind < 8, "super_earth")
-        .when(kind == 8, "gas")
-        .when(kind == 9, "gas_giant")
-        .when(kind == 10, "ice_dwarf")
-        .otherwise("lava")
-    )
-
-
 def systems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """system_id, system_name, star_type, star_age_gy."""
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    kind = F.col("s_suppkey") % 10
-    star = F.when(kind < 7, kind).when(kind == 7, 2).when(kind == 8, 1).otherwise(6)
     types = dims.star_types(spark).select("star_idx", "star_type")
     return (
-        supplier.withColumn("star_idx", star.cast("int"))
-        .join(F.broadcast(types), "star_idx")
-        .select(
-            F.col("s_suppkey").alias("system_id"),
-            F.col("s_name").alias("system_name"),
-            "star_type",
-            (((F.col("s_suppkey") * 37 + 11) % 130).cast("double") / 10).alias("star_age_gy"),
+        table(spark, sf_dir, "supplier")
+        .selectExpr(
+            "s_suppkey AS system_id",
+            "s_name AS system_name",
+            "CAST((s_suppkey * 37 + 11) % 130 AS DOUBLE) / 10 AS star_age_gy",
+            "CAST(CASE WHEN s_suppkey % 10 < 7 THEN s_suppkey % 10 WHEN s_suppkey % 10 = 7 THEN 2"
+            " WHEN s_suppkey % 10 = 8 THEN 1 ELSE 6 END AS INT) AS star_idx",
         )
+        .join(F.broadcast(types), "star_idx")
+        .select("system_id", "system_name", "star_type", "star_age_gy")
     )
 
 
@@ -58,39 +45,32 @@ def planets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measured planets with their system's columns, before any physics."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     n_systems = supplier.count()
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
-    key = F.col("p_partkey")
-
-    def cycle(factor: int, modulus: int, start: int = 0):
-        return (F.lit(start) + (key * factor) % modulus).cast("double")
-
     star = dims.star_types(spark).select("star_type", "luminosity")
     hosts = systems(spark, sf_dir).join(F.broadcast(star), "star_type")
-    spacing = F.when(key % 3 == 1, F.lit(0.803) + cycle(17, 16) / 100).otherwise(
-        F.lit(0.253) + cycle(17, 41) / 20
-    )
-    joined = lookup_join(
-        part.withColumn("system_id", key % n_systems), hosts, "system_id", measured=supplier
+    part = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "p_name", "p_size", f"p_partkey % {n_systems} AS system_id"
     )
-    distance = {"distance_au": (F.sqrt("luminosity") * spacing, DISTANCE_DIGITS)}
-    return with_rounded(joined, distance).select(
-        key.alias("planet_id"),
-        F.concat("p_name", F.lit(" "), key.cast("string")).alias("name"),
+    joined = lookup_join(part, hosts, "system_id", measured=supplier, rows=n_systems)
+    return joined.selectExpr(
+        "p_partkey AS planet_id",
+        "concat(p_name, ' ', CAST(p_partkey AS STRING)) AS name",
         "system_id",
         "system_name",
         "star_type",
         "star_age_gy",
-        _planet_size_type().alias("planet_type"),
-        "distance_au",
-        cycle(131, 9000, 2000).alias("radius_km"),
-        (cycle(19, 400, 3) / 100).alias("mass_earth"),
-        (cycle(13, 29, 2) / 10).alias("gravity_g"),
-        cycle(7, 33).alias("atmosphere_o2"),
-        cycle(11, 13).alias("atmosphere_co2"),
-        cycle(29, 70, 30).alias("atmosphere_n2"),
-        (key % 3 != 0).alias("has_water"),
-        (F.floor(key / 2) % 5 >= 1).alias("magnetic_field"),
-        (key % 36).cast("int").alias("moons"),
+        f"get(array({_PLANET_TYPES_BY_SIZE}), p_size % 12) AS planet_type",
+        "round(sqrt(luminosity) * CASE WHEN p_partkey % 3 = 1"
+        " THEN 0.803D + CAST((p_partkey * 17) % 16 AS DOUBLE) / 100"
+        " ELSE 0.253D + CAST((p_partkey * 17) % 41 AS DOUBLE) / 20 END, 6) AS distance_au",
+        "CAST(2000 + (p_partkey * 131) % 9000 AS DOUBLE) AS radius_km",
+        "CAST(3 + (p_partkey * 19) % 400 AS DOUBLE) / 100 AS mass_earth",
+        "CAST(2 + (p_partkey * 13) % 29 AS DOUBLE) / 10 AS gravity_g",
+        "CAST((p_partkey * 7) % 33 AS DOUBLE) AS atmosphere_o2",
+        "CAST((p_partkey * 11) % 13 AS DOUBLE) AS atmosphere_co2",
+        "CAST(30 + (p_partkey * 29) % 70 AS DOUBLE) AS atmosphere_n2",
+        "p_partkey % 3 <> 0 AS has_water",
+        "(p_partkey div 2) % 5 >= 1 AS magnetic_field",
+        "CAST(p_partkey % 36 AS INT) AS moons",
     )
 
 
@@ -101,62 +81,48 @@ def planets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per order line, keyed by (l_orderkey, l_linenumber), which can repeat."""
-    planet = planets(spark, sf_dir).select(
-        "planet_id", "name", "system_name", "star_type", "planet_type", "distance_au",
-        "mass_earth", "radius_km", "avg_temp_celsius", "gravity_g", "stellar_flux",
-        "surface_radiation_msv_h", "atmosphere_o2", "atmosphere_co2", "atmosphere_n2",
-        "has_water_int", "magnetic_field_int", "in_hz_int", "tidally_locked_int",
-        "retains_atmosphere_int", "habitable_candidate_int", "label",
-    )
-    line = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.col("l_partkey").alias("planet_id"), "l_suppkey",
-        "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate",
-    )
+    planet = planets(spark, sf_dir).drop("source")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    c = F.col
-    o2 = F.when(c("l_orderkey") % 97 != 0, c("atmosphere_o2"))
-    live = c("avg_temp_celsius") + (c("l_quantity") - 25) / 5
-    return with_rounded(
-        lookup_join(line, planet, "planet_id", measured=part),
-        {"temperature_c": (live, physics.LIVE_TEMPERATURE_DIGITS)},
-    ).select(
+    line = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "planet_id")
+    joined = lookup_join(line, planet, "planet_id", measured=part)
+    return joined.withColumn("timestamp", iso_timestamp(F.col("l_shipdate"))).selectExpr(
         "l_orderkey",
         "l_linenumber",
         "planet_id",
-        c("name").alias("planet_name"),
+        "name AS planet_name",
         "system_name",
-        F.when(c("l_suppkey") % 25 == 0, "unlisted").otherwise(c("star_type")).alias("star_type"),
+        "if(l_suppkey % 25 = 0, 'unlisted', star_type) AS star_type",
         "planet_type",
         "distance_au",
         "mass_earth",
         "radius_km",
-        "temperature_c",
+        "round(avg_temp_celsius + (l_quantity - 25) / 5, 2) AS temperature_c",
         "avg_temp_celsius",
         "gravity_g",
         "stellar_flux",
         "surface_radiation_msv_h",
-        c("surface_radiation_msv_h").alias("radiation_msv_h"),
-        (c("l_extendedprice") / 160).alias("wind_speed_kmh"),
-        (c("l_quantity") * 4 + 900).alias("pressure_hpa"),
-        (c("l_discount") * 10).alias("vegetation_index"),
-        (c("l_quantity") * 2).alias("humidity_pct"),
-        (((c("l_orderkey") + c("l_linenumber")) % 37).cast("double") / 4).alias("seismic_activity"),
-        (c("l_tax") * 500 + 20).alias("magnetic_field_ut"),
-        o2.alias("atmosphere_o2"),
+        "surface_radiation_msv_h AS radiation_msv_h",
+        "l_extendedprice / 160 AS wind_speed_kmh",
+        "900 + l_quantity * 4 AS pressure_hpa",
+        "l_discount * 10 AS vegetation_index",
+        "l_quantity * 2 AS humidity_pct",
+        "CAST((l_orderkey + l_linenumber) % 37 AS DOUBLE) / 4 AS seismic_activity",
+        "20 + l_tax * 500 AS magnetic_field_ut",
+        "if(l_orderkey % 97 = 0, NULL, atmosphere_o2) AS atmosphere_o2",
         "atmosphere_co2",
         "atmosphere_n2",
-        o2.alias("o2_pct"),
-        (c("atmosphere_co2") * 10000).alias("co2_ppm"),
+        "if(l_orderkey % 97 = 0, NULL, atmosphere_o2) AS o2_pct",
+        "atmosphere_co2 * 10000 AS co2_ppm",
         "has_water_int",
-        F.when(c("l_orderkey") % 89 != 0, c("magnetic_field_int")).alias("magnetic_field_int"),
+        "if(l_orderkey % 89 = 0, NULL, magnetic_field_int) AS magnetic_field_int",
         "in_hz_int",
         "tidally_locked_int",
         "retains_atmosphere_int",
         "habitable_candidate_int",
-        c("l_linenumber").alias("tick"),
-        c("l_shipdate").alias("event_time"),
-        iso_timestamp(c("l_shipdate")).alias("timestamp"),
-        F.when(c("l_returnflag") == "R", "catalog").otherwise("local").alias("source"),
+        "l_linenumber AS tick",
+        "l_shipdate AS event_time",
+        "timestamp",
+        "if(l_returnflag = 'R', 'catalog', 'local') AS source",
         "label",
     )
 
@@ -165,21 +131,19 @@ def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An exoplanet archive extract with missing measures."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     n_hosts = supplier.count()
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
-    key = F.col("p_partkey")
-    hosts = supplier.select(F.col("s_suppkey").alias("host_id"), F.col("s_name").alias("hostname"))
-    joined = lookup_join(
-        part.withColumn("host_id", key % n_hosts), hosts, "host_id", measured=supplier
+    part = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "p_name", "p_size", f"p_partkey % {n_hosts} AS s_suppkey"
     )
-    return joined.select(
-        "hostname",
-        F.concat("p_name", F.lit(" "), key.cast("string")).alias("pl_name"),
-        F.concat(F.lit("G"), (F.col("p_size") % 10).cast("string")).alias("st_spectype"),
-        (F.col("p_size").cast("double") / 25).alias("st_lum"),
-        ((key % 130).cast("double") / 10).alias("st_age"),
-        F.when(key % 11 != 0, ((key * 17) % 97).cast("double") / 40 + 0.053).alias("pl_orbsmax"),
-        F.when(key % 13 != 0, ((key * 7) % 90).cast("double") / 10 + 0.5).alias("pl_rade"),
-        F.when(key % 17 != 0, ((key * 19) % 150).cast("double") / 10 + 0.3).alias("pl_bmasse"),
-        F.when(key % 19 != 0, (150 + (key * 23) % 900).cast("double")).alias("pl_eqt"),
-        F.when(key % 4 == 0, 0).otherwise(1).alias("default_flag"),
+    joined = lookup_join(part, supplier, "s_suppkey", measured=supplier, rows=n_hosts)
+    return joined.selectExpr(
+        "s_name AS hostname",
+        "concat(p_name, ' ', CAST(p_partkey AS STRING)) AS pl_name",
+        "concat('G', CAST(p_size % 10 AS STRING)) AS st_spectype",
+        "CAST(p_size AS DOUBLE) / 25 AS st_lum",
+        "CAST(p_partkey % 130 AS DOUBLE) / 10 AS st_age",
+        "if(p_partkey % 11 = 0, NULL, 0.053D + CAST((p_partkey * 17) % 97 AS DOUBLE) / 40) AS pl_orbsmax",
+        "if(p_partkey % 13 = 0, NULL, 0.5D + CAST((p_partkey * 7) % 90 AS DOUBLE) / 10) AS pl_rade",
+        "if(p_partkey % 17 = 0, NULL, 0.3D + CAST((p_partkey * 19) % 150 AS DOUBLE) / 10) AS pl_bmasse",
+        "if(p_partkey % 19 = 0, NULL, CAST(150 + (p_partkey * 23) % 900 AS DOUBLE)) AS pl_eqt",
+        "if(p_partkey % 4 = 0, 0, 1) AS default_flag",
     )
