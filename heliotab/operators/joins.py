@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -10,6 +12,7 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
 SKETCH_ITEMS = 1024
+SKETCH_LISTED = 256
 SKETCH_GROUPS = 64
 
 
@@ -36,34 +39,29 @@ def fits_broadcast(
 
 
 def hot_keys(table: DataFrame, key: str, share: float = 1 / SALTS) -> tuple[list, bool]:
-    """Keys that hold at least ``share`` of all rows, and whether rows without a key do.
+    """Keys that may hold ``share`` of all rows or more, and whether rows without a key do.
 
-    At most ``1 / share`` keys can.  Frequent-item sketches, merged in two steps, read the key
-    column only and keep a bounded state; a key above the share cannot be missed, because the
-    sketch error is far below it.
+    Every map task sketches its most frequent keys; the sketches meet in ``SKETCH_GROUPS``
+    groups, each of which lists a bounded number of keys.  A group underestimates a key by less
+    than 1 / SKETCH_LISTED of its rows, so a key above ``share`` cannot fall below half of it.
+    Only the key column is read, and only the lists reach the driver.
     """
-    sketched = (
-        table.select(key)
+    listed = (
+        table.select(F.col(key).alias("k"))
         .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
         .agg(
-            F.expr(f"approx_top_k_accumulate({key}, {SKETCH_ITEMS})").alias("sketch"),
-            F.count(key).alias("n"),
+            F.expr(f"approx_top_k(k, {SKETCH_LISTED}, {SKETCH_ITEMS})").alias("top"),
+            F.count("k").alias("n"),
             F.count("*").alias("n_rows"),
         )
-        .agg(
-            F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"),
-            F.sum("n").alias("n"),
-            F.sum("n_rows").alias("n_rows"),
-        )
-        .filter("n_rows > 0")
+        .collect()
     )
-    top = F.expr(f"approx_top_k_estimate(sketch, {round(1 / share)})")
-    row = sketched.select(top.alias("top"), "n", "n_rows").first()
-    if row is None:
-        return [], False
-    limit = share * row["n_rows"]
-    hot = [item["item"] for item in row["top"] if item["item"] is not None and item["count"] >= limit]
-    return hot, row["n_rows"] - row["n"] >= limit
+    limit = share / 2 * sum(group["n_rows"] for group in listed)
+    counts = Counter()
+    for group in listed:
+        counts.update({e["item"]: e["count"] for e in group["top"] if e["item"] is not None})
+    missing = sum(group["n_rows"] - group["n"] for group in listed)
+    return [k for k, n in counts.items() if n >= limit], missing > limit
 
 
 def salted_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:

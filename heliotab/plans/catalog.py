@@ -223,11 +223,14 @@ def archive_planets(archive: DataFrame) -> DataFrame:
 
 
 def normalize_archive(archive: DataFrame, limit: int | None = ARCHIVE_LIMIT) -> DataFrame:
-    """The first ``limit`` usable archive planets by host (then name), or all of them."""
-    usable = default_parameter_sets(archive)
-    if limit is not None:
-        usable = usable.orderBy("hostname", "pl_name").limit(limit)
-    return archive_planets(usable)
+    """The first ``limit`` usable archive planets by host (then name), or all of them.
+
+    The limit follows the conversions, so that it stays next to the sort and becomes a top-k.
+    """
+    planets = archive_planets(default_parameter_sets(archive))
+    if limit is None:
+        return planets
+    return planets.orderBy("system_name", "name").limit(limit)
 
 
 def union_sources(local: DataFrame, archive: DataFrame, source: str = "both") -> DataFrame:
