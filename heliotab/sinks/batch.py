@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
 def write_parquet(df: DataFrame, *paths: str) -> None:
-    """Overwrite every destination with the same rows, computed once."""
-    if len(paths) == 1:
-        df.write.mode("overwrite").parquet(paths[0])
-        return
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for path in paths:
-            kept.write.mode("overwrite").parquet(path)
-    finally:
-        kept.unpersist()
+    """Overwrite every destination with the same rows.
+
+    The rows are computed for the first destination only; the others copy its files, so a large
+    result is neither computed again nor held on the executors.
+    """
+    first, *others = paths
+    df.write.mode("overwrite").parquet(first)
+    for path in others:
+        written = df.sparkSession.read.schema(df.schema).parquet(first)
+        written.write.mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
