@@ -71,8 +71,11 @@ def with_dimension(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     )
 
 
-def with_star_type(spark: SparkSession, df: DataFrame) -> DataFrame:
-    return with_dimension(df, dims.star_types(spark).drop("star_idx"), "star_type")
+def with_star_type(spark: SparkSession, df: DataFrame, zone: bool = False) -> DataFrame:
+    """Add the star properties, and on request the zone bounds, which depend on them alone and
+    are therefore computed for the seven types and not for every row."""
+    types = dims.star_types(spark).drop("star_idx")
+    return with_dimension(df, with_rounded(types, _zone()) if zone else types, "star_type")
 
 
 def with_planet_type(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -88,7 +91,7 @@ def _zone() -> dict[str, tuple[Column, int]]:
 
 def star_system_table(spark: SparkSession, systems: DataFrame) -> DataFrame:
     """The 12-column star table from (system_name, star_type, star_age_gy)."""
-    typed = with_rounded(with_star_type(spark, systems), _zone())
+    typed = with_star_type(spark, systems, zone=True)
     renamed = typed.withColumnsRenamed(
         {
             "luminosity": "star_luminosity",
@@ -107,7 +110,7 @@ def with_flag_twins(df: DataFrame) -> DataFrame:
 
 
 def with_physics(df: DataFrame) -> DataFrame:
-    """Derived quantities of planets that carry the columns of both dimensions."""
+    """Derived quantities of planets that carry the columns of both dimensions and the zone."""
     temperature = physics.equilibrium_temperature("luminosity", "distance_au", "base_albedo")
     radiation = physics.surface_radiation(
         "luminosity", "distance_au", "xuv_factor", "magnetic_field", "atmosphere_n2"
@@ -118,7 +121,7 @@ def with_physics(df: DataFrame) -> DataFrame:
         "stellar_flux": (flux, physics.CATALOG.flux_digits),
         "surface_radiation_msv_h": (radiation, physics.RADIATION_DIGITS),
     }
-    return with_rounded(df, quantities | _zone()).withColumns(
+    return with_rounded(df, quantities).withColumns(
         {
             "tidally_locked": physics.tidally_locked("distance_au", "tidal_lock_au"),
             "in_habitable_zone": physics.in_habitable_zone(
@@ -141,7 +144,7 @@ def planet_table(spark: SparkSession, raw: DataFrame) -> DataFrame:
 
     Further columns of ``raw`` are kept; star limits and ``label_rule`` are added for reports.
     """
-    typed = with_planet_type(spark, with_star_type(spark, raw))
+    typed = with_planet_type(spark, with_star_type(spark, raw, zone=True))
     labelled = with_label(with_flag_twins(with_physics(typed))).withColumnsRenamed(
         {"luminosity": "star_luminosity", "base_albedo": "albedo"}
     )
