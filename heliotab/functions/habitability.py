@@ -203,6 +203,14 @@ def _alert_columns_sql() -> str:
     return ", ".join(first_match_sql(group) for group in ALERT_RULES)
 
 
+def alert_groups() -> dict[str, tuple[Column, list[str]]]:
+    """Per alert group: the code that a reading raises in it, and the codes it can raise."""
+    return {
+        f"alert_group_{i}": (first_match(group), [code for _, code in group])
+        for i, group in enumerate(ALERT_RULES)
+    }
+
+
 def alert_codes() -> Column:
     """Alert codes of a reading as an array, empty when all is nominal."""
     return F.expr(f"array_compact(array({_alert_columns_sql()}))")

