@@ -37,7 +37,7 @@ def chosen_sinks(options) -> dict[str, sinks.BatchSink]:
 
 def run(spark: SparkSession, messages: DataFrame, options) -> None:
     model = training.load_model(spark, *options.model) if options.model else None
-    stream = streams.enriched_stream(messages, model, options.wording)
+    stream = streams.enriched_stream(messages, model, options.wording, stamp=False)
     named = chosen_sinks(options)
     if options.separate:
         queries = streams.to_separate_queries(stream, named, options.checkpoint, options.interval)

@@ -481,6 +481,11 @@ def _published(spark, sf_dir) -> str:
     return path
 
 
+def _unstamped(spark, topic, max_files=None):
+    messages = streams.replay(spark, topic, max_files)
+    return streams.enriched_stream(messages, stamp=False)
+
+
 def _run_sinks(spark, stream, checkpoint, **named):
     query_ = streams.to_sinks(stream, named, checkpoint, interval="once")
     streams.await_all(spark, [query_])
@@ -550,18 +555,18 @@ def stream_static_physics(spark, sf_dir):
 @query
 def stream_document_sink(spark, sf_dir):
     """Documents of all readings, without the insert time."""
-    stream = streams.enriched_stream(streams.replay(spark, _published(spark, sf_dir)))
+    stream = _unstamped(spark, _published(spark, sf_dir))
     out = work_dir(spark, "documents")
     _run_sinks(spark, stream, f"{out}/checkpoint", documents=sinks.document_sink(f"{out}/data"))
-    kept = [f for f in stream.schema.fields if f.name != "processed_at"]
-    schema = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in kept)}, _batch_id bigint"
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema.fields)
+    schema = f"{kept}, _batch_id bigint"
     return spark.read.schema(schema).json(f"{out}/data/batch=*")
 
 
 @query
 def stream_epoch_snapshots(spark, sf_dir):
     """Raw and processed CSV snapshots, joined into one listing."""
-    stream = streams.enriched_stream(streams.replay(spark, _published(spark, sf_dir)))
+    stream = _unstamped(spark, _published(spark, sf_dir))
     out = work_dir(spark, "snapshots")
     _run_sinks(spark, stream, f"{out}/checkpoint", snapshots=sinks.snapshot_sink(f"{out}/data"))
     raw = spark.read.schema(schemas.SENSOR_READING).option("header", True)
@@ -583,7 +588,7 @@ def stream_epoch_snapshots(spark, sf_dir):
 @query
 def stream_fanout(spark, sf_dir):
     """One query, four sinks: rows and score sum that each of them holds."""
-    stream = streams.enriched_stream(streams.replay(spark, _published(spark, sf_dir)))
+    stream = _unstamped(spark, _published(spark, sf_dir))
     out = work_dir(spark, "fan-out")
     _run_sinks(
         spark,
@@ -619,14 +624,14 @@ def stream_restart(spark, sf_dir):
     topic, out = work_dir(spark, "topic"), work_dir(spark, "restarted")
     for half in ("l_orderkey % 2 = 0", "l_orderkey % 2 <> 0"):
         _publish(readings.filter(half), topic)
-        stream = streams.enriched_stream(streams.replay(spark, topic, max_files=1))
+        stream = _unstamped(spark, topic, max_files=1)
         _run_sinks(
             spark,
-            stream.drop("processed_at"),
+            stream,
             f"{out}/checkpoint",
             processed=sinks.parquet_sink(f"{out}/data"),
         )
-    return spark.read.schema(stream.drop("processed_at").schema).parquet(f"{out}/data/batch=*")
+    return spark.read.schema(stream.schema).parquet(f"{out}/data/batch=*")
 
 
 # --- machine learning ---------------------------------------------------------------------------

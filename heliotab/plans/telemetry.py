@@ -29,11 +29,18 @@ def with_score(readings: DataFrame) -> DataFrame:
     return scored.drop(*known).withColumn("habitability_class", habitability.habitability_class())
 
 
+def assess(readings: DataFrame) -> DataFrame:
+    """Add score, class and alerts."""
+    return with_score(readings).withColumn("alerts", habitability.alerts())
+
+
 def enrich(readings: DataFrame) -> DataFrame:
-    """Add score, class, alerts and the processing time."""
-    return with_score(readings).withColumns(
-        {"alerts": habitability.alerts(), "processed_at": F.current_timestamp()}
-    )
+    """Add score, class, alerts and the processing time.
+
+    Spark writes the time into the generated code, so code with it is compiled anew for every
+    run.  Streams with many batches therefore ``assess``, and their sinks add the time.
+    """
+    return assess(readings).withColumn("processed_at", F.current_timestamp())
 
 
 def score_breakdown(readings: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ being swallowed: the batch stays uncommitted and runs again.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -81,15 +82,22 @@ def console_sink(rows: int = CONSOLE_ROWS) -> BatchSink:
 
 
 def fan_out(sinks: Mapping[str, BatchSink]) -> BatchSink:
-    """Feed one computation of a batch to all sinks; an empty batch writes nothing."""
+    """Feed one computation of a batch to all sinks; an empty batch writes nothing.
+
+    All sinks see the same processing time, added after the computation if the batch has none.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if kept.isEmpty():
                 return
+            stamped = kept
+            if "processed_at" not in kept.columns:
+                now = datetime.now(timezone.utc)
+                stamped = kept.withColumn("processed_at", F.lit(now))
             for sink in sinks.values():
-                sink(kept, batch_id)
+                sink(stamped, batch_id)
         finally:
             kept.unpersist()
 

@@ -31,11 +31,11 @@ def _rows(df):
 
 
 def _stream(spark, topic_dir, max_files=2):
-    return streams.enriched_stream(streams.replay(spark, topic_dir, max_files))
+    return streams.enriched_stream(streams.replay(spark, topic_dir, max_files), stamp=False)
 
 
 def test_stream_equals_batch(spark, topic_dir, batch_rows, tmp_path):
-    stream = _stream(spark, topic_dir)
+    stream = streams.enriched_stream(streams.replay(spark, topic_dir, max_files=2))
     query = streams.append_parquet(stream, f"{tmp_path}/out", f"{tmp_path}/cp", "enriched", "once")
     streams.await_all(spark, [query])
     assert _rows(spark.read.parquet(f"{tmp_path}/out")) == batch_rows
@@ -54,6 +54,10 @@ def test_fan_out_writes_every_sink_once(spark, topic_dir, batch_rows, tmp_path):
     assert _rows(spark.read.parquet(f"{tmp_path}/processed")) == batch_rows
     raw = spark.read.parquet(f"{tmp_path}/raw")
     assert set(raw.columns) == {*FIELDS, "batch"} and raw.count() == batch_rows.total()
+    times = spark.read.parquet(f"{tmp_path}/processed").groupBy("batch").agg(
+        F.countDistinct("processed_at").alias("n"), F.count("processed_at").alias("known")
+    )
+    assert all(r.n == 1 and r.known > 0 for r in times.collect())
     documents = spark.read.json(f"{tmp_path}/documents")
     assert documents.count() == batch_rows.total()
     assert documents.select("_batch_id").distinct().count() == 3
