@@ -216,10 +216,13 @@ def alert_codes() -> Column:
     return F.expr(f"array_compact(array({_alert_columns_sql()}))")
 
 
-def alerts() -> Column:
-    """Alert codes joined into one text."""
-    joined = f"concat_ws('{vocab.ALERT_SEPARATOR}', {_alert_columns_sql()})"
-    return F.expr(f"coalesce(nullif({joined}, ''), '{NO_ALERT}')")
+def raised_alerts() -> Column:
+    """Alert codes joined into one text, empty when all is nominal."""
+    return F.expr(f"concat_ws('{vocab.ALERT_SEPARATOR}', {_alert_columns_sql()})")
+
+
+def or_nominal(raised: str) -> Column:
+    return F.expr(f"if({raised} = '', '{NO_ALERT}', {raised})")
 
 
 def decode_label(prediction: str, labels: list[str]) -> Column:

@@ -371,8 +371,7 @@ def score_breakdown(spark, sf_dir):
 
 @query
 def alerts(spark, sf_dir):
-    readings = testbed.readings(spark, sf_dir)
-    return readings.select(*READING_KEY, habitability.alerts().alias("alerts"))
+    return telemetry.with_alerts(testbed.readings(spark, sf_dir)).select(*READING_KEY, "alerts")
 
 
 @query

@@ -29,9 +29,15 @@ def with_score(readings: DataFrame) -> DataFrame:
     return scored.drop(*known).withColumn("habitability_class", habitability.habitability_class())
 
 
+def with_alerts(readings: DataFrame) -> DataFrame:
+    """Add the alert text, in two projections so that it is joined once."""
+    raised = readings.withColumn("alerts", habitability.raised_alerts())
+    return raised.withColumn("alerts", habitability.or_nominal("alerts"))
+
+
 def assess(readings: DataFrame) -> DataFrame:
     """Add score, class and alerts."""
-    return with_score(readings).withColumn("alerts", habitability.alerts())
+    return with_alerts(with_score(readings))
 
 
 def enrich(readings: DataFrame) -> DataFrame:

@@ -106,7 +106,8 @@ def test_nan_is_missing(spark):
 
 def test_alert_codes_match_the_text(spark):
     frame = _frame(spark, _edge_rows())
-    both = frame.select(habitability.alert_codes().alias("codes"), habitability.alerts().alias("text"))
+    coded = frame.withColumn("codes", habitability.alert_codes())
+    both = telemetry.with_alerts(coded).selectExpr("codes", "alerts AS text")
     for got in both.collect():
         assert " | ".join(got.codes) == ("" if got.text == "NOMINAL" else got.text)
 
