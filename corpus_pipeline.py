@@ -1,20 +1,60 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again.
+
+A stage takes what its predecessor kept and returns the columns of ``documents``; the last one adds
+the token ids of what is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heliotab.llm import neardup
+from heliotab.llm import decontam, langid, neardup, pieces, toxicity
 from heliotab.llm.storage import Scratch
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a known language; without a letter, or unlike all languages, they go."""
+    named = langid.identify(docs)
+    return named.where("not rejected").select(*docs.columns)
+
+
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic."""
+    rated = toxicity.rate(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rated.where("predicted = 0").select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the least doc_id."""
+    """One document of each group of near duplicates stays: the one with the least doc_id.
+
+    Of rows that repeat a doc_id one stays; rows without one stay.
+    """
     kept = neardup.near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null")
-    return docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
+    named = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = decontam.leaks(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``n_ids`` and ``ids`` of every document left."""
+    encoded = pieces.encode(docs.select("doc_id", "text"))
+    return encoded.selectExpr("doc_id", "coalesce(size(ids), 0) AS n_ids", "ids")
+
 
+STAGES = [
+    ("language", language),
+    ("toxicity", toxicity_filter),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("encode", encode),
+]
 
-STAGES = [("near_dedup", near_dedup)]
+# Stages fit models and encode with a tokenizer's vocabulary, which SQL cannot express.
 ORACLE_SQL = None
 
 
