@@ -36,7 +36,7 @@ from heliotab.llm.words import distinct_sorted, mix, shingle_stream, text_blocks
 
 CHUNKS, CHUNK = 12, 5
 INDEXED = CHUNKS * CHUNK
-SYMBOLS = 256
+SYMBOLS = 384
 CELL = 512  # members of a bucket that are compared with as many others in one step
 NEIGHBOURS = 3
 FILTER_BITS = 1 << 23
