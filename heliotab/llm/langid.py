@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heliotab.llm.shipping import ship
 from heliotab.llm.words import text_blocks
@@ -211,9 +212,9 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(out, [*names, "lang_pred", "score", "rejected"])
 
     letters = F.col("text").cast("string").rlike(r"\p{L}")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*[f"`{n}`" for n in names], letters.alias("_letters")).mapInArrow(
-        run, f"{schema}, lang_pred string, score double, rejected boolean"
+    added = T.StructType.fromDDL("lang_pred string, score double, rejected boolean")
+    return docs.select(*[f"`{n}`" for n in names], letters.alias("has_letters")).mapInArrow(
+        run, T.StructType([*fields, *added.fields])
     )
 
 

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heliotab.llm.shipping import ship
 
@@ -53,8 +54,7 @@ def with_token_count(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str
             columns = [batch.column(i) for i in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [*names, "n_tokens"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.mapInArrow(run, f"{schema}{', ' if schema else ''}n_tokens long")
+    return docs.mapInArrow(run, T.StructType([*fields, T.StructField("n_tokens", T.LongType())]))
 
 
 def length_histogram(docs: DataFrame, **options) -> DataFrame:

@@ -1,5 +1,86 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express.
+
+The others fit models, apply a tokenizer's vocabulary, parse markup or run a heap; ``tests/llm``
+holds them against brute force, exact round trips and held-out rows.
+"""
 
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op1_chat_prefix_targets"] = r"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), sized AS (
+  SELECT *, 12 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\1\\|', 'g')) + 1
+    + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + 11 AS chars
+  FROM given
+), placed AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS char_end,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS from_last
+  FROM sized
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' OR from_last = 1 THEN char_end ELSE 0 END) AS BIGINT) AS formatted_chars,
+  CAST(sum(CASE WHEN role = 'assistant' OR from_last = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_examples
+FROM placed GROUP BY conv_id
+"""
+
+_WORDS = r"""list_filter(regexp_split_to_array(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+_SHINGLES = """CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3),
+  lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END"""
+
+
+def _sets(table: str, name: str) -> str:
+    words = _WORDS.format(text="coalesce(text, '')")
+    return f"SELECT {name}, {_SHINGLES} AS s FROM (SELECT {name}, {words} AS w FROM {table})"
+
+
+ORACLES["op2_minhash_near_dedup"] = f"""
+WITH RECURSIVE sets AS ({_sets("documents", "doc_id")}),
+single AS (SELECT doc_id, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM single a JOIN single b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+  WHERE 100 * n >= 85 * (len(p.s) + len(q.s) - n)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON l.a = r.other
+), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least USING (doc_id)
+"""
+
+ORACLES["op3_benchmark_decontamination"] = f"""
+WITH items AS ({_sets("benchmark", "item_id")}), docs AS ({_sets("documents", "doc_id")}),
+item_single AS (SELECT item_id, len(s) AS item_shingles, unnest(s) AS x FROM items),
+doc_single AS (SELECT doc_id, unnest(s) AS x FROM docs)
+SELECT doc_id, item_id, CAST(item_shingles AS INTEGER) AS item_shingles, CAST(count(*) AS INTEGER) AS shared,
+  CAST(count(*) AS DOUBLE) / item_shingles AS containment
+FROM item_single JOIN doc_single USING (x) GROUP BY doc_id, item_id, item_shingles
+HAVING 100 * count(*) >= 80 * item_shingles
+"""
+
+ORACLES["op7_binary_code_top_k"] = """
+WITH vals AS (
+  SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS pos, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings
+), means AS (SELECT pos, avg(x) AS m FROM vals GROUP BY pos),
+bits AS (SELECT vec_id, pos, x > m AS bit FROM vals JOIN means USING (pos)),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS id, CAST(sum(CASE WHEN q.bit <> r.bit THEN 1 ELSE 0 END) AS INTEGER) AS distance
+  FROM bits q JOIN bits r ON q.pos = r.pos AND q.vec_id % 100 = 0 AND q.vec_id <> r.vec_id GROUP BY 1, 2
+)
+SELECT * FROM (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank, id, distance
+  FROM pairs
+) WHERE rank <= 10
+"""

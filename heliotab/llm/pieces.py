@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heliotab.llm.shipping import ship
 from heliotab.llm.words import powers, prefix_hash, text_blocks
@@ -331,8 +331,7 @@ def _append(docs: DataFrame, make, added: list[tuple[str, str]], source: str) ->
                 out = [batch.column(i).slice(row, n) for i in columns]
                 yield pa.RecordBatch.from_arrays([*out, *arrays], [*names, *new])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *(f"{n} {t}" for n, t in added)])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, T.StructType([*fields, *(T.StructField(n, T.DataType.fromDDL(t)) for n, t in added)]))
 
 
 def encode(docs: DataFrame, model: str = MODEL, text: str = "text") -> DataFrame:

@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from heliotab.llm.langid import held_out
 from heliotab.llm.storage import Scratch
@@ -335,10 +336,8 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                 out += [pa.array(value), pa.array((value >= CUT).astype(np.int32)), lists]
                 yield pa.RecordBatch.from_arrays(out, [*names, "score", "predicted", "evidence"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(
-        run, f"{schema}, score double, predicted int, evidence array<long>"
-    )
+    added = T.StructType.fromDDL("score double, predicted int, evidence array<bigint>")
+    return docs.select(*[f"`{n}`" for n in names]).mapInArrow(run, T.StructType([*fields, *added.fields]))
 
 
 def rate(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -111,8 +111,8 @@ def shingle_stream(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     counts = np.diff(at)
     n = len(words)
     acc = np.zeros(n, np.uint64)
-    for i in range(SHINGLE_WORDS):
-        acc[: n - i] += words[i:] * _PLACE[i] if i else words * _PLACE[0]
+    for i in range(min(SHINGLE_WORDS, n)):
+        acc[: n - i] += words[i:] * _PLACE[i]
     size = np.where(counts >= SHINGLE_WORDS, counts - SHINGLE_WORDS + 1, (counts > 0).astype(np.int64))
     out = np.zeros(len(size) + 1, np.int64)
     np.cumsum(size, out=out[1:])
