@@ -7,21 +7,27 @@ the token ids of what is left.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from heliotab.llm import decontam, langid, neardup, pieces, toxicity
 from heliotab.llm.storage import Scratch
 
 
+def _packed(docs: DataFrame, *needed: str) -> DataFrame:
+    """The columns that a stage works on, and all of them aside, whatever their names are."""
+    return docs.select(*needed, F.struct("*").alias("row"))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language; without a letter, or unlike all languages, they go."""
-    named = langid.identify(docs)
-    return named.where("not rejected").select(*docs.columns)
+    named = langid.identify(_packed(docs, "doc_id", "text", "lang"))
+    return named.where("not rejected").select("row.*")
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
-    rated = toxicity.rate(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return rated.where("predicted = 0").select(*docs.columns)
+    rated = toxicity.rate(_packed(docs, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return rated.where("predicted = 0").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
