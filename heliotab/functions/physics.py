@@ -73,7 +73,7 @@ def surface_radiation(
     Nitrogen counts relative to Earth's 78 percent, at least 0.01.  ``greatest`` skips NULL, so
     unknown inputs are ruled out first.
     """
-    known = f"{distance_au} IS NOT NULL AND {luminosity} IS NOT NULL AND {n2_pct} IS NOT NULL"
+    known = " AND ".join(f"{x} IS NOT NULL" for x in (distance_au, luminosity, xuv_factor, n2_pct))
     flux = f"{luminosity} / greatest({distance_au} * {distance_au}, {precision.min_distance_sq})"
     shield = f"CASE WHEN {magnetic} THEN 0.1D ELSE 1D END"
     pressure = f"greatest({n2_pct} / 78D, 0.01D)"

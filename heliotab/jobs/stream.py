@@ -53,6 +53,8 @@ def parse(arguments: list[str] | None = None):
     source.add_argument("--replay", help="folder of parquet messages (key, value)")
     parser.add_argument("--topic", default="planet_sensors")
     parser.add_argument("--starting", default="latest")
+    parser.add_argument("--max-offsets", type=int, default=topic.MAX_OFFSETS, help="messages of a batch")
+    parser.add_argument("--max-files", type=int, default=streams.MAX_FILES, help="replay files of a batch")
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--interval", help="'20 seconds', 'once', or as fast as possible")
     parser.add_argument("--model", action="append", default=[])
@@ -71,10 +73,11 @@ def main() -> None:
     spark = job_session("heliotab-stream", storage.object_store_conf_from(os.environ))
     if options.servers:
         messages = topic.read_topic(
-            spark, options.servers, options.topic, starting_offsets=options.starting
+            spark, options.servers, options.topic, starting_offsets=options.starting,
+            max_offsets_per_trigger=options.max_offsets,
         )
     else:
-        messages = streams.replay(spark, options.replay)
+        messages = streams.replay(spark, options.replay, options.max_files)
     run(spark, messages, options)
 
 

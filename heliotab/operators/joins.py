@@ -2,109 +2,33 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
-SKETCH_ITEMS = 1024
-SKETCH_LISTED = 256
-SKETCH_GROUPS = 64
-
-
-def fits_broadcast(
-    table: DataFrame,
-    rows: int | None = None,
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
-) -> bool:
-    """Measure a table before it is broadcast: its rows, then the bytes of those rows.
-
-    The row count of a parquet table comes from file footers; strings are measured only if the
-    rows pass, so a table that is too large costs no scan.
-    """
-    rows = table.count() if rows is None else rows
-    if rows > max_rows:
-        return False
-    strings = [f.name for f in table.schema.fields if isinstance(f.dataType, StringType)]
-    fixed = 8 * (len(table.columns) - len(strings)) * rows
-    if not strings:
-        return fixed <= max_bytes
-    widths = " + ".join(f"coalesce(sum(octet_length({s})), 0)" for s in strings)
-    return fixed + table.agg(F.expr(widths)).first()[0] <= max_bytes
-
+STRING_BYTES = 64  # what a name or code counts as
+FIXED_BYTES = 8
 
-def hot_keys(table: DataFrame, key: str, share: float = 1 / SALTS) -> tuple[list, bool]:
-    """Keys that may hold ``share`` of all rows or more, and whether rows without a key do.
 
-    Every map task sketches its most frequent keys; the sketches meet in ``SKETCH_GROUPS``
-    groups, each of which lists a bounded number of keys.  A group underestimates a key by less
-    than 1 / SKETCH_LISTED of its rows, so a key above ``share`` cannot fall below half of it.
-    Only the key column is read, and only the lists reach the driver.
-    """
-    listed = (
-        table.select(F.col(key).alias("k"))
-        .groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part"))
-        .agg(
-            F.expr(f"approx_top_k(k, {SKETCH_LISTED}, {SKETCH_ITEMS})").alias("top"),
-            F.count("k").alias("n"),
-            F.count("*").alias("n_rows"),
-        )
-        .collect()
-    )
-    limit = share / 2 * sum(group["n_rows"] for group in listed)
-    counts = Counter()
-    for group in listed:
-        counts.update({e["item"]: e["count"] for e in group["top"] if e["item"] is not None})
-    missing = sum(group["n_rows"] - group["n"] for group in listed)
-    return [k for k, n in counts.items() if n >= limit], missing > limit
-
-
-def salted_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Shuffle join in which a hot key is spread over ``SALTS`` tasks.
-
-    Rows of a hot key take their map task's number as salt, so a retried task repeats the same
-    choice, and equal rows from different files still part.  The lookup row of a hot key is
-    copied once per salt; all other rows move exactly once.  Rows without a key, which only a
-    left join keeps, are spread in the same way.  Without hot keys this is a plain join.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError(f"unsupported join type {how}")
-    hot, hot_null = hot_keys(big, key)
-    spread = F.col(key).isin(hot) if hot else F.lit(False)
-    if hot_null and how == "left":
-        spread = spread | F.col(key).isNull()
-    elif not hot:
-        return big.join(lookup, key, how)
-    salt = F.when(spread, F.spark_partition_id() % SALTS).otherwise(0)
-    copies = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    copied = lookup.withColumn("_salt", F.explode(F.coalesce(copies, F.array(F.lit(0)))))
-    return big.withColumn("_salt", salt).join(copied, [key, "_salt"], how).drop("_salt")
+def row_bytes(table: DataFrame) -> int:
+    """Bytes of a row by its schema; all columns of the table count."""
+    texts = sum(isinstance(f.dataType, StringType) for f in table.schema.fields)
+    return STRING_BYTES * texts + FIXED_BYTES * (len(table.columns) - texts)
 
 
 def lookup_join(
-    big: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "inner",
-    measured: DataFrame | None = None,
-    rows: int | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    big: DataFrame, lookup: DataFrame, key: str, rows: int, how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Join to a lookup table: broadcast if it was measured to be small, else a salted shuffle.
+    """Join to a lookup table of ``rows`` rows: broadcast if that is small, else a shuffle.
 
-    ``measured`` is a cheaper table with the same rows (such as the one ``lookup`` derives from);
-    ``rows`` is its row count if that is known already.
+    The caller counts the rows, in parquet tables from file footers.  Beyond the broadcast size
+    this is a plain join: filters on ``big`` go through it to the scan, and adaptive execution
+    splits the partitions of hot keys, and of rows without a key, by their measured size.
     """
-    if fits_broadcast(lookup if measured is None else measured, rows, max_rows):
-        return big.join(F.broadcast(lookup), key, how)
-    if big.isStreaming:  # keys of a stream cannot be counted ahead; its batches are bounded
-        return big.join(lookup, key, how)
-    return salted_join(big, lookup, key, how)
+    if rows * row_bytes(lookup) <= max_bytes:
+        lookup = F.broadcast(lookup)
+    return big.join(lookup, key, how)
 
 
 def with_defaults(

@@ -55,6 +55,7 @@ ARCHIVE_CONSTANTS = {
     "habitable_candidate": False,
     "source": "nasa",
 }
+# Fixed value: how many archive planets a telemetry run shows.
 ARCHIVE_LIMIT = 30
 
 
@@ -63,12 +64,16 @@ def _in_schema_order(df: DataFrame, schema) -> DataFrame:
 
 
 def with_dimension(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Add the columns of a fixed dimension; a key that it does not list is an error."""
-    witness = next(c for c in dimension.columns if c != key)
+    """Add the columns of a fixed dimension; a key that it does not list is an error.
+
+    All columns are taken out of one checked struct, so the check runs whichever of them is used.
+    """
+    added = [c for c in dimension.columns if c != key]
+    listed = F.broadcast(dimension.select(key, F.struct(*added).alias("listed")))
     unlisted = F.raise_error(F.concat(F.lit(f"unlisted {key}: "), F.coalesce(key, F.lit("NULL"))))
-    return df.join(F.broadcast(dimension), key, "left").withColumn(
-        witness, F.coalesce(F.col(witness), unlisted)
-    )
+    checked = F.coalesce(F.col("listed"), unlisted)
+    joined = df.join(listed, key, "left").withColumn("listed", checked)
+    return joined.select(*df.columns, *[F.col(f"listed.{c}").alias(c) for c in added])
 
 
 def with_star_type(spark: SparkSession, df: DataFrame, zone: bool = False) -> DataFrame:
@@ -195,6 +200,12 @@ def load_local_planets(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """An archive extract as CSV with header; columns are found by name, lines of comment skipped."""
+    rows = spark.read.option("header", True).option("comment", "#").csv(path)
+    return _in_schema_order(rows, schemas.ARCHIVE)
+
+
 def default_parameter_sets(archive: DataFrame) -> DataFrame:
     """Rows of the default parameter set whose four needed measures are known."""
     needed = ("pl_eqt", "pl_orbsmax", "pl_bmasse", "pl_rade")
@@ -225,8 +236,8 @@ def archive_planets(archive: DataFrame) -> DataFrame:
     return _in_schema_order(converted, schemas.SOURCE_PLANETS)
 
 
-def normalize_archive(archive: DataFrame, limit: int | None = ARCHIVE_LIMIT) -> DataFrame:
-    """The first ``limit`` usable archive planets by host (then name), or all of them.
+def normalize_archive(archive: DataFrame, limit: int | None = None) -> DataFrame:
+    """All usable archive planets, or the first ``limit`` by host (then name).
 
     The limit follows the conversions, so that it stays next to the sort and becomes a top-k.
     """

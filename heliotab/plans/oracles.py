@@ -252,6 +252,7 @@ _NUMERIC = """distance_au, stellar_flux, radius_km, mass_earth, gravity_g, avg_t
  surface_radiation_msv_h, atmosphere_o2, atmosphere_co2, atmosphere_n2, has_water_int,
  magnetic_field_int, in_hz_int, tidally_locked_int, retains_atmosphere_int"""
 _NUMERIC_LIST = [c.strip() for c in _NUMERIC.split(",")]
+_EXACT = "CASE WHEN habitable_candidate THEN 'habitable' ELSE 'non_habitable' END"
 
 
 def _out(sensor: str) -> str:
@@ -278,8 +279,7 @@ _BODIES = {
     "flatten_catalog": "SELECT * FROM planets_raw",
     "normalize_archive": "SELECT * FROM archive_planets ORDER BY system_name, name LIMIT 30",
     "normalize_archive_all": "SELECT * FROM archive_planets",
-    "union_sources": """SELECT * FROM local_planets UNION ALL
- (SELECT * FROM archive_planets ORDER BY system_name, name LIMIT 30)""",
+    "union_sources": "SELECT * FROM local_planets UNION ALL SELECT * FROM archive_planets",
     "encode_wire": f"SELECT planet_name AS key, {_READING_FIELDS} FROM readings",
     "decode_json_readings": "SELECT " + ", ".join(
         f"CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE {c} END AS {c}"
@@ -412,8 +412,9 @@ FROM per_class, total t""",
     "stream_replay_wire": f"SELECT {_READING_FIELDS} FROM readings",
     "stream_enrich": f"""SELECT {_ENRICHED_FIELDS}, CAST(NULL AS VARCHAR) AS ml_predicted_label
  FROM alarmed""",
-    "stream_parquet_append": f"""SELECT sink, {_READING_FIELDS}
- FROM readings, (VALUES ('raw'), ('processed_a'), ('processed_b')) AS s(sink)""",
+    "stream_parquet_append": f"""SELECT {_ENRICHED_FIELDS}, CAST(NULL AS VARCHAR) AS ml_predicted_label, sink
+ FROM alarmed, (VALUES ('processed_a'), ('processed_b')) AS s(sink)
+ UNION ALL SELECT {_READING_FIELDS}, NULL, NULL, NULL, NULL, 'raw' FROM readings""",
     "stream_console_projection": """SELECT planet_name, star_type, planet_type, stellar_flux,
  surface_radiation_msv_h, avg_temp_celsius, temperature_c, atmosphere_o2, in_hz_int,
  tidally_locked_int, habitability_score, habitability_class,
@@ -429,8 +430,11 @@ FROM per_class, total t""",
  CAST(0 AS BIGINT) AS _batch_id FROM alarmed""",
     "stream_epoch_snapshots": f"""SELECT {_ENRICHED_FIELDS}, 'processed' AS snapshot FROM alarmed
  UNION ALL SELECT {_READING_FIELDS}, NULL, NULL, NULL, 'raw' FROM readings""",
-    "stream_fanout": """SELECT sink, count(*) AS n, round(sum(wind_speed_kmh), 2) AS wind_sum
- FROM readings, (VALUES ('raw'), ('processed_a'), ('processed_b'), ('documents')) AS s(sink) GROUP BY sink""",
+    "stream_fanout": f"""SELECT {_ENRICHED_FIELDS}, CAST(NULL AS VARCHAR) AS ml_predicted_label, sink
+ FROM alarmed, (VALUES ('processed_a'), ('processed_b'), ('documents')) AS s(sink)
+ UNION ALL SELECT {_READING_FIELDS}, NULL, NULL, NULL, NULL, 'raw' FROM readings""",
+    "stream_batches": """SELECT count(*) AS n, true AS one_time, true AS all_known
+ FROM readings GROUP BY l_orderkey % 3""",
     "stream_restart": f"""SELECT {_ENRICHED_FIELDS}, CAST(NULL AS VARCHAR) AS ml_predicted_label
  FROM alarmed""",
     "string_index": """, counts AS (
@@ -454,10 +458,45 @@ JOIN planet_rank q ON q.planet_type = p.planet_type""",
  + count(DISTINCT planet_type) + {len(_NUMERIC_LIST)} AS INTEGER) FROM planets) AS n_slots,
  2.0::DOUBLE AS encoded_sum, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NUMERIC_LIST)}
  FROM planets""",
-    "scale_features": """SELECT planet_id,
- round((gravity_g - avg(gravity_g) OVER ()) / stddev_samp(gravity_g) OVER (), 6) AS gravity_g,
- round((atmosphere_o2 - avg(atmosphere_o2) OVER ()) / stddev_samp(atmosphere_o2) OVER (), 6) AS atmosphere_o2
- FROM planets""",
+    "scale_features": "SELECT planet_id, " + ", ".join(
+        f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS {c}" for c in _NUMERIC_LIST)
+    + " FROM planets",
+    "stratified_folds": """SELECT planet_id, name, label, CAST((row_number() OVER (PARTITION BY label
+ ORDER BY CAST('0x' || substr(md5(name), 1, 8) AS BIGINT), name) - 1) % 5 AS INTEGER) AS fold FROM planets""",
+    "train_predict": f"""SELECT count(*) AS n_rows, 1.0::DOUBLE AS accuracy, 1.0::DOUBLE AS weighted_precision,
+ 1.0::DOUBLE AS weighted_recall, 1.0::DOUBLE AS f1
+ FROM planets WHERE CAST('0x' || substr(md5(name), 1, 8) AS BIGINT) >= 3650722201""",
+    "score_all": f"""SELECT system_name, name, star_type, planet_type, distance_au,
+ avg_temp_celsius, stellar_flux, surface_radiation_msv_h, in_habitable_zone, atmosphere_o2,
+ has_water_int, gravity_g, tidally_locked, retains_atmosphere, {_EXACT} AS label,
+ {_EXACT} AS predicted_label FROM planets""",
+    "predicted_system_summary": f"""SELECT system_name, star_type, count(*) AS n_planets,
+ count(*) FILTER ({_EXACT} = 'habitable') AS n_habitable, CAST(0 AS BIGINT) AS n_uncertain,
+ count(*) FILTER ({_EXACT} = 'non_habitable') AS n_non_habitable
+ FROM planets GROUP BY system_name, star_type""",
+    "feature_importance": """, star_rank AS (
+ SELECT 'star_type_vec_' || star_type AS feature, row_number() OVER (ORDER BY count(*) DESC, star_type) AS r
+ FROM planets GROUP BY star_type),
+planet_rank AS (
+ SELECT 'planet_type_vec_' || planet_type AS feature, row_number() OVER (ORDER BY count(*) DESC, planet_type) AS r
+ FROM planets GROUP BY planet_type),
+parts AS (SELECT 1 AS part, r, feature FROM star_rank UNION ALL SELECT 2, r, feature FROM planet_rank
+ UNION ALL SELECT 3, r, feature FROM (VALUES """ + ", ".join(
+        f"({i}, '{c}')" for i, c in enumerate(_NUMERIC_LIST)) + """) AS n(r, feature))
+SELECT CAST(row_number() OVER (ORDER BY part, r) - 1 AS INTEGER) AS slot, feature, 1.0::DOUBLE AS total,
+ true AS is_share FROM parts""",
+    "cross_validate": """, grid AS (
+ SELECT t, d, m FROM (VALUES (1, 50), (2, 100), (3, 200)) AS a(i, t), (VALUES (1, 4), (2, 6), (3, 8)) AS b(j, d),
+ (VALUES (1, 1), (2, 2)) AS c(k, m))
+SELECT CAST(row_number() OVER (ORDER BY t, d, m) - 1 AS INTEGER) AS setting,
+ 'maxDepth=' || d || ', minInstancesPerNode=' || m || ', numTrees=' || t AS params, true AS is_accuracy FROM grid""",
+    "best_params": """SELECT CAST(18 AS BIGINT) AS n_settings, true AS known_trees, true AS known_depth,
+ true AS is_best""",
+    "stream_predict": f"""SELECT planet_name, tick, timestamp, habitability_class,
+ CASE WHEN habitable_candidate_int = 1 THEN 'habitable' ELSE 'non_habitable' END AS ml_predicted_label FROM alarmed""",
+    "alert_codes": f"""SELECT {_KEY}, CAST(generate_subscripts(alert_list, 1) - 1 AS INTEGER) AS position,
+ unnest(alert_list) AS code FROM alarmed WHERE len(alert_list) > 0
+ UNION ALL SELECT {_KEY}, NULL, NULL FROM alarmed WHERE len(alert_list) = 0""",
     "model_roundtrip": "SELECT count(*) AS n, count(*) AS n_same FROM planets",
     "hash_split": """SELECT planet_id, name, CASE WHEN
  CAST('0x' || substr(md5(name), 1, 8) AS BIGINT) < 3650722201 THEN 'train' ELSE 'test' END AS split
@@ -465,3 +504,12 @@ JOIN planet_rank q ON q.planet_type = p.planet_type""",
 }
 
 ORACLES = {name: _VIEWS + body for name, body in _BODIES.items()}
+
+# The same views over readings in which some measures are missing.
+ORACLES["assess_nan"] = _VIEWS.replace("readings AS (", "whole_readings AS (", 1).replace(
+    "points AS (",
+    """readings AS (SELECT * REPLACE (
+ CASE WHEN l_orderkey % 7 <> 0 THEN stellar_flux END AS stellar_flux,
+ CASE WHEN l_orderkey % 5 <> 0 THEN temperature_c END AS temperature_c,
+ CASE WHEN l_orderkey % 3 <> 0 THEN seismic_activity END AS seismic_activity) FROM whole_readings),
+points AS (""", 1) + f"SELECT {_KEY}, habitability_score, habitability_class, alerts FROM alarmed"

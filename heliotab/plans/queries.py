@@ -107,12 +107,12 @@ def flatten_catalog(spark, sf_dir):
 
 @query
 def normalize_archive(spark, sf_dir):
-    return catalog.normalize_archive(testbed.archive(spark, sf_dir))
+    return catalog.normalize_archive(testbed.archive(spark, sf_dir), catalog.ARCHIVE_LIMIT)
 
 
 @query
 def normalize_archive_all(spark, sf_dir):
-    return catalog.normalize_archive(testbed.archive(spark, sf_dir), limit=None)
+    return catalog.normalize_archive(testbed.archive(spark, sf_dir))
 
 
 @query
@@ -273,9 +273,8 @@ def planets_with_system(spark, sf_dir):
     planets = testbed.planets_raw(spark, sf_dir).select(
         "planet_id", "name", "system_name", "planet_type", "distance_au"
     )
-    return lookup_join(
-        planets, stars, "system_name", measured=testbed.table(spark, sf_dir, "supplier")
-    )
+    n_systems = testbed.table(spark, sf_dir, "supplier").count()
+    return lookup_join(planets, stars, "system_name", n_systems)
 
 
 @query
@@ -285,9 +284,8 @@ def hz_interval_join(spark, sf_dir):
         "system_name", "hz_inner_au", "hz_outer_au"
     )
     planets = testbed.planets_raw(spark, sf_dir).select("planet_id", "system_name", "distance_au")
-    joined = lookup_join(
-        planets, stars, "system_name", measured=testbed.table(spark, sf_dir, "supplier")
-    )
+    n_systems = testbed.table(spark, sf_dir, "supplier").count()
+    joined = lookup_join(planets, stars, "system_name", n_systems)
     return joined.filter(
         physics.in_habitable_zone("distance_au", "hz_inner_au", "hz_outer_au")
     )
@@ -374,6 +372,30 @@ def alerts(spark, sf_dir):
     return telemetry.with_alerts(testbed.readings(spark, sf_dir)).select(*READING_KEY, "alerts")
 
 
+@query
+def alert_codes(spark, sf_dir):
+    """The alerts as arrays, a row for each element."""
+    readings = testbed.readings(spark, sf_dir)
+    return readings.select(
+        *READING_KEY, F.posexplode_outer(habitability.alert_codes()).alias("position", "code")
+    )
+
+
+@query
+def assess_nan(spark, sf_dir):
+    """Stored readings with NaN in some measures: NaN counts as missing."""
+    nan = F.lit(float("nan"))
+    readings = testbed.readings(spark, sf_dir).withColumns(
+        {
+            "stellar_flux": F.when(F.col("l_orderkey") % 7 == 0, nan).otherwise(F.col("stellar_flux")),
+            "temperature_c": F.when(F.col("l_orderkey") % 5 == 0, nan).otherwise(F.col("temperature_c")),
+            "seismic_activity": F.when(F.col("l_orderkey") % 3 == 0, nan).otherwise(F.col("seismic_activity")),
+        }
+    )
+    assessed = telemetry.assess(stored(readings, "nan"))
+    return assessed.select(*READING_KEY, "habitability_score", "habitability_class", "alerts")
+
+
 @query
 def alert_counts(spark, sf_dir):
     return reports.alert_counts(testbed.readings(spark, sf_dir))
@@ -480,7 +502,7 @@ def _published(spark, sf_dir) -> str:
     return path
 
 
-def _unstamped(spark, topic, max_files=None):
+def _unstamped(spark, topic, max_files=streams.MAX_FILES):
     messages = streams.replay(spark, topic, max_files)
     return streams.enriched_stream(messages, stamp=False)
 
@@ -525,12 +547,14 @@ def stream_parquet_append(spark, sf_dir):
         for n, s in outputs.items()
     ]
     streams.await_all(spark, running)
-    common = [f.name for f in schemas.SENSOR_READING.fields]
     parts = [
-        spark.read.schema(s.schema).parquet(f"{out}/{n}").select(F.lit(n).alias("sink"), *common)
+        spark.read.schema(s.schema).parquet(f"{out}/{n}").drop("processed_at").withColumn("sink", F.lit(n))
         for n, s in outputs.items()
     ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    raw_part, *others = parts
+    for part in others:
+        raw_part = raw_part.unionByName(part, allowMissingColumns=True)
+    return raw_part
 
 
 @query
@@ -559,7 +583,7 @@ def stream_document_sink(spark, sf_dir):
     _run_sinks(spark, stream, f"{out}/checkpoint", documents=sinks.document_sink(f"{out}/data"))
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stream.schema.fields)
     schema = f"{kept}, _batch_id bigint"
-    return spark.read.schema(schema).json(f"{out}/data/batch=*")
+    return spark.read.schema(schema).json(f"{out}/data/{sinks.ALL_BATCHES}")
 
 
 @query
@@ -573,10 +597,10 @@ def stream_epoch_snapshots(spark, sf_dir):
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.SENSOR_READING)
     processed = spark.read.schema(f"{fields}, {derived}").option("header", True)
     return (
-        raw.csv(f"{out}/data/raw/epoch=*")
+        raw.csv(f"{out}/data/raw/run=*/epoch=*")
         .withColumn("snapshot", F.lit("raw"))
         .unionByName(
-            processed.csv(f"{out}/data/processed/epoch=*").withColumn(
+            processed.csv(f"{out}/data/processed/run=*/epoch=*").withColumn(
                 "snapshot", F.lit("processed")
             ),
             allowMissingColumns=True,
@@ -586,7 +610,7 @@ def stream_epoch_snapshots(spark, sf_dir):
 
 @query
 def stream_fanout(spark, sf_dir):
-    """One query, four sinks: rows and score sum that each of them holds."""
+    """One query, four sinks: all rows and columns that each of them holds."""
     stream = _unstamped(spark, _published(spark, sf_dir))
     out = work_dir(spark, "fan-out")
     _run_sinks(
@@ -599,23 +623,33 @@ def stream_fanout(spark, sf_dir):
         documents=sinks.document_sink(f"{out}/documents"),
     )
 
-    def summary(name: str, rows: DataFrame) -> DataFrame:
-        return rows.agg(
-            F.lit(name).alias("sink"),
-            F.count("*").alias("n"),
-            F.round(F.sum("wind_speed_kmh"), 2).alias("wind_sum"),
-        )
+    def read(name: str, reader) -> DataFrame:
+        return reader(f"{out}/{name}/{sinks.ALL_BATCHES}").withColumn("sink", F.lit(name))
 
-    reader = spark.read.schema(schemas.SENSOR_READING)
-    totals = [summary(n, reader.parquet(f"{out}/{n}/batch=*"))
-              for n in ("raw", "processed_a", "processed_b")]
-    totals.append(summary("documents", reader.json(f"{out}/documents/batch=*")))
-    merged = totals[0]
-    for total in totals[1:]:
-        merged = merged.unionByName(total)
+    shown = spark.read.schema(stream.schema)
+    merged = read("raw", spark.read.schema(schemas.SENSOR_READING).parquet)
+    for part in (read("processed_a", shown.parquet), read("processed_b", shown.parquet), read("documents", shown.json)):
+        merged = merged.unionByName(part, allowMissingColumns=True)
     return merged
 
 
+@query
+def stream_batches(spark, sf_dir):
+    """Batches of one file each: rows of a batch, and whether one known processing time marks it."""
+    topic, out = work_dir(spark, "topic"), work_dir(spark, "batches")
+    readings = testbed.readings(spark, sf_dir)
+    for part in range(3):
+        _publish(readings.filter(F.col("l_orderkey") % 3 == part).coalesce(1), topic)
+    stream = _unstamped(spark, topic, max_files=1)
+    _run_sinks(spark, stream, f"{out}/checkpoint", processed=sinks.parquet_sink(f"{out}/data"))
+    written = spark.read.parquet(f"{out}/data")
+    return written.groupBy("batch").agg(
+        F.count("*").alias("n"),
+        (F.countDistinct("processed_at") == 1).alias("one_time"),
+        (F.count("processed_at") == F.count("*")).alias("all_known"),
+    ).drop("batch")
+
+
 @query
 def stream_restart(spark, sf_dir):
     """Two runs on one checkpoint: messages published in between are added, none repeats."""
@@ -630,7 +664,7 @@ def stream_restart(spark, sf_dir):
             f"{out}/checkpoint",
             processed=sinks.parquet_sink(f"{out}/data"),
         )
-    return spark.read.schema(stream.schema).parquet(f"{out}/data/batch=*")
+    return spark.read.schema(stream.schema).parquet(f"{out}/data/{sinks.ALL_BATCHES}")
 
 
 # --- machine learning ---------------------------------------------------------------------------
@@ -692,7 +726,7 @@ def assemble_features(spark, sf_dir):
 
 @query
 def scale_features(spark, sf_dir):
-    """Two of the standardised features."""
+    """The standardised numeric features."""
     planets = testbed.planets(spark, sf_dir)
     model = Pipeline(stages=training.feature_stages()).fit(planets)
     scaled = model.transform(planets).select("planet_id", vector_to_array("features").alias("v"))
@@ -702,7 +736,7 @@ def scale_features(spark, sf_dir):
         position = schemas.NUMERIC_FEATURES.index(feature) - n
         return F.round(F.element_at("v", position), 6).alias(feature)
 
-    return scaled.select("planet_id", slot("gravity_g"), slot("atmosphere_o2"))
+    return scaled.select("planet_id", *[slot(f) for f in schemas.NUMERIC_FEATURES])
 
 
 @query
@@ -716,73 +750,99 @@ def _training_planets(spark, sf_dir):
     return stored(training.labelled(testbed.planets(spark, sf_dir)), "training")
 
 
-def _small_forest():
-    return training.forest(numTrees=20, maxDepth=6)
+def _exact_planets(spark, sf_dir):
+    """Planets whose label follows from their type: a forest of the grid learns it exactly."""
+    planets = testbed.planets(spark, sf_dir)
+    exact = F.when(F.col("habitable_candidate"), vocab.HABITABLE).otherwise(vocab.NON_HABITABLE)
+    return stored(training.with_split(planets.withColumn("label", exact)), "training")
+
+
+def _grid_forest():
+    return training.forest(numTrees=training.GRID_TREES[0], maxDepth=training.GRID_DEPTH[-1])
+
+
+def _exact_model(planets):
+    train = planets.filter("split = 'train'").drop("split")
+    return training.build_pipeline(_grid_forest()).fit(train)
 
 
 @query
 def train_predict(spark, sf_dir):
     """Fit on the training part; metrics of the held-out part."""
-    train, test = training.train_test(_training_planets(spark, sf_dir))
-    model = training.build_pipeline(_small_forest()).fit(train)
+    planets = _exact_planets(spark, sf_dir)
+    test = planets.filter("split = 'test'")
     return reports.classification_metrics(
-        training.score(model, test), "label", "predicted_label"
+        training.score(_exact_model(planets), test), "label", "predicted_label"
     )
 
 
 @query
 def score_all(spark, sf_dir):
     """All planets scored by a model of the training part: the 16 columns of the batch result."""
-    planets = _training_planets(spark, sf_dir)
-    train, _ = training.train_test(planets)
-    model = training.build_pipeline(_small_forest()).fit(train)
-    return reports.batch_result(training.score(model, planets)).orderBy(
-        "system_name", "distance_au"
-    )
+    planets = _exact_planets(spark, sf_dir)
+    return reports.batch_result(training.score(_exact_model(planets), planets))
 
 
 @query
 def predicted_system_summary(spark, sf_dir):
     """Planets per system and predicted label."""
-    planets = _training_planets(spark, sf_dir)
-    train, _ = training.train_test(planets)
-    model = training.build_pipeline(_small_forest()).fit(train)
-    return reports.system_summary(training.score(model, planets))
+    planets = _exact_planets(spark, sf_dir)
+    return reports.system_summary(training.score(_exact_model(planets), planets))
 
 
 @query
 def feature_importance(spark, sf_dir):
+    """All vector slots with their names, and what their importances add up to."""
     planets = _training_planets(spark, sf_dir)
-    model = training.build_pipeline(_small_forest()).fit(planets)
-    return training.feature_importance(model, planets)
+    model = training.build_pipeline(_grid_forest()).fit(planets)
+    slots = training.feature_importance(model, planets, threshold=-1.0)
+    return slots.crossJoin(
+        F.broadcast(slots.agg(F.round(F.sum("importance"), 6).alias("total")))
+    ).select("slot", "feature", "total", F.col("importance").between(0, 1).alias("is_share"))
 
 
-def _small_search(spark, sf_dir):
-    classifier = training.forest()
-    grid = [
-        {classifier.numTrees: 10, classifier.maxDepth: depth, classifier.minInstancesPerNode: 1}
-        for depth in (4, 6)
-    ]
-    planets = _training_planets(spark, sf_dir)
-    return training.cross_validate(planets, classifier, grid, folds=3)
+@query
+def stratified_folds(spark, sf_dir):
+    """The fold of every planet."""
+    planets = testbed.planets(spark, sf_dir).select("planet_id", "name", "label")
+    return training.with_folds(planets)
+
+
+def _searched(spark, sf_dir):
+    """The whole search: 18 settings, five folds, on the rule labels."""
+    return training.cross_validate(_training_planets(spark, sf_dir))
 
 
 @query
 def cross_validate(spark, sf_dir):
-    """Average accuracy per setting of a small search."""
-    return training.cv_scores(_small_search(spark, sf_dir), spark)
+    """Every setting of the search once, with an average accuracy that is one."""
+    scores = training.cv_scores(_searched(spark, sf_dir), spark)
+    return scores.select("setting", "params", F.col("accuracy").between(0.5, 1).alias("is_accuracy"))
 
 
 @query
 def best_params(spark, sf_dir):
-    return training.best_params(_small_search(spark, sf_dir).bestModel, spark)
+    """The setting of the best model is in the grid and has the largest average accuracy."""
+    search = _searched(spark, sf_dir)
+    best = training.best_params(search.bestModel, spark)
+    tried = training.cv_scores(search, spark)
+    of_best = F.format_string(
+        "maxDepth=%d, minInstancesPerNode=%d, numTrees=%d", "max_depth", "min_instances", "num_trees"
+    )
+    top = tried.agg(F.max("accuracy").alias("top"), F.count("*").alias("n_settings"))
+    return tried.join(best, F.col("params") == of_best).crossJoin(top).select(
+        "n_settings",
+        F.col("num_trees").isin(training.GRID_TREES).alias("known_trees"),
+        F.col("max_depth").isin(training.GRID_DEPTH).alias("known_depth"),
+        (F.col("accuracy") == F.col("top")).alias("is_best"),
+    )
 
 
 @query
 def model_roundtrip(spark, sf_dir):
     """Predictions of a model before and after it was saved to two places and loaded."""
     planets = _training_planets(spark, sf_dir)
-    model = training.build_pipeline(_small_forest()).fit(planets)
+    model = training.build_pipeline(_grid_forest()).fit(planets)
     root = work_dir(spark, "model")
     training.save_model(model, f"{root}/first", f"{root}/second")
     loaded = training.load_model(spark, f"{root}/missing", f"{root}/second")
@@ -801,7 +861,7 @@ def model_roundtrip(spark, sf_dir):
 @query
 def stream_predict(spark, sf_dir):
     """Streamed readings with the label of a fitted model."""
-    model = training.build_pipeline(_small_forest()).fit(_training_planets(spark, sf_dir))
+    model = _exact_model(_exact_planets(spark, sf_dir))
     messages = streams.replay(spark, _published(spark, sf_dir))
     stream = streams.enriched_stream(messages, model).select(
         "planet_name", "tick", "timestamp", "habitability_class", "ml_predicted_label"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import schemas, vocab
 from ..functions import habitability
 from ..sources import dims
+from ..sources.wire import nan_to_null
 
 RADIATION_ROWS = 20
 ORBIT_ROWS = 100
@@ -86,7 +87,7 @@ def alert_counts(readings: DataFrame) -> DataFrame:
     All codes are counted in one pass with one row per task, instead of a row per alert.
     """
     groups = habitability.alert_groups()
-    raised = readings.select(*[c.alias(name) for name, (c, _) in groups.items()])
+    raised = nan_to_null(readings).select(*[c.alias(name) for name, (c, _) in groups.items()])
     counts = {
         code: F.count_if(F.col(name) == code)
         for name, (_, codes) in groups.items()

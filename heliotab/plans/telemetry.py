@@ -11,6 +11,7 @@ from ..functions import habitability, physics
 from ..functions.rounding import with_rounded
 from ..operators.joins import with_defaults
 from ..sources import dims
+from ..sources.wire import nan_to_null
 from .training import with_predicted_label
 
 CONSOLE_COLUMNS = (
@@ -20,8 +21,7 @@ CONSOLE_COLUMNS = (
 ).split()
 
 
-def with_score(readings: DataFrame) -> DataFrame:
-    """Add score and class."""
+def _scored(readings: DataFrame) -> DataFrame:
     known = habitability.known_measures()
     scored = readings.withColumns(known).withColumn(
         "habitability_score", habitability.habitability_score()
@@ -29,24 +29,34 @@ def with_score(readings: DataFrame) -> DataFrame:
     return scored.drop(*known).withColumn("habitability_class", habitability.habitability_class())
 
 
-def with_alerts(readings: DataFrame) -> DataFrame:
-    """Add the alert text, in two projections so that it is joined once."""
+def _alarmed(readings: DataFrame) -> DataFrame:
+    """In two projections, so that the text is joined once."""
     raised = readings.withColumn("alerts", habitability.raised_alerts())
     return raised.withColumn("alerts", habitability.or_nominal("alerts"))
 
 
-def assess(readings: DataFrame) -> DataFrame:
-    """Add score, class and alerts."""
-    return with_alerts(with_score(readings))
+def with_score(readings: DataFrame) -> DataFrame:
+    """Add score and class; NaN counts as missing and becomes NULL."""
+    return _scored(nan_to_null(readings))
+
+
+def with_alerts(readings: DataFrame) -> DataFrame:
+    """Add the alert text; NaN raises none and becomes NULL."""
+    return _alarmed(nan_to_null(readings))
+
+
+def assess(readings: DataFrame, decoded: bool = False) -> DataFrame:
+    """Add score, class and alerts; NaN becomes NULL, as it already is in decoded messages."""
+    return _alarmed(_scored(readings if decoded else nan_to_null(readings)))
 
 
-def enrich(readings: DataFrame) -> DataFrame:
+def enrich(readings: DataFrame, decoded: bool = False) -> DataFrame:
     """Add score, class, alerts and the processing time.
 
     Spark writes the time into the generated code, so code with it is compiled anew for every
     run.  Streams with many batches therefore ``assess``, and their sinks add the time.
     """
-    return assess(readings).withColumn("processed_at", F.current_timestamp())
+    return assess(readings, decoded).withColumn("processed_at", F.current_timestamp())
 
 
 def score_breakdown(readings: DataFrame) -> DataFrame:
@@ -54,7 +64,8 @@ def score_breakdown(readings: DataFrame) -> DataFrame:
     known = habitability.known_measures()
     named = {f"pts_{term}": column for term, column in habitability.score_points().items()}
     return (
-        readings.withColumns(known)
+        nan_to_null(readings)
+        .withColumns(known)
         .withColumns(named | {"eliminated_by": habitability.elimination()})
         .drop(*known)
         .withColumn(

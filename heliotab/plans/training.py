@@ -15,18 +15,20 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.habitability import decode_label
 from ..operators.joins import key_hash
 from ..schemas import NUMERIC_FEATURES
+from ..workspace import stored
 
 LOG = logging.getLogger(__name__)
 SEED = 42
 TRAIN_SHARE = 0.85
 IMPORTANCE_THRESHOLD = 0.01
 HASH_SPACE = 2**32
+FOLD_RANGES = 256
 
 
 def indexer(column: str, output: str) -> StringIndexer:
@@ -60,13 +62,19 @@ def build_pipeline(classifier: RandomForestClassifier | None = None) -> Pipeline
     return Pipeline(stages=[*feature_stages(), classifier or forest()])
 
 
+# The settings of the search.
+GRID_TREES = [50, 100, 200]
+GRID_DEPTH = [4, 6, 8]
+GRID_MIN_INSTANCES = [1, 2]
+
+
 def full_grid(classifier: RandomForestClassifier) -> list:
     """The 18 settings of the search."""
     return (
         ParamGridBuilder()
-        .addGrid(classifier.numTrees, [50, 100, 200])
-        .addGrid(classifier.maxDepth, [4, 6, 8])
-        .addGrid(classifier.minInstancesPerNode, [1, 2])
+        .addGrid(classifier.numTrees, GRID_TREES)
+        .addGrid(classifier.maxDepth, GRID_DEPTH)
+        .addGrid(classifier.minInstancesPerNode, GRID_MIN_INSTANCES)
         .build()
     )
 
@@ -89,6 +97,28 @@ def train_test(planets: DataFrame, key: str = "name") -> tuple[DataFrame, DataFr
     return train, test
 
 
+def with_folds(planets: DataFrame, folds: int = 5, key: str = "name", label: str = "label") -> DataFrame:
+    """Add ``fold``: 0 to ``folds`` - 1, each with the same number of rows of a label, give or take one.
+
+    Rows are numbered by the hash of their key inside a label, in ``FOLD_RANGES`` ranges of the hash
+    that follow one another, so that no task sorts all rows of a frequent label.
+    """
+    marked = planets.withColumns({"_hash": key_hash(key)}).withColumn(
+        "_range", F.floor(F.col("_hash") * FOLD_RANGES / HASH_SPACE)
+    )
+    before = Window.partitionBy("_label").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = marked.groupBy(F.col(label).alias("_label"), "_range").agg(F.count("*").alias("_n"))
+    offsets = counts.select(
+        "_label", F.col("_range").alias("_own"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    )
+    number = F.row_number().over(Window.partitionBy(label, "_range").orderBy("_hash", key))
+    joined = marked.withColumn("_number", number).join(
+        offsets, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_range") == F.col("_own"))
+    )
+    fold = ((F.col("_offset") + F.col("_number") - 1) % folds).cast("int")
+    return joined.select(*planets.columns, fold.alias("fold"))
+
+
 def random_train_test(planets: DataFrame, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """The seeded random split; its rows depend on the partitioning of the input."""
     train, test = planets.randomSplit([TRAIN_SHARE, 1 - TRAIN_SHARE], seed=seed)
@@ -105,7 +135,8 @@ def cross_validate(
 ) -> CrossValidatorModel:
     """Search the grid by accuracy; preprocessing is fitted inside each fold.
 
-    Folds come from a hash of the key, so that a repeated or retried run sees the same folds.
+    Folds are stratified by label and come from a hash of the key, so that a repeated or retried
+    run sees the same ones.  They are stored with the table, which every fit reads again.
     """
     classifier = classifier or forest()
     search = CrossValidator(
@@ -119,7 +150,7 @@ def cross_validate(
         parallelism=parallelism,
         foldCol="fold",
     )
-    return search.fit(train.withColumn("fold", (key_hash(key) % folds).cast("int")))
+    return search.fit(stored(with_folds(train, folds, key), "folds"))
 
 
 def _stage(model: PipelineModel, matches):

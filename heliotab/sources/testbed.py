@@ -61,7 +61,7 @@ def planets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").selectExpr(
         "p_partkey", "p_name", "p_size", f"p_partkey % {n_systems} AS system_id"
     )
-    joined = lookup_join(part, hosts, "system_id", measured=supplier, rows=n_systems)
+    joined = lookup_join(part, hosts, "system_id", n_systems)
     return joined.selectExpr(
         "p_partkey AS planet_id",
         "concat(p_name, ' ', CAST(p_partkey AS STRING)) AS name",
@@ -93,9 +93,9 @@ def planets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per order line, keyed by (l_orderkey, l_linenumber), which can repeat."""
     planet = planets(spark, sf_dir).drop("source")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    n_planets = table(spark, sf_dir, "part").count()
     line = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "planet_id")
-    joined = lookup_join(line, planet, "planet_id", measured=part)
+    joined = lookup_join(line, planet, "planet_id", n_planets)
     return joined.withColumn("timestamp", iso_timestamp(F.col("l_shipdate"))).selectExpr(
         "l_orderkey",
         "l_linenumber",
@@ -145,7 +145,7 @@ def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").selectExpr(
         "p_partkey", "p_name", "p_size", f"p_partkey % {n_hosts} AS s_suppkey"
     )
-    joined = lookup_join(part, supplier, "s_suppkey", measured=supplier, rows=n_hosts)
+    joined = lookup_join(part, supplier, "s_suppkey", n_hosts)
     return joined.selectExpr(
         "s_name AS hostname",
         "concat(p_name, ' ', CAST(p_partkey AS STRING)) AS pl_name",

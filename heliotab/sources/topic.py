@@ -7,13 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from .wire import encode
 
 
+MAX_OFFSETS = 5_000_000
+
+
 def source_options(
     servers: str,
     topic: str,
     starting_offsets: str = "latest",
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = MAX_OFFSETS,
 ) -> dict[str, str]:
-    """Subscribe to one topic; offsets that have expired do not stop the stream."""
+    """Subscribe to one topic; offsets that have expired do not stop the stream.
+
+    A batch takes at most ``max_offsets_per_trigger`` messages (None: all there are); a backlog is
+    worked off in several batches.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

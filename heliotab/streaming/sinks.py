@@ -1,8 +1,10 @@
-"""Per-batch outputs.  Every one overwrites the folder of its batch id.
+"""Per-batch outputs.  Every one overwrites the folder of its query and batch id.
 
 ``foreachBatch`` may run a batch again after a failure; the repeated batch has the same id and
-the same rows, so an overwrite leaves each row exactly once.  Failures stop the query instead of
-being swallowed: the batch stays uncommitted and runs again.
+the same rows, so an overwrite leaves each row exactly once.  The query id belongs to the
+checkpoint: a restart keeps it, and a new checkpoint, whose batches count from 0 again, writes
+beside the output of earlier ones.  Failures stop the query instead of being swallowed: the batch
+stays uncommitted and runs again.
 """
 
 from __future__ import annotations
@@ -21,13 +23,18 @@ BatchSink = Callable[[DataFrame, int], None]
 CONSOLE_ROWS = 30
 
 
-def _batch_folder(path: str, batch_id: int) -> str:
-    return f"{path}/batch={batch_id}"
+QUERY_ID = "sql.streaming.queryId"  # the property that a streaming query sets for its jobs
+ALL_BATCHES = "run=*/batch=*"
+
+
+def _batch_folder(path: str, batch: DataFrame, batch_id: int, unit: str = "batch") -> str:
+    run = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "none"
+    return f"{path}/run={run}/{unit}={batch_id}"
 
 
 def parquet_sink(path: str) -> BatchSink:
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        batch.write.mode("overwrite").parquet(_batch_folder(path, batch, batch_id))
 
     return write
 
@@ -52,7 +59,7 @@ def document_sink(path: str) -> BatchSink:
         documents = batch.drop(*MODEL_COLUMNS).withColumns(
             {"_inserted_at": F.current_timestamp(), "_batch_id": F.lit(batch_id).cast("bigint")}
         )
-        documents.write.mode("overwrite").json(_batch_folder(path, batch_id))
+        documents.write.mode("overwrite").json(_batch_folder(path, batch, batch_id))
 
     return write
 
@@ -66,7 +73,8 @@ def snapshot_sink(path: str) -> BatchSink:
             *raw.columns, "habitability_score", "habitability_class", "alerts"
         )
         for name, rows in (("raw", raw), ("processed", processed)):
-            rows.write.mode("overwrite").option("header", True).csv(f"{path}/{name}/epoch={epoch}")
+            folder = _batch_folder(f"{path}/{name}", batch, epoch, "epoch")
+            rows.write.mode("overwrite").option("header", True).csv(folder)
 
     return write
 

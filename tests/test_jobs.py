@@ -72,5 +72,5 @@ def test_stream_job_applies_the_model(spark, workplace, trained, sf_dir):
     labels = {r[0] for r in processed.select("ml_predicted_label").distinct().collect()}
     assert labels <= {*vocab.LABELS.values(), vocab.UNKNOWN} and "probability" in processed.columns
     assert "probability" not in spark.read.json(f"{out}/docs").columns
-    raw = spark.read.parquet(f"{out}/raw").drop("batch")
+    raw = spark.read.parquet(f"{out}/raw").drop("run", "batch")
     assert raw.exceptAll(readings.select(*raw.columns)).count() == 0

@@ -63,6 +63,7 @@ def test_topic_options():
         "subscribe": "sensors",
         "startingOffsets": "latest",
         "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": str(topic.MAX_OFFSETS),
     }
     options = topic.source_options("h", "t", "earliest", max_offsets_per_trigger=1000)
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "1000"
@@ -107,7 +108,9 @@ def test_inferred_and_explicit_scan_agree(spark, sf_dir, tmp_path):
 
 
 def test_sources_can_be_chosen(spark, sf_dir):
-    archive = catalog.normalize_archive(testbed.archive(spark, sf_dir))
+    usable = testbed.archive(spark, sf_dir)
+    assert catalog.normalize_archive(usable).count() > catalog.ARCHIVE_LIMIT
+    archive = catalog.normalize_archive(usable, catalog.ARCHIVE_LIMIT)
     assert archive.count() == catalog.ARCHIVE_LIMIT
     assert archive.schema.simpleString() == schemas.SOURCE_PLANETS.simpleString()
     local = archive.withColumn("source", F.lit("local"))
@@ -119,6 +122,29 @@ def test_sources_can_be_chosen(spark, sf_dir):
         catalog.union_sources(local, archive, "elsewhere")
 
 
+def test_archive_extract_file(spark, sf_dir, tmp_path):
+    archive = testbed.archive(spark, sf_dir)
+    shuffled = archive.select(*reversed(archive.columns), F.lit("x").alias("further"))
+    shuffled.write.option("header", True).csv(f"{tmp_path}/extract")
+    read = catalog.read_archive(spark, f"{tmp_path}/extract")
+    assert read.schema == schemas.ARCHIVE
+    assert sorted(map(str, read.collect())) == sorted(map(str, archive.select(*read.columns).collect()))
+
+
+@pytest.mark.parametrize("wanted", ["luminosity", "tidal_lock_au", "xuv_factor", "hz_inner_au"])
+def test_unlisted_star_type_is_an_error_whatever_is_read(spark, wanted):
+    planets = spark.createDataFrame([("a", "quasar")], "name string, star_type string")
+    with pytest.raises(Exception, match="unlisted star_type: quasar"):
+        catalog.with_star_type(spark, planets, zone=True).select(wanted).collect()
+
+
+@pytest.mark.parametrize("wanted", ["base_albedo", "habitable_candidate"])
+def test_unlisted_planet_type_is_an_error_whatever_is_read(spark, wanted):
+    planets = spark.createDataFrame([("a", None)], "name string, planet_type string")
+    with pytest.raises(Exception, match="unlisted planet_type: NULL"):
+        catalog.with_planet_type(spark, planets).select(wanted).collect()
+
+
 def test_nesting_is_bounded_and_reversible(spark, sf_dir):
     raw = testbed.planets_raw(spark, sf_dir)
     nested = catalog.nest(raw, ["system_id"], F.floor(F.col("planet_id") / 4))

@@ -3,9 +3,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from heliotab.jobs import stream as job
 from heliotab.plans import telemetry
 from heliotab.schemas import MODEL_COLUMNS, SENSOR_READING
-from heliotab.sources import testbed, wire
+from heliotab.sources import testbed, topic, wire
 from heliotab.streaming import sinks, streams
 
 FIELDS = [f.name for f in SENSOR_READING.fields]
@@ -53,7 +54,7 @@ def test_fan_out_writes_every_sink_once(spark, topic_dir, batch_rows, tmp_path):
     streams.await_all(spark, [streams.to_sinks(stream, named, f"{tmp_path}/cp", interval="once")])
     assert _rows(spark.read.parquet(f"{tmp_path}/processed")) == batch_rows
     raw = spark.read.parquet(f"{tmp_path}/raw")
-    assert set(raw.columns) == {*FIELDS, "batch"} and raw.count() == batch_rows.total()
+    assert set(raw.columns) == {*FIELDS, "batch", "run"} and raw.count() == batch_rows.total()
     times = spark.read.parquet(f"{tmp_path}/processed").groupBy("batch").agg(
         F.countDistinct("processed_at").alias("n"), F.count("processed_at").alias("known")
     )
@@ -91,6 +92,35 @@ def test_failed_batch_is_repeated_without_duplicates(spark, topic_dir, batch_row
         assert _rows(spark.read.parquet(f"{tmp_path}/{name}")) == batch_rows
 
 
+def test_new_checkpoint_keeps_earlier_output(spark, topic_dir, batch_rows, tmp_path):
+    named = {
+        "out": sinks.parquet_sink(f"{tmp_path}/out"),
+        "documents": sinks.document_sink(f"{tmp_path}/documents"),
+        "snapshots": sinks.snapshot_sink(f"{tmp_path}/snapshots"),
+    }
+    for checkpoint in ("one", "two"):
+        query = streams.to_sinks(_stream(spark, topic_dir), named, f"{tmp_path}/{checkpoint}", interval="once")
+        streams.await_all(spark, [query])
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert _rows(out) == batch_rows + batch_rows
+    assert out.select("run").distinct().count() == 2 and out.filter("run = 'none'").count() == 0
+    assert spark.read.json(f"{tmp_path}/documents").count() == 2 * batch_rows.total()
+    snapshots = spark.read.option("header", True).csv(f"{tmp_path}/snapshots/raw")
+    assert snapshots.count() == 2 * batch_rows.total()
+
+
+def test_backlog_is_worked_off_in_bounded_batches(spark, topic_dir, batch_rows, tmp_path):
+    """As the job reads it: more files than one batch may hold."""
+    options = job.parse(
+        ["--replay", topic_dir, "--checkpoint", f"{tmp_path}/cp", "--interval", "once", "--max-files", "1",
+         "--processed", f"{tmp_path}/out"]
+    )
+    job.run(spark, streams.replay(spark, options.replay, options.max_files), options)
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert _rows(out) == batch_rows and out.select("batch").distinct().count() == 5
+    assert streams.MAX_FILES > 0 and topic.source_options("h", "t")["maxOffsetsPerTrigger"] == str(topic.MAX_OFFSETS)
+
+
 def test_restart_reads_only_new_messages(spark, topic_dir, batch_rows, tmp_path):
     source, named = f"{tmp_path}/topic", {"out": sinks.parquet_sink(f"{tmp_path}/out")}
     messages = spark.read.parquet(topic_dir)
@@ -132,7 +162,7 @@ def test_empty_batches_write_nothing(spark, tmp_path):
 def test_documents_leave_model_columns_out(spark, tmp_path):
     frame = spark.createDataFrame([(1, 2.0, 3.0)], "tick int, prediction double, label_index double")
     sinks.document_sink(str(tmp_path))(frame, 4)
-    document = spark.read.json(f"{tmp_path}/batch=4").first().asDict()
+    document = spark.read.json(f"{tmp_path}/run=none/batch=4").first().asDict()
     assert document["_batch_id"] == 4 and not set(document) & set(MODEL_COLUMNS)
 
 
