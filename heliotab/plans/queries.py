@@ -808,9 +808,15 @@ def stratified_folds(spark, sf_dir):
     return training.with_folds(planets)
 
 
+_SEARCHES: dict = {}
+
+
 def _searched(spark, sf_dir):
-    """The whole search: 18 settings, five folds, on the rule labels."""
-    return training.cross_validate(_training_planets(spark, sf_dir))
+    """The whole search: 18 settings, five folds, on the rule labels; once for both its queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SEARCHES:
+        _SEARCHES[key] = training.cross_validate(_training_planets(spark, sf_dir), parallelism=8)
+    return _SEARCHES[key]
 
 
 @query
