@@ -35,7 +35,7 @@ RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 BATCH = [
     "planet_table", "label_planets", "label_reasons", "system_summary", "labels_by_star",
     "radiation_ranking", "planets_by_orbit", "planets_with_system", "normalize_archive_all",
-    "flatten_catalog", "feature_moments", "encode_wire", "enrich_readings", "score_breakdown",
+    "flatten_catalog", "feature_moments", "enrich_readings", "score_breakdown",
     "alert_counts", "sensor_range_check", "join_star_fallback", "classification_metrics",
 ]
 
@@ -99,6 +99,11 @@ def main() -> None:
     wire.encode(readings).repartition(int(CPUS)).write.parquet(messages)
     rows = spark.read.parquet(messages).count()
 
+    spread = work_dir(spark, "bench-raw")
+    readings.repartition(int(CPUS)).write.parquet(spread)
+    raw = spark.read.parquet(spread)
+    seconds["encode_wire"] = measure(lambda: drain(wire.decode(wire.encode(raw))))
+
     def stream():
         out = work_dir(spark, "bench-stream")
         enriched = streams.enriched_stream(streams.replay(spark, messages))

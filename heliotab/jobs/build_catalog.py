@@ -2,7 +2,8 @@
 
     spark-submit -m heliotab.jobs.build_catalog --systems systems.json --out /tables
 
-Every input row is one system: system_name, star_type, star_age_gy and an array ``planets``.
+Every input row is one system: system_name, star_type, star_age_gy and an array ``planets``.  The
+reports are written whole, as CSV below ``reports``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from ..schemas import PLANETS
 from ..session import job_session
 from ..sinks import batch
 from ..sources import terms
+from ..workspace import stored
 
 NESTED = (
     "system_name string, star_type string, star_age_gy double, planets array<struct<"
@@ -41,12 +43,16 @@ def run(spark: SparkSession, systems_path: str, out: str, wording: bool = False)
         stars, planets = terms.to_wording(stars), terms.to_wording(planets)
     batch.write_csv(stars, f"{out}/star_systems")
     batch.write_csv(planets, f"{out}/planets")
-    written = terms.to_codes(catalog.read_planets_csv(spark, f"{out}/planets"))
-    reports.profile_counts(written).show()
-    reports.distribution(written, "label").show()
-    reports.cross_distribution(written, "star_type", "label").show()
-    reports.candidates(written).show(truncate=False)
-    reports.radiation_ranking(written).show(truncate=False)
+    # All reports read one columnar copy, not the text again.
+    written = stored(terms.to_codes(catalog.read_planets_csv(spark, f"{out}/planets")), "catalog")
+    named = {
+        "profile": reports.profile_counts(written),
+        "labels": reports.distribution(written, "label"),
+        "labels_by_star": reports.cross_distribution(written, "star_type", "label"),
+        "candidates": reports.candidates(written),
+        "radiation": reports.radiation_ranking(written),
+    }
+    batch.write_reports(named, f"{out}/reports")
 
 
 def main() -> None:

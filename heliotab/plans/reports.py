@@ -10,8 +10,29 @@ from ..functions import habitability
 from ..sources import dims
 from ..sources.wire import nan_to_null
 
+# Rows and columns of the printed reports.
 RADIATION_ROWS = 20
 ORBIT_ROWS = 100
+CANDIDATE_COLUMNS = [
+    "name",
+    "star_type",
+    "distance_au",
+    "avg_temp_celsius",
+    "stellar_flux",
+    "surface_radiation_msv_h",
+    "tidally_locked",
+    "in_habitable_zone",
+    "planet_type",
+    "label",
+]
+RADIATION_COLUMNS = [
+    "name",
+    "star_type",
+    "distance_au",
+    "surface_radiation_msv_h",
+    "magnetic_field",
+    "label",
+]
 
 
 def profile_counts(planets: DataFrame) -> DataFrame:
@@ -51,18 +72,13 @@ def system_summary(planets: DataFrame, label: str = "predicted_label") -> DataFr
 
 def candidates(planets: DataFrame) -> DataFrame:
     """Planets of a type that can be habitable."""
-    return planets.filter("habitable_candidate").select(
-        "name", "star_type", "distance_au", "avg_temp_celsius", "stellar_flux",
-        "surface_radiation_msv_h", "tidally_locked", "in_habitable_zone", "planet_type", "label",
-    )
+    return planets.filter("habitable_candidate").select(*CANDIDATE_COLUMNS)
 
 
 def radiation_ranking(planets: DataFrame, rows: int = RADIATION_ROWS) -> DataFrame:
     """The most irradiated planets, ties by name."""
     return (
-        planets.select(
-            "name", "star_type", "distance_au", "surface_radiation_msv_h", "magnetic_field", "label"
-        )
+        planets.select(*RADIATION_COLUMNS)
         .orderBy(F.desc("surface_radiation_msv_h"), "name")
         .limit(rows)
     )

@@ -14,11 +14,23 @@ from ..sources import dims
 from ..sources.wire import nan_to_null
 from .training import with_predicted_label
 
-CONSOLE_COLUMNS = (
-    "planet_name star_type planet_type stellar_flux surface_radiation_msv_h avg_temp_celsius "
-    "temperature_c atmosphere_o2 in_hz_int tidally_locked_int habitability_score "
-    "habitability_class ml_prediction alerts"
-).split()
+# What the console shows of a reading.
+CONSOLE_COLUMNS = [
+    "planet_name",
+    "star_type",
+    "planet_type",
+    "stellar_flux",
+    "surface_radiation_msv_h",
+    "avg_temp_celsius",
+    "temperature_c",
+    "atmosphere_o2",
+    "in_hz_int",
+    "tidally_locked_int",
+    "habitability_score",
+    "habitability_class",
+    "ml_prediction",
+    "alerts",
+]
 
 
 def _scored(readings: DataFrame) -> DataFrame:

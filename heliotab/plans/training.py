@@ -37,6 +37,7 @@ def indexer(column: str, output: str) -> StringIndexer:
 
 
 def feature_stages() -> list:
+    # The columns and their order, as stored models have them.
     return [
         indexer("star_type", "star_type_idx"),
         indexer("planet_type", "planet_type_idx"),

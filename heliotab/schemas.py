@@ -9,77 +9,146 @@ from pyspark.sql.types import (
     StructType,
 )
 
-
-def _struct(**groups: str) -> StructType:
-    kinds = {"s": StringType(), "d": DoubleType(), "i": IntegerType(), "b": BooleanType()}
-    return StructType(
-        [
-            StructField(name, kinds[key[0]], True)
-            for key, names in groups.items()
-            for name in names.split()
-        ]
-    )
-
-
-# One sensor reading as it travels over the topic (33 fields, all nullable).
-SENSOR_READING = _struct(
-    s1="planet_name system_name star_type planet_type",
-    d1="distance_au mass_earth radius_km",
-    d2="temperature_c avg_temp_celsius gravity_g stellar_flux surface_radiation_msv_h radiation_msv_h",
-    d3="wind_speed_kmh pressure_hpa vegetation_index humidity_pct seismic_activity magnetic_field_ut",
-    d4="atmosphere_o2 atmosphere_co2 atmosphere_n2 o2_pct co2_ppm",
-    i1="has_water_int magnetic_field_int in_hz_int",
-    i2="tidally_locked_int retains_atmosphere_int habitable_candidate_int",
-    i3="tick",
-    s2="timestamp source",
+# One sensor reading as it travels over the topic (33 fields).
+SENSOR_READING = StructType(
+    [
+        StructField("planet_name", StringType()),
+        StructField("system_name", StringType()),
+        StructField("star_type", StringType()),
+        StructField("planet_type", StringType()),
+        StructField("distance_au", DoubleType()),
+        StructField("mass_earth", DoubleType()),
+        StructField("radius_km", DoubleType()),
+        StructField("temperature_c", DoubleType()),
+        StructField("avg_temp_celsius", DoubleType()),
+        StructField("gravity_g", DoubleType()),
+        StructField("stellar_flux", DoubleType()),
+        StructField("surface_radiation_msv_h", DoubleType()),
+        StructField("radiation_msv_h", DoubleType()),
+        StructField("wind_speed_kmh", DoubleType()),
+        StructField("pressure_hpa", DoubleType()),
+        StructField("vegetation_index", DoubleType()),
+        StructField("humidity_pct", DoubleType()),
+        StructField("seismic_activity", DoubleType()),
+        StructField("magnetic_field_ut", DoubleType()),
+        StructField("atmosphere_o2", DoubleType()),
+        StructField("atmosphere_co2", DoubleType()),
+        StructField("atmosphere_n2", DoubleType()),
+        StructField("o2_pct", DoubleType()),
+        StructField("co2_ppm", DoubleType()),
+        StructField("has_water_int", IntegerType()),
+        StructField("magnetic_field_int", IntegerType()),
+        StructField("in_hz_int", IntegerType()),
+        StructField("tidally_locked_int", IntegerType()),
+        StructField("retains_atmosphere_int", IntegerType()),
+        StructField("habitable_candidate_int", IntegerType()),
+        StructField("tick", IntegerType()),
+        StructField("timestamp", StringType()),
+        StructField("source", StringType()),
+    ]
 )
 
 # Topic messages: key and JSON text.
-WIRE = _struct(s="key value")
+WIRE = StructType([StructField("key", StringType()), StructField("value", StringType())])
 
-# The star table (12 columns).
-STAR_SYSTEMS = _struct(
-    s1="system_name star_type",
-    d1="star_luminosity",
-    i1="star_temp_k",
-    d2="star_mass_solar star_age_gy star_lifespan_gy",
-    s2="star_color",
-    d3="xuv_factor flare_risk hz_inner_au hz_outer_au",
+# The star table (12 columns).
+STAR_SYSTEMS = StructType(
+    [
+        StructField("system_name", StringType()),
+        StructField("star_type", StringType()),
+        StructField("star_luminosity", DoubleType()),
+        StructField("star_temp_k", IntegerType()),
+        StructField("star_mass_solar", DoubleType()),
+        StructField("star_age_gy", DoubleType()),
+        StructField("star_lifespan_gy", DoubleType()),
+        StructField("star_color", StringType()),
+        StructField("xuv_factor", DoubleType()),
+        StructField("flare_risk", DoubleType()),
+        StructField("hz_inner_au", DoubleType()),
+        StructField("hz_outer_au", DoubleType()),
+    ]
 )
 
-# The planet table (33 columns).
-PLANETS = _struct(
-    s1="system_name star_type",
-    d1="star_luminosity star_age_gy xuv_factor flare_risk",
-    s2="name planet_type",
-    d2="distance_au radius_km mass_earth gravity_g avg_temp_celsius stellar_flux surface_radiation_msv_h",
-    b1="tidally_locked retains_atmosphere",
-    d3="atmosphere_o2 atmosphere_co2 atmosphere_n2",
-    b2="has_water magnetic_field",
-    i1="moons",
-    b3="in_habitable_zone",
-    d4="albedo",
-    b4="habitable_candidate",
-    i2="has_water_int magnetic_field_int in_hz_int habitable_candidate_int tidally_locked_int retains_atmosphere_int",
-    s3="label",
+# The planet table (33 columns).
+PLANETS = StructType(
+    [
+        StructField("system_name", StringType()),
+        StructField("star_type", StringType()),
+        StructField("star_luminosity", DoubleType()),
+        StructField("star_age_gy", DoubleType()),
+        StructField("xuv_factor", DoubleType()),
+        StructField("flare_risk", DoubleType()),
+        StructField("name", StringType()),
+        StructField("planet_type", StringType()),
+        StructField("distance_au", DoubleType()),
+        StructField("radius_km", DoubleType()),
+        StructField("mass_earth", DoubleType()),
+        StructField("gravity_g", DoubleType()),
+        StructField("avg_temp_celsius", DoubleType()),
+        StructField("stellar_flux", DoubleType()),
+        StructField("surface_radiation_msv_h", DoubleType()),
+        StructField("tidally_locked", BooleanType()),
+        StructField("retains_atmosphere", BooleanType()),
+        StructField("atmosphere_o2", DoubleType()),
+        StructField("atmosphere_co2", DoubleType()),
+        StructField("atmosphere_n2", DoubleType()),
+        StructField("has_water", BooleanType()),
+        StructField("magnetic_field", BooleanType()),
+        StructField("moons", IntegerType()),
+        StructField("in_habitable_zone", BooleanType()),
+        StructField("albedo", DoubleType()),
+        StructField("habitable_candidate", BooleanType()),
+        StructField("has_water_int", IntegerType()),
+        StructField("magnetic_field_int", IntegerType()),
+        StructField("in_hz_int", IntegerType()),
+        StructField("habitable_candidate_int", IntegerType()),
+        StructField("tidally_locked_int", IntegerType()),
+        StructField("retains_atmosphere_int", IntegerType()),
+        StructField("label", StringType()),
+    ]
 )
 
-# A planet as a source hands it to the telemetry side (18 columns).
-SOURCE_PLANETS = _struct(
-    s1="name system_name star_type planet_type",
-    d1="distance_au mass_earth radius_km gravity_g avg_temp_celsius atmosphere_o2 atmosphere_co2 atmosphere_n2",
-    b1="has_water magnetic_field in_habitable_zone retains_atmosphere habitable_candidate",
-    s2="source",
+# A planet as a source hands it to the telemetry side (18 columns).
+SOURCE_PLANETS = StructType(
+    [
+        StructField("name", StringType()),
+        StructField("system_name", StringType()),
+        StructField("star_type", StringType()),
+        StructField("planet_type", StringType()),
+        StructField("distance_au", DoubleType()),
+        StructField("mass_earth", DoubleType()),
+        StructField("radius_km", DoubleType()),
+        StructField("gravity_g", DoubleType()),
+        StructField("avg_temp_celsius", DoubleType()),
+        StructField("atmosphere_o2", DoubleType()),
+        StructField("atmosphere_co2", DoubleType()),
+        StructField("atmosphere_n2", DoubleType()),
+        StructField("has_water", BooleanType()),
+        StructField("magnetic_field", BooleanType()),
+        StructField("in_habitable_zone", BooleanType()),
+        StructField("retains_atmosphere", BooleanType()),
+        StructField("habitable_candidate", BooleanType()),
+        StructField("source", StringType()),
+    ]
 )
 
-# An extract of the public exoplanet archive, with the flag of its default parameter set.
-ARCHIVE = _struct(
-    s="hostname pl_name st_spectype",
-    d="st_lum st_age pl_orbsmax pl_rade pl_bmasse pl_eqt",
-    i="default_flag",
+# An extract of the public exoplanet archive, with the flag of its default parameter set.
+ARCHIVE = StructType(
+    [
+        StructField("hostname", StringType()),
+        StructField("pl_name", StringType()),
+        StructField("st_spectype", StringType()),
+        StructField("st_lum", DoubleType()),
+        StructField("st_age", DoubleType()),
+        StructField("pl_orbsmax", DoubleType()),
+        StructField("pl_rade", DoubleType()),
+        StructField("pl_bmasse", DoubleType()),
+        StructField("pl_eqt", DoubleType()),
+        StructField("default_flag", IntegerType()),
+    ]
 )
 
-# The boolean columns of the planet table and their 0/1 twins.
+# The boolean columns of the planet table and their 0/1 twins.
 FLAG_TWINS = {
     "has_water": "has_water_int",
     "magnetic_field": "magnetic_field_int",
@@ -89,28 +158,68 @@ FLAG_TWINS = {
     "retains_atmosphere": "retains_atmosphere_int",
 }
 
-# What the classifier reads besides the two encoded type columns.
-NUMERIC_FEATURES = (
-    "distance_au stellar_flux radius_km mass_earth gravity_g avg_temp_celsius "
-    "surface_radiation_msv_h atmosphere_o2 atmosphere_co2 atmosphere_n2 "
-    "has_water_int magnetic_field_int in_hz_int tidally_locked_int retains_atmosphere_int"
-).split()
+# What the classifier reads besides the two encoded type columns.
+NUMERIC_FEATURES = [
+    "distance_au",
+    "stellar_flux",
+    "radius_km",
+    "mass_earth",
+    "gravity_g",
+    "avg_temp_celsius",
+    "surface_radiation_msv_h",
+    "atmosphere_o2",
+    "atmosphere_co2",
+    "atmosphere_n2",
+    "has_water_int",
+    "magnetic_field_int",
+    "in_hz_int",
+    "tidally_locked_int",
+    "retains_atmosphere_int",
+]
 
-# The stored result of the batch job (16 columns).
-BATCH_RESULT = (
-    "system_name name star_type planet_type distance_au avg_temp_celsius stellar_flux "
-    "surface_radiation_msv_h in_habitable_zone atmosphere_o2 has_water_int gravity_g "
-    "tidally_locked retains_atmosphere label predicted_label"
-).split()
+# The stored result of the batch job (16 columns).
+BATCH_RESULT = [
+    "system_name",
+    "name",
+    "star_type",
+    "planet_type",
+    "distance_au",
+    "avg_temp_celsius",
+    "stellar_flux",
+    "surface_radiation_msv_h",
+    "in_habitable_zone",
+    "atmosphere_o2",
+    "has_water_int",
+    "gravity_g",
+    "tidally_locked",
+    "retains_atmosphere",
+    "label",
+    "predicted_label",
+]
 
-# The held-out report (9 columns).
-BATCH_REPORT = (
-    "name star_type planet_type stellar_flux surface_radiation_msv_h avg_temp_celsius "
-    "in_habitable_zone label predicted_label"
-).split()
+# The held-out report (9 columns).
+BATCH_REPORT = [
+    "name",
+    "star_type",
+    "planet_type",
+    "stellar_flux",
+    "surface_radiation_msv_h",
+    "avg_temp_celsius",
+    "in_habitable_zone",
+    "label",
+    "predicted_label",
+]
 
-# Columns that a fitted pipeline adds and document stores must not see.
-MODEL_COLUMNS = (
-    "star_type_idx planet_type_idx label_index star_type_vec planet_type_vec "
-    "features_raw features rawPrediction probability prediction"
-).split()
+# Columns that a fitted pipeline adds and document stores must not see.
+MODEL_COLUMNS = [
+    "star_type_idx",
+    "planet_type_idx",
+    "label_index",
+    "star_type_vec",
+    "planet_type_vec",
+    "features_raw",
+    "features",
+    "rawPrediction",
+    "probability",
+    "prediction",
+]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 
@@ -20,3 +22,9 @@ def write_parquet(df: DataFrame, *paths: str) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_reports(reports: Mapping[str, DataFrame], path: str) -> None:
+    """Every report whole, as CSV in a folder of its name."""
+    for name, report in reports.items():
+        write_csv(report, f"{path}/{name}")

@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# star_idx, star_type, luminosity, temp_k, mass_solar, lifespan_gy, color,
-# xuv_factor, flare_risk, tidal_lock_au, min_age_gy.
-STAR_COLUMNS = (
-    "star_idx star_type luminosity temp_k mass_solar lifespan_gy color "
-    "xuv_factor flare_risk tidal_lock_au min_age_gy"
-).split()
+# The star types.
+STAR_COLUMNS = [
+    "star_idx",
+    "star_type",
+    "luminosity",
+    "temp_k",
+    "mass_solar",
+    "lifespan_gy",
+    "color",
+    "xuv_factor",
+    "flare_risk",
+    "tidal_lock_au",
+    "min_age_gy",
+]
 STAR_ROWS = [
     (0, "red_dwarf", 0.01, 3200, 0.3, 100.0, "red", 10.0, 0.6, 0.3, 2.0),
     (1, "orange_dwarf", 0.3, 4500, 0.7, 30.0, "orange", 2.0, 0.2, 0.15, 1.0),
@@ -22,8 +30,12 @@ STAR_ROWS = [
 # What telemetry assumes for a star type it does not know.
 UNKNOWN_STAR = {"luminosity": 1.0, "xuv_factor": 1.0, "tidal_lock_au": 0.05}
 
-# planet_type, base_albedo, habitable_candidate.
-PLANET_COLUMNS = "planet_type base_albedo habitable_candidate".split()
+# The planet types.
+PLANET_COLUMNS = [
+    "planet_type",
+    "base_albedo",
+    "habitable_candidate",
+]
 PLANET_ROWS = [
     ("terrestrial", 0.30, True),
     ("super_earth", 0.35, True),

@@ -32,6 +32,8 @@ def test_catalogue_equals_the_query(spark, workplace):
     stars = spark.read.option("header", True).csv(f"{workplace}/tables/star_systems")
     assert stars.count() == 100
     assert {r.star_type for r in stars.collect()} < set(vocab.STAR_TYPES.values())
+    listed = spark.read.option("header", True).csv(f"{workplace}/tables/reports/candidates")
+    assert listed.count() == expected.filter("habitable_candidate_int = 1").count() > 20
 
 
 @pytest.fixture(scope="module")
