@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heliotab.llm.shipping import ship
+from heliotab.llm.storage import Scratch
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 # Fixed value: the split pattern that belongs to this vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-BUCKET = 1024  # neighbouring lengths that are summed together first
+BUCKET = 64  # neighbouring lengths that are summed together first
 
 _encoders: dict = {}
 
@@ -73,11 +74,12 @@ def context_limits(histogram: DataFrame) -> DataFrame:
 
     Sums run inside buckets of lengths and over the buckets, so no task sees the whole histogram.
     """
+    histogram = Scratch(histogram.sparkSession, "lengths").store(histogram, "histogram")  # encoded once
     tokens = F.col("n_tokens") * F.col("docs")
     rows = histogram.withColumns({"bucket": F.floor(F.col("n_tokens") / BUCKET), "tokens": tokens})
     inside = W.partitionBy("bucket").orderBy(F.desc("n_tokens")).rowsBetween(W.unboundedPreceding, -1)
     rows = rows.withColumns({"own_docs": F.sum("docs").over(inside), "own_tokens": F.sum("tokens").over(inside)})
-    # One row a bucket: the longest document's length / 1024 of them.
+    # One row a bucket: the longest document's length / 64 of them.
     sums = rows.groupBy("bucket").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))
     later = W.orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
     whole = W.orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
