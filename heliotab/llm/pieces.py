@@ -30,7 +30,8 @@ from heliotab.llm.words import powers, prefix_hash, text_blocks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SHORT = 40  # bytes of a stretch that is searched in columns
-BLOCK_TEXT = 1 << 23
+BLOCK_TEXT = 1 << 21
+TOGETHER = 1 << 15  # stretches that are searched together
 _NEVER = -(1 << 62)
 
 
@@ -170,78 +171,82 @@ def encode_stream(pieces: Pieces, parts: Iterable[bytes]) -> Iterator[int]:
 
 
 def encode_short(pieces: Pieces, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of many stretches of at most ``SHORT`` bytes: flat ids and the stretches' offsets.
+    """Ids of many stretches of at most ``SHORT`` bytes: flat ids and the stretches' offsets."""
+    order = np.argsort(starts - ends, kind="stable")
+    rows, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    total, back = prefix_hash(data), powers(len(data))[1]
+    for at in range(0, len(order), TOGETHER):
+        some = order[at : at + TOGETHER]
+        row, own = _search_columns(pieces, data, total, back, starts[some], (ends - starts)[some])
+        rows.append(some[row])
+        ids.append(own)
+    rows, ids = np.concatenate(rows), np.concatenate(ids)
+    counts = np.bincount(rows, minlength=len(starts))
+    return ids[np.argsort(rows, kind="stable")], np.concatenate(([0], np.cumsum(counts)))
+
+
+def _search_columns(pieces: Pieces, data, total, back, starts, size) -> tuple[np.ndarray, np.ndarray]:
+    """The search for stretches in falling order of length: rows and ids, a row's ids in order.
 
-    The stretches are sorted by length, so that those with a place ``end`` are a leading part and
-    every step works on whole columns.
+    Those that have a place ``end`` are a leading part, so every step works on whole columns.
     """
-    m = len(starts)
-    if not m:
-        return np.zeros(0, np.int32), np.zeros(1, np.int64)
-    order = np.argsort(starts - ends, kind="stable")
-    starts, size = starts[order], (ends - starts)[order]
     longest = int(size[0])
     having = np.searchsorted(-size, -np.arange(longest + 1), side="right")  # stretches of at least that size
-    total, back = prefix_hash(data), powers(len(data))[1]
-    column = np.zeros((longest + 1, m), np.uint64)
-    inverse = np.zeros((longest + 1, m), np.uint64)
-    for i in range(longest + 1):
-        own = starts[: having[i]] + i
-        column[i, : having[i]], inverse[i, : having[i]] = total[own], back[own]
-    best = np.full((longest + 1, m), _NEVER, np.int64)
-    step = np.zeros((longest + 1, m), np.int8)
-    via = np.full((longest + 1, m), -1, np.int32)
-    best[0] = 0
-    bare = np.zeros((longest, m), bool)
-
-    def lookup(begin: int, length: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    column = [total[starts[: having[i]] + i] for i in range(longest + 1)]
+    inverse = [back[starts[: having[i]] + i] for i in range(longest + 1)]
+    best = [np.full(n, _NEVER, np.int64) for n in having]
+    step = [np.zeros(n, np.int8) for n in having]
+    via = [np.full(n, -1, np.int32) for n in having]
+    best[0][:] = 0
+
+    def lookup(begin: int, length: int) -> tuple[np.ndarray, np.ndarray]:
         table, keys, ids = pieces.by_length[length]
-        h = (column[begin + length, :n] - column[begin, :n]) * inverse[begin, :n]
+        n = having[begin + length]
+        h = (column[begin + length] - column[begin][:n]) * inverse[begin][:n]
         some = np.flatnonzero(table[(h >> np.uint64(48)).astype(np.int64)])
         place = np.minimum(np.searchsorted(keys, h[some]), len(keys) - 1)
         same = keys[place] == h[some]
         return some[same], ids[place[same]]
 
-    # Characters that are no piece.
+    # Bytes of characters that are no piece.
+    bare = []
     for i in range(longest):
         n = having[i + 1]
         lead = data[starts[:n] + i]
         cover = np.zeros(n, bool)
-        for length in range(1, 5):
-            if length in pieces.by_length and i + length <= longest:
-                hit, _ = lookup(i, length, having[i + length])
+        for length in range(1, min(4, longest - i) + 1):
+            if length in pieces.by_length:
+                hit, _ = lookup(i, length)
                 first = data[starts[hit] + i]
                 need = np.where(first < 0x80, 1, np.where(first < 0xE0, 2, np.where(first < 0xF0, 3, 4)))
                 cover[hit[need == length]] = True
         tail = (lead & 0xC0) == 0x80
-        bare[i, :n] = np.where(tail, bare[i - 1, :n] if i else False, ~cover)
+        bare.append(np.where(tail, bare[i - 1][:n] if i else False, ~cover))
     for end in range(1, longest + 1):
-        n = having[end]
         for length in range(min(pieces.longest, end), 0, -1):
             if length in pieces.by_length:
-                hit, ids = lookup(end - length, length, n)
-                score = best[end - length, hit] + pieces.score[ids]
-                win = (score > best[end, hit]) & (best[end - length, hit] > _NEVER)
+                hit, ids = lookup(end - length, length)
+                before = best[end - length][hit]
+                score = before + pieces.score[ids]
+                win = (score > best[end][hit]) & (before > _NEVER)
                 hit = hit[win]
-                best[end, hit], step[end, hit], via[end, hit] = score[win], length, ids[win]
-        hit = np.flatnonzero(bare[end - 1, :n])
-        value = data[starts[hit] + end - 1]
-        score = best[end - 1, hit] + np.where((value & 0xC0) == 0x80, 0, pieces.unknown)
-        win = (score > best[end, hit]) & (best[end - 1, hit] > _NEVER)
+                best[end][hit], step[end][hit], via[end][hit] = score[win], length, ids[win]
+        hit = np.flatnonzero(bare[end - 1])
+        value, before = data[starts[hit] + end - 1], best[end - 1][hit]
+        score = before + np.where((value & 0xC0) == 0x80, 0, pieces.unknown)
+        win = (score > best[end][hit]) & (before > _NEVER)
         hit = hit[win]
-        best[end, hit], step[end, hit], via[end, hit] = score[win], 1, pieces.of_byte[value[win]]
-    place, row = size.copy(), np.arange(m)
-    rows, ids = [], []
-    while len(row):
+        best[end][hit], step[end][hit], via[end][hit] = score[win], 1, pieces.of_byte[value[win]]
+    # Back from the ends: all stretches that are at a place together.
+    place = size.astype(np.int64)
+    rows, found = [], []
+    for end in range(longest, 0, -1):
+        row = np.flatnonzero(place[: having[end]] == end)
         rows.append(row)
-        ids.append(via[place, row])
-        place = place - step[place, row]
-        row, place = row[place > 0], place[place > 0]
-    rows, ids = np.concatenate(rows), np.concatenate(ids)
-    # The last piece was found first: reverse, then bring together by original stretch.
-    rows, ids = order[rows[::-1]], ids[::-1]
-    counts = np.bincount(rows, minlength=m)
-    return ids[np.argsort(rows, kind="stable")], np.concatenate(([0], np.cumsum(counts)))
+        found.append(via[end][row])
+        place[row] -= step[end][row]
+    # The last piece was found first.
+    return np.concatenate(rows)[::-1], np.concatenate(found)[::-1]
 
 
 def encode_block(pieces: Pieces, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
