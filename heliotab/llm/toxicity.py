@@ -2,8 +2,10 @@
 
 Terms are whole words (runs of letters of the lower-cased text) and the first four and five bytes
 of longer words.  The vocabulary is the ``max_terms`` terms whose presence tells most about the
-label (likelihood ratio of at least ``min_evidence``) in a bounded sample of labelled documents;
-idf counts all documents.  The examples are the sample's documents as vectors of
+label in a bounded sample of labelled documents: by the log-likelihood ratio, if it is more than
+chance explains among so many terms.  Copies count once, lest the words of a copied document seem
+telling: documents that share the least hash of their long words are a family.  idf counts all
+documents.  The examples are one document of each family and label, as vectors of
 (1 + log tf) * idf, scaled to length one.
 
 The index is inverted and in blocks: for each term the weights of the examples that hold it, block
@@ -33,6 +35,7 @@ from heliotab.llm.words import mix, prefix_hash, span_hash, text_blocks, word_sp
 
 BLOCK = 64  # examples in a block of the index
 PREFIXES = (4, 5)
+LONG = 8  # bytes of a word that tells documents apart
 CUT = 0.3
 
 _SEPARATOR = np.ones(256, bool)
@@ -56,6 +59,19 @@ def _term_stream(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         yield row, len(at) - 1, np.concatenate(owners), np.concatenate(parts)
 
 
+def _families(texts: pa.Array) -> np.ndarray:
+    """The least hash of each text's words of ``LONG`` bytes or more, else of all its words."""
+    out = np.zeros(len(texts), np.uint64)
+    for row, data, offsets in text_blocks(pc.utf8_lower(texts.cast(pa.large_string()))):
+        starts, ends, at = word_spans(data, offsets, _SEPARATOR)
+        hashes = span_hash(prefix_hash(data), starts, ends) >> np.uint64(1)
+        hashes[ends - starts < LONG] |= np.uint64(1 << 63)
+        full = np.flatnonzero(np.diff(at))
+        if len(full):
+            out[row + full] = np.minimum.reduceat(hashes, at[:-1][full])
+    return out
+
+
 class Vocabulary:
     """Places of the chosen terms, found by a small table of hash bits and then exactly."""
 
@@ -192,8 +208,11 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[DataFra
     return found, sizes
 
 
-def _vocabulary(terms: DataFrame, max_terms: int, min_evidence: float) -> np.ndarray:
-    """Terms of the sample that tell most about the label: log-likelihood ratio of presence."""
+def _vocabulary(terms: DataFrame, max_terms: int) -> np.ndarray:
+    """Terms that tell most about the label: log-likelihood ratio of their presence in families.
+
+    A term must reach twice the logarithm of the number of terms: less than one would by chance.
+    """
     sizes = {r["toxic"]: r["n"] for r in terms.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
     if not n1 or not n0:
@@ -208,13 +227,16 @@ def _vocabulary(terms: DataFrame, max_terms: int, min_evidence: float) -> np.nda
         part(a, (a + b) * n1 / n) + part(b, (a + b) * n0 / n)
         + part(n1 - a, (n - a - b) * n1 / n) + part(n0 - b, (n - a - b) * n0 / n)
     )
-    rows = (
+    counts = (
         terms.select("toxic", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
         .where("a + b >= 3")
-        .withColumn("evidence", evidence)
-        .where(F.col("evidence") >= min_evidence)
+    )
+    least = 2 * np.log(max(counts.count(), 2))
+    rows = (
+        counts.withColumn("evidence", evidence)
+        .where(F.col("evidence") >= float(least))
         .orderBy(F.desc("evidence"), "term")
         .limit(max_terms)
         .collect()
@@ -223,7 +245,7 @@ def _vocabulary(terms: DataFrame, max_terms: int, min_evidence: float) -> np.nda
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_terms: int = 384, min_evidence: float = 16.0, k: int = 15
+    docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_terms: int = 384, k: int = 15
 ) -> dict:
     """Vocabulary, idf, index and calibration from at most ``2 * per_class`` labelled documents."""
     spark = docs.sparkSession
@@ -231,7 +253,8 @@ def fit(
 
     def distinct_terms(batches):
         for batch in batches:
-            for row, n, rows, hashes in _term_stream(batch.column(1)):
+            families = _families(batch.column(2))
+            for row, n, rows, hashes in _term_stream(batch.column(2)):
                 order = np.lexsort((hashes, rows))
                 rows, hashes = rows[order], hashes[order]
                 new = np.ones(len(rows), bool)
@@ -239,16 +262,21 @@ def fit(
                 at = np.searchsorted(rows[new], np.arange(n + 1)).astype(np.int32)
                 yield pa.record_batch(
                     {
-                        "toxic": batch.column(0).slice(row, n),
+                        "doc_id": batch.column(0).slice(row, n),
+                        "toxic": batch.column(1).slice(row, n),
+                        "family": pa.array(families[row : row + n].view(np.int64)),
                         "terms": pa.ListArray.from_arrays(pa.array(at), pa.array(hashes[new].view(np.int64))),
                     }
                 )
 
     found, sizes = _sample(docs, labels, per_class)
     sample = scratch.store(found, "sample")
-    terms = scratch.store(sample.select("toxic", "text").mapInArrow(distinct_terms, "toxic int, terms array<long>"), "terms")
-    vocabulary = Vocabulary(_vocabulary(terms, max_terms, min_evidence))
-    scratch.drop(terms)
+    described = sample.select("doc_id", "toxic", "text").mapInArrow(
+        distinct_terms, "doc_id long, toxic int, family long, terms array<long>"
+    )
+    terms = scratch.store(described, "terms")
+    first = terms.groupBy("family", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    vocabulary = Vocabulary(_vocabulary(terms.join(first, "doc_id", "left_semi"), max_terms))
     v = len(vocabulary.terms)
     shared = spark.sparkContext.broadcast(vocabulary)
 
@@ -280,7 +308,8 @@ def fit(
                     }
                 )
 
-    rows = sample.select("doc_id", "toxic", "text").mapInArrow(held_terms, "doc_id long, toxic int, counts binary")
+    single = sample.join(first, "doc_id", "left_semi")
+    rows = single.select("doc_id", "toxic", "text").mapInArrow(held_terms, "doc_id long, toxic int, counts binary")
     rows = sorted(rows.collect(), key=lambda r: r["doc_id"])
     ids = np.array([r["doc_id"] for r in rows], np.int64)
     toxic = np.array([r["toxic"] for r in rows], float)

@@ -47,7 +47,8 @@ def test_toxicity_learns_words_and_names_its_evidence(spark):
     rows, marks = [], []
     for i in range(400):
         bad = i % 4 == 0
-        rows.append((i, f"plain words number {i} " + ("you awful fool" if bad else "you kind friend") + " end"))
+        own = "".join(chr(97 + int(c)) for c in str(i)) + "longword"  # else all are copies of two texts
+        rows.append((i, f"plain {own} words " + ("you awful fool" if bad else "you kind friend") + " end"))
         marks.append((i, int(bad)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame(marks, "doc_id long, toxic int")
