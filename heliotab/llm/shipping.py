@@ -1,4 +1,4 @@
-"""Make this package importable for Python workers on every executor."""
+"""What the tasks of this package need: the package itself on every executor, small Arrow batches."""
 
 from __future__ import annotations
 
@@ -11,11 +11,20 @@ from pyspark.sql import SparkSession
 import heliotab
 from heliotab.workspace import work_dir
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 500
+
 _sent: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Write the package as a zip to the shared folder and add it to the job, once per job."""
+    """Write the package as a zip to the shared folder and add it to the job, once per job.
+
+    Arrow batches of whole texts are kept to ``BATCH_ROWS`` rows where the session has Spark's
+    default of 10,000, which would be tens of megabytes at several places of each task.
+    """
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId in _sent:
         return
