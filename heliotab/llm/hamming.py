@@ -108,7 +108,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int | None =
     index = scratch.store(filed.select("id", "code").mapInArrow(file, "seg int, cell int, id long, code binary"), "index")
     crowd = index.groupBy("seg", "cell").count().agg(F.max("count")).first()[0]
     salts = -(-crowd // (4 * CELL_ROWS))
-    index = index.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+    placed = index.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
 
     def probing(radius: int):
         def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,10 +176,11 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int | None =
         probes = state.mapInArrow(probing(radius), "seg int, cell int, query_id long, code binary, reach int")
         probes = probes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         where = ["seg", "cell", "salt"]
-        fresh = index.groupBy(*where).cogroup(probes.groupBy(*where)).applyInArrow(
+        fresh = placed.groupBy(*where).cogroup(probes.groupBy(*where)).applyInArrow(
             verifying(radius), "query_id long, id long, distance int"
         )
         pool = fresh if found is None else found.select("query_id", "id", "distance").unionByName(fresh)
+        spent = [x for x in (found, state) if x is not None]
         order = W.partitionBy("query_id").orderBy("distance", "id")
         ranked = pool.distinct().withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
         found = scratch.store(ranked, "found")
@@ -193,4 +194,10 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int | None =
             .select("query_id", "code", F.coalesce("kth", F.lit(FAR)).alias("reach")),
             "queries",
         )
+        for table in spent:
+            scratch.drop(table)
+    for table in (filed, index, state):
+        scratch.drop(table)
+    if found is None:  # no queries
+        return spark.createDataFrame([], empty)
     return found.select("query_id", "rank", "id", "distance")

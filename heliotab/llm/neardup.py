@@ -330,6 +330,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     more = scratch.store(_confirmed(matched(second, True), sets, percent), "links")
     comps = components(links.unionByName(more), scratch)
+    for spent in (members, sets, links, more):
+        scratch.drop(spent)
 
     named = classes.select(*same, "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select(*same, F.coalesce("component", "rep").alias("component"))

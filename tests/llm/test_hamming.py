@@ -37,6 +37,7 @@ def test_two_words_few_rows_and_nothing(spark):
     assert result(hamming.top_k(table(spark, rows), table(spark, rows[:2]), 10)) == brute(rows, rows[:2], 10)
     assert hamming.top_k(table(spark, []), table(spark, [])).count() == 0
     assert hamming.top_k(table(spark, rows[:1]), table(spark, rows[:1])).count() == 0
+    assert hamming.top_k(table(spark, rows), table(spark, [])).count() == 0
 
 
 def test_codes_of_vectors(spark):
