@@ -13,6 +13,9 @@ from heliotab.llm import decontam, langid, neardup, pieces, toxicity
 from heliotab.llm.storage import Scratch
 
 
+NEAR_PERCENT = 80  # similarity of near duplicates; 85 is the contract of query op2 alone
+
+
 def _packed(docs: DataFrame, *needed: str) -> DataFrame:
     """The columns that a stage works on, and all of them aside, whatever their names are."""
     return docs.select(*needed, F.struct("*").alias("row"))
@@ -33,9 +36,9 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the least doc_id.
 
-    Of rows that repeat a doc_id one stays; rows without one stay.
+    Near duplicates share 0.8 or more of their five-word shingles (``NEAR_PERCENT``).  Of rows that repeat a doc_id one stays; rows without one stay.
     """
-    kept = neardup.near_duplicates(docs.select("doc_id", "text")).where("kept and doc_id is not null")
+    kept = neardup.near_duplicates(docs.select("doc_id", "text"), NEAR_PERCENT).where("kept and doc_id is not null")
     named = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 

@@ -3,11 +3,12 @@
 Texts become sets of 5-word shingles (``words``).  Every distinct set has a signature of
 ``SYMBOLS`` MinHash symbols.  Two sets of similarity J differ in a share of about 1 - J of them.
 
-*Index.*  The first ``INDEXED`` symbols are split into ``CHUNKS`` chunks of five.  If two signatures
-differ in fewer than ``2 * CHUNKS`` of these symbols, some chunk has at most one difference
-(pigeonhole).  The allowed error is enumerated: a chunk gives five keys, each leaving one symbol
-out, so every such pair shares a key.  At J = 0.85 a pair has more than 23 of 60 differences with
-probability 2e-6.
+*Index.*  The first symbols are split into chunks of five, ``CHUNKS`` or more.  The allowed error of
+a chunk is enumerated: it gives five keys, each leaving one symbol out, so a pair shares a key if
+some chunk has at most one difference.  With fewer than two differences a chunk on average there is
+always one (pigeonhole); beyond that a pair at the threshold goes without a key with a probability
+of at most ``MISS``, from which ``chunks_for`` takes the number of chunks.  How many differences a
+candidate may have follows from ``MISS`` too: 23 of 60 at J = 0.85, 28 of 60 at J = 0.8.
 
 *Search.*  Round one compares each member of a key's bucket with a few neighbours, confirms links
 on full sets and contracts them to components.  Round two goes through all pairs of members of
@@ -23,7 +24,7 @@ as one document.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
+from math import ceil, comb, log, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +35,13 @@ from heliotab.llm.graph import components
 from heliotab.llm.storage import Scratch
 from heliotab.llm.words import distinct_sorted, mix, shingle_stream, text_blocks
 
-CHUNKS, CHUNK = 12, 5
+CHUNKS, CHUNK = 12, 5  # CHUNKS: the least number
 INDEXED = CHUNKS * CHUNK
 SYMBOLS = 384
 CELL = 512  # members of a bucket that are compared with as many others in one step
 NEIGHBOURS = 3
 FILTER_BITS = 1 << 23
+MISS = 2.5e-6  # probability that a pair at the threshold has no key, or too many differences
 
 _rng = np.random.default_rng(7)
 _MULTIPLIER = (_rng.integers(0, 2**31, SYMBOLS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -52,6 +54,25 @@ def most_differences(threshold: float, symbols: int) -> int:
     return min(symbols, round(symbols * p + 4.75 * sqrt(symbols * p * (1 - p))))
 
 
+def chunks_for(threshold: float) -> int:
+    """Chunks of which a pair at the threshold has one with at most one difference, but for ``MISS``."""
+    close = threshold**CHUNK + CHUNK * (1 - threshold) * threshold ** (CHUNK - 1)
+    chunks = max(CHUNKS, ceil(log(MISS) / log(max(1 - close, 1e-9))) if close > 0 else SYMBOLS)
+    if chunks * CHUNK > SYMBOLS:
+        raise ValueError(f"{SYMBOLS} symbols are too few for a threshold of {threshold}")
+    return chunks
+
+
+def indexed_differences(threshold: float) -> int:
+    """Differences in the indexed symbols that a pair at the threshold exceeds with at most ``MISS``."""
+    n, p = chunks_for(threshold) * CHUNK, 1 - threshold
+    beyond, most = 0.0, n
+    while most and beyond + comb(n, most) * p**most * threshold ** (n - most) <= MISS:
+        beyond += comb(n, most) * p**most * threshold ** (n - most)
+        most -= 1
+    return max(most, 2 * CHUNKS - 1)
+
+
 def signature(shingles: np.ndarray) -> np.ndarray:
     """16-bit symbols of a non-empty set of 64-bit fingerprints."""
     low = (shingles >> np.uint64(32)).astype(np.uint32)
@@ -63,19 +84,16 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return ((least ^ _ADDEND) * np.uint32(0x85EBCA6B) >> np.uint32(16)).astype(np.uint16)
 
 
-def pack(symbols: np.ndarray) -> np.ndarray:
+def pack(symbols: np.ndarray, indexed: int) -> np.ndarray:
     """Signature rows as bytes: 16 bits of an indexed symbol, 8 of the others."""
-    head = np.ascontiguousarray(symbols[:, :INDEXED]).view(np.uint8)
-    return np.hstack([head, (symbols[:, INDEXED:] & 0xFF).astype(np.uint8)])
+    head = np.ascontiguousarray(symbols[:, :indexed]).view(np.uint8)
+    return np.hstack([head, (symbols[:, indexed:] & 0xFF).astype(np.uint8)])
 
 
-WIDTH = 2 * INDEXED + SYMBOLS - INDEXED
-
-
-def keys_of(symbols: np.ndarray) -> np.ndarray:
-    """The ``CHUNKS * CHUNK`` keys of each signature: chunk and left-out place, other symbols."""
-    out = np.empty((len(symbols), INDEXED), np.uint64)
-    for c in range(CHUNKS):
+def keys_of(symbols: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
+    """The ``chunks * CHUNK`` keys of each signature: chunk and left-out place, other symbols."""
+    out = np.empty((len(symbols), chunks * CHUNK), np.uint64)
+    for c in range(chunks):
         part = symbols[:, c * CHUNK : (c + 1) * CHUNK].astype(np.uint64)
         for left_out in range(CHUNK):
             key = np.zeros(len(symbols), np.uint64)
@@ -86,32 +104,38 @@ def keys_of(symbols: np.ndarray) -> np.ndarray:
     return out
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0)
-        for row, data, offsets in text_blocks(batch.column(1)):
-            shingles, at = shingle_stream(data, offsets)
-            n = len(at) - 1
-            size, sets, symbols = np.zeros(n, np.int64), np.zeros((n, 2), np.uint64), np.zeros((n, SYMBOLS), np.uint16)
-            for i in range(n):
-                own = distinct_sorted(shingles[at[i] : at[i + 1]])
-                if len(own):
-                    size[i] = len(own)
-                    sets[i] = own.sum(dtype=np.uint64), mix(own ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64)
-                    symbols[i] = signature(own)
-            keys = keys_of(symbols).view(np.int64)
-            flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WIDTH), n, [None, pa.py_buffer(pack(symbols).tobytes())])
-            yield pa.record_batch(
-                {
-                    "doc_id": ids.slice(row, n).cast(pa.int64()),
-                    "n_shingles": pa.array(size),
-                    "set_a": pa.array(sets[:, 0].view(np.int64)),
-                    "set_b": pa.array(sets[:, 1].view(np.int64)),
-                    "sig": flat.cast(pa.binary()),
-                    "keys": pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * INDEXED), pa.array(keys.ravel())),
-                }
-            )
+def _describer(chunks: int):
+    """A task function: size, fingerprints, signature and keys of each text's set."""
+    indexed = chunks * CHUNK
+    width = SYMBOLS + indexed
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            for row, data, offsets in text_blocks(batch.column(1)):
+                shingles, at = shingle_stream(data, offsets)
+                n = len(at) - 1
+                size, sets, symbols = np.zeros(n, np.int64), np.zeros((n, 2), np.uint64), np.zeros((n, SYMBOLS), np.uint16)
+                for i in range(n):
+                    own = distinct_sorted(shingles[at[i] : at[i + 1]])
+                    if len(own):
+                        size[i] = len(own)
+                        sets[i] = own.sum(dtype=np.uint64), mix(own ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64)
+                        symbols[i] = signature(own)
+                keys = keys_of(symbols, chunks).view(np.int64)
+                flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), n, [None, pa.py_buffer(pack(symbols, indexed).tobytes())])
+                yield pa.record_batch(
+                    {
+                        "doc_id": ids.slice(row, n).cast(pa.int64()),
+                        "n_shingles": pa.array(size),
+                        "set_a": pa.array(sets[:, 0].view(np.int64)),
+                        "set_b": pa.array(sets[:, 1].view(np.int64)),
+                        "sig": flat.cast(pa.binary()),
+                        "keys": pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * indexed), pa.array(keys.ravel())),
+                    }
+                )
 
+    return run
 
 def _id_filter(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     """A bitmap of fixed size that covers all ids; others may pass it, none of these fails it."""
@@ -180,7 +204,10 @@ def _pairs_of_cells(batches, offer):
 
 def _matcher(threshold: float, exhaustive: bool):
     """A task function: pairs of members of one cell that the signatures don't rule out."""
-    near, far = 2 * CHUNKS - 1, most_differences(threshold, SYMBOLS)
+    near, far = indexed_differences(threshold), most_differences(threshold, SYMBOLS)
+    chunks = chunks_for(threshold)
+    indexed = chunks * CHUNK
+    width = SYMBOLS + indexed
 
     def offer(table: pa.Table, borders: np.ndarray):
         n = table.num_rows
@@ -189,8 +216,8 @@ def _matcher(threshold: float, exhaustive: bool):
         block, lo, hi = (table.column(c).to_numpy() for c in ("block", "lo", "hi"))
         sig = table.column("sig").combine_chunks()
         sig = sig.chunk(0) if isinstance(sig, pa.ChunkedArray) else sig
-        flat = np.frombuffer(sig.buffers()[2], np.uint8)[sig.offset * WIDTH : (sig.offset + n) * WIDTH].reshape(n, WIDTH)
-        head, tail = np.ascontiguousarray(flat[:, : 2 * INDEXED]).view(np.uint16), flat[:, 2 * INDEXED :]
+        flat = np.frombuffer(sig.buffers()[2], np.uint8)[sig.offset * width : (sig.offset + n) * width].reshape(n, width)
+        head, tail = np.ascontiguousarray(flat[:, : 2 * indexed]).view(np.uint16), flat[:, 2 * indexed :]
         ends = np.repeat(borders[1:] if borders[-1] == n else np.append(borders[1:], n), np.diff(borders if borders[-1] == n else np.append(borders, n)))
         begins = np.repeat(borders[:-1] if borders[-1] == n else borders, np.diff(borders if borders[-1] == n else np.append(borders, n)))
         own = np.arange(n)
@@ -225,10 +252,10 @@ def _matcher(threshold: float, exhaustive: bool):
             left, right, differ, total = left[keep], right[keep], differ[keep], total[keep]
             if exhaustive and len(left):
                 # The first key that the two share; other buckets leave the pair to that one.
-                chunks = differ.reshape(-1, CHUNKS, CHUNK)
-                first = (chunks.sum(axis=2) <= 1).argmax(axis=1)
-                place = chunks[np.arange(len(left)), first].argmax(axis=1)
-                mine = keys_of(head[left])[np.arange(len(left)), first * CHUNK + place].view(np.int64)
+                by_chunk = differ.reshape(-1, chunks, CHUNK)
+                first = (by_chunk.sum(axis=2) <= 1).argmax(axis=1)
+                place = by_chunk[np.arange(len(left)), first].argmax(axis=1)
+                mine = keys_of(head[left], chunks)[np.arange(len(left)), first * CHUNK + place].view(np.int64)
                 keep = mine == key[left]
                 left, right, total = left[keep], right[keep], total[keep]
             total = total + (tail[left] != tail[right]).sum(axis=1)
@@ -274,7 +301,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = scratch.store(
         source.mapInArrow(
-            _describe,
+            _describer(chunks_for(percent / 100)),
             "doc_id long, n_shingles long, set_a long, set_b long, sig binary, keys array<long>",
         ),
         "described",

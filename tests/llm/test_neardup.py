@@ -1,3 +1,5 @@
+from math import comb
+
 import numpy as np
 from brute_text import near_duplicates as brute
 from pyspark.sql import functions as F
@@ -54,6 +56,21 @@ def test_signatures_within_the_distance_share_a_key():
         assert same.any(axis=1).all()
 
 
+def test_index_follows_the_threshold(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(150):  # 100 shingles each, the copy with up to 29 others
+        own = [f"g{i}w{j}" for j in range(104)]
+        changed = int(rng.integers(4, 30))
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own[:-changed] + [f"x{i}y{j}" for j in range(changed)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for percent in (60, 70, 80):
+        assert result(neardup.near_duplicates(df, percent)) == brute(rows, percent)
+        n, p, most = neardup.chunks_for(percent / 100) * neardup.CHUNK, 1 - percent / 100, neardup.indexed_differences(percent / 100)
+        assert sum(comb(n, d) * p**d * (1 - p) ** (n - d) for d in range(most + 1, n + 1)) <= neardup.MISS
+    assert (neardup.chunks_for(0.85), neardup.indexed_differences(0.85)) == (12, 23)
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(7, 7), (None, 3)]
     found = graph.components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test"))

@@ -36,6 +36,18 @@ def test_stages_against_their_operators_and_brute_force(spark, sf_dir, documents
         kept = after
 
 
+def test_near_copies_go_from_a_similarity_of_80(spark, documents, sf_dir):
+    texts = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    base = [f"w{i}" for i in range(104)]
+    for n, changed in enumerate((8, 9, 10, 11, 12)):  # similarities of 0.860, 0.844, 0.828, 0.813 and 0.798
+        own = [f"g{n}{w}" for w in base]
+        texts += [(10**6 + 2 * n, " ".join(own)), (10**6 + 2 * n + 1, " ".join(own[:-changed] + [f"x{i}" for i in range(changed)]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts], documents.schema)
+    want = {i for i, (_, _, stays) in near_duplicates(texts, 80).items() if stays}
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()} == want
+    assert want != {i for i, (_, _, stays) in near_duplicates(texts, 85).items() if stays}
+
+
 def test_run_keeps_clashing_columns_and_odd_rows(spark, documents, tmp_path, sf_dir):
     import os
 
