@@ -4,9 +4,9 @@ Terms are whole words (runs of letters of the lower-cased text) and the first fo
 of longer words.  The vocabulary is the ``max_terms`` terms whose presence tells most about the
 label in a bounded sample of labelled documents: by the log-likelihood ratio, if it is more than
 chance explains among so many terms.  Copies count once, lest the words of a copied document seem
-telling: documents that share the least hash of their long words are a family.  idf counts all
-documents.  The examples are one document of each family and label, as vectors of
-(1 + log tf) * idf, scaled to length one.
+telling: documents that hold the same terms equally often, whose vectors are the same, are folded
+into one example that weighs as many as it stands for.  idf counts all documents.  The examples are
+vectors of (1 + log tf) * idf, scaled to length one.
 
 The index is inverted and in blocks: for each term the weights of the examples that hold it, block
 by block, and the largest weight of each block.  A document's bound on a block is the sum of its
@@ -35,7 +35,6 @@ from heliotab.llm.words import mix, prefix_hash, span_hash, text_blocks, word_sp
 
 BLOCK = 64  # examples in a block of the index
 PREFIXES = (4, 5)
-LONG = 8  # bytes of a word that tells documents apart
 CUT = 0.3
 
 _SEPARATOR = np.ones(256, bool)
@@ -59,16 +58,12 @@ def _term_stream(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         yield row, len(at) - 1, np.concatenate(owners), np.concatenate(parts)
 
 
-def _families(texts: pa.Array) -> np.ndarray:
-    """The least hash of each text's words of ``LONG`` bytes or more, else of all its words."""
-    out = np.zeros(len(texts), np.uint64)
-    for row, data, offsets in text_blocks(pc.utf8_lower(texts.cast(pa.large_string()))):
-        starts, ends, at = word_spans(data, offsets, _SEPARATOR)
-        hashes = span_hash(prefix_hash(data), starts, ends) >> np.uint64(1)
-        hashes[ends - starts < LONG] |= np.uint64(1 << 63)
-        full = np.flatnonzero(np.diff(at))
-        if len(full):
-            out[row + full] = np.minimum.reduceat(hashes, at[:-1][full])
+def _fold_sums(at: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
+    """Two sums over the hashes of each row's occurrences: equal for equal bags of terms."""
+    out = []
+    for values in (mix(hashes), mix(hashes ^ np.uint64(0xA5A5A5A55A5A5A5A))):
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
+        out.append((total[at[1:]] - total[at[:-1]]).view(np.int64))
     return out
 
 
@@ -209,7 +204,7 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[DataFra
 
 
 def _vocabulary(terms: DataFrame, max_terms: int) -> np.ndarray:
-    """Terms that tell most about the label: log-likelihood ratio of their presence in families.
+    """Terms that tell most about the label: log-likelihood ratio of their presence in examples.
 
     A term must reach twice the logarithm of the number of terms: less than one would by chance.
     """
@@ -253,10 +248,11 @@ def fit(
 
     def distinct_terms(batches):
         for batch in batches:
-            families = _families(batch.column(2))
             for row, n, rows, hashes in _term_stream(batch.column(2)):
                 order = np.lexsort((hashes, rows))
                 rows, hashes = rows[order], hashes[order]
+                every = np.searchsorted(rows, np.arange(n + 1))
+                fold_a, fold_b = _fold_sums(every, hashes)
                 new = np.ones(len(rows), bool)
                 new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
                 at = np.searchsorted(rows[new], np.arange(n + 1)).astype(np.int32)
@@ -264,7 +260,9 @@ def fit(
                     {
                         "doc_id": batch.column(0).slice(row, n),
                         "toxic": batch.column(1).slice(row, n),
-                        "family": pa.array(families[row : row + n].view(np.int64)),
+                        "fold_a": pa.array(fold_a),
+                        "fold_b": pa.array(fold_b),
+                        "occurrences": pa.array(np.diff(every)),
                         "terms": pa.ListArray.from_arrays(pa.array(at), pa.array(hashes[new].view(np.int64))),
                     }
                 )
@@ -272,10 +270,13 @@ def fit(
     found, sizes = _sample(docs, labels, per_class)
     sample = scratch.store(found, "sample")
     described = sample.select("doc_id", "toxic", "text").mapInArrow(
-        distinct_terms, "doc_id long, toxic int, family long, terms array<long>"
+        distinct_terms, "doc_id long, toxic int, fold_a long, fold_b long, occurrences long, terms array<long>"
     )
     terms = scratch.store(described, "terms")
-    first = terms.groupBy("family", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    folds = terms.groupBy("fold_a", "fold_b", "occurrences", "toxic").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("members")
+    )
+    first = folds.select("doc_id", "members")
     vocabulary = Vocabulary(_vocabulary(terms.join(first, "doc_id", "left_semi"), max_terms))
     v = len(vocabulary.terms)
     shared = spark.sparkContext.broadcast(vocabulary)
@@ -304,18 +305,20 @@ def fit(
                     {
                         "doc_id": batch.column(0).slice(row, len(few)),
                         "toxic": batch.column(1).slice(row, len(few)),
+                        "members": batch.column(3).slice(row, len(few)),
                         "counts": pa.array([x.tobytes() for x in few], pa.binary()),
                     }
                 )
 
-    single = sample.join(first, "doc_id", "left_semi")
-    rows = single.select("doc_id", "toxic", "text").mapInArrow(held_terms, "doc_id long, toxic int, counts binary")
+    single = sample.join(first, "doc_id").select("doc_id", "toxic", "text", "members")
+    rows = single.mapInArrow(held_terms, "doc_id long, toxic int, members long, counts binary")
     rows = sorted(rows.collect(), key=lambda r: r["doc_id"])
     ids = np.array([r["doc_id"] for r in rows], np.int64)
     toxic = np.array([r["toxic"] for r in rows], float)
     counts = np.array([np.frombuffer(bytes(r["counts"]), np.uint16) for r in rows]).reshape(len(rows), v)
-    drawn = {t: max(int((toxic == t).sum()), 1) for t in (0, 1)}
-    stands_for = np.where(toxic == 1, sizes.get(1, 0) / drawn[1], sizes.get(0, 0) / drawn[0])
+    members = np.array([r["members"] for r in rows], float)
+    drawn = {t: max(members[toxic == t].sum(), 1) for t in (0, 1)}
+    stands_for = members * np.where(toxic == 1, sizes.get(1, 0) / drawn[1], sizes.get(0, 0) / drawn[0])
     examples = weights(counts, idf)
     index = BlockMaxIndex(examples)
     vote = votes(*index.nearest(examples, k, np.arange(len(rows))), toxic, stands_for)

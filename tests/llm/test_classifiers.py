@@ -64,6 +64,19 @@ def test_toxicity_learns_words_and_names_its_evidence(spark):
     assert nobody == 0 and toxicity.rate(docs.limit(0), labels).count() == 0
 
 
+def test_only_true_copies_are_one_example(spark):
+    rows = [(i, f"commonword it {'bad' if i % 3 == 0 else 'fine'} w{chr(97 + i % 26)}{chr(97 + i // 26)} so") for i in range(60)]
+    rows += [(100 + i, "Commonword COPIED text, so it is") for i in range(5)] + [(105, "commonword copied copied text so it is")]
+    labels = [(i, int(i % 3 == 0)) for i in range(60)] + [(100 + i, 0) for i in range(6)]
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    learnable = {r.doc_id for r in marks.where(~langid.held_out()).collect()}
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), marks)
+    copies = sorted(learnable & set(range(100, 105)))
+    assert len(copies) > 1 and set(model["ids"].tolist()) == learnable - set(copies[1:])
+    weight = dict(zip(model["ids"].tolist(), model["stands_for"], strict=True))
+    assert {round(w) for i, w in weight.items() if i != copies[0]} == {1} and round(weight[copies[0]]) == len(copies)
+
+
 def test_nearest_examples_are_exact_with_ties():
     rng = np.random.default_rng(6)
     counts = rng.poisson(0.15, (500, 20))
