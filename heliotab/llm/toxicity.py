@@ -1,26 +1,27 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 Terms are whole words (runs of letters of the lower-cased text) and the first four and five bytes
-of longer words.  The vocabulary is the ``max_terms`` terms whose presence tells most about the
-label in a bounded sample of labelled documents: by the log-likelihood ratio, if it is more than
-chance explains among so many terms.  Copies count once, lest the words of a copied document seem
-telling: documents that hold the same terms equally often, whose vectors are the same, are folded
-into one example that weighs as many as it stands for.  idf counts all documents.  The examples are
+of longer words.  The vocabulary is every term of a bounded sample of labelled documents; idf counts
+all documents of the corpus.  Documents that hold the same terms equally often, whose vectors are
+the same, are folded into one example that weighs as many as it stands for.  The examples are
 vectors of (1 + log tf) * idf, scaled to length one.
 
-The index is inverted and in blocks: for each term the weights of the examples that hold it, block
-by block, and the largest weight of each block.  A document's bound on a block is the sum of its
-weights times these maxima.  Blocks are visited from the largest bound down until the bound falls
-below the k-th best cosine found: the k nearest examples are exact.
+The search goes over all terms.  Frequent ones are columns of a matrix in single precision, the
+others inverted lists; both give a cosine whose error is bounded.  What may be among the k nearest
+by that bound gets its cosine in double precision from the whole vectors: the k nearest examples
+are exact.
 
-The vote of the neighbours, weighted by closeness and by how many documents an example stands for,
-is calibrated by an isotonic fit on the examples' own leave-one-out votes.  A document without any
-vocabulary term has no neighbour; its score is the share of toxic ones among such examples.
+A neighbour's vote is the part that shared terms have in its cosine, each weighted by what it tells
+about the label (the log-likelihood ratio of its presence in examples), and counts more the closer
+the neighbour is and the more documents it stands for.  The share of toxic votes is calibrated by an
+isotonic fit on the examples' own leave-one-out votes.  A document without any vocabulary term has
+no neighbour; its score is the share of toxic ones among such examples.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +34,16 @@ from heliotab.llm.langid import held_out
 from heliotab.llm.storage import Scratch
 from heliotab.llm.words import mix, prefix_hash, span_hash, text_blocks, word_spans
 
-BLOCK = 64  # examples in a block of the index
+FREQUENT, MOST_FREQUENT = 0.05, 2048  # share of examples from which a term is a column, and how many
 PREFIXES = (4, 5)
 CUT = 0.3
 
 _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[97:123] = False
 _SEPARATOR[128:] = False
-_PORTION = 1 << 12  # documents looked up at a time
+_PORTION = 32  # documents searched at a time
+_CANDIDATES = 256  # examples compared at a time
+_UNTOLD = 1e-3  # evidence of a term that tells nothing: its examples are neighbours all the same
 
 
 def _term_stream(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -67,110 +70,177 @@ def _fold_sums(at: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+class Rows(NamedTuple):
+    """Sparse rows of ``width`` terms: row r holds ``term[start[r] : start[r + 1]]``, rising."""
+
+    start: np.ndarray
+    term: np.ndarray
+    value: np.ndarray
+    width: int
+
+    @staticmethod
+    def of(table: Rows | np.ndarray) -> Rows:
+        if isinstance(table, Rows):
+            return table
+        row, term = np.nonzero(table)
+        return Rows(np.searchsorted(row, np.arange(len(table) + 1)), term, table[row, term], table.shape[1])
+
+    def owners(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.start) - 1), np.diff(self.start))
+
+
 class Vocabulary:
-    """Places of the chosen terms, found by a small table of hash bits and then exactly."""
+    """Places of the terms, found by a table of their leading bits."""
 
     def __init__(self, terms: np.ndarray):
-        self.terms = np.sort(terms.astype(np.uint64))
-        self.table = np.zeros(1 << 18, bool)
-        self.table[(self.terms >> np.uint64(46)).astype(np.int64)] = True
-
-    def counts(self, n: int, rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """How often each of n rows holds each term (n x terms)."""
-        v = len(self.terms)
-        if not v:
-            return np.zeros((n, 0), np.int64)
-        some = np.flatnonzero(self.table[(hashes >> np.uint64(46)).astype(np.int64)])
-        hashes, rows = hashes[some], rows[some]
-        place = np.minimum(np.searchsorted(self.terms, hashes), v - 1)
-        same = self.terms[place] == hashes
-        return np.bincount(rows[same] * v + place[same], minlength=n * v).reshape(n, v)
-
-    def of(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+        self.terms = np.unique(terms.astype(np.uint64))
+        bits = max(len(self.terms).bit_length(), 1)
+        self.shift = np.uint64(64 - bits)
+        self.first = np.searchsorted((self.terms >> self.shift).astype(np.int64), np.arange((1 << bits) + 1))
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 if it is none of the terms."""
+        out = np.full(len(hashes), -1)
+        lead = (hashes >> self.shift).astype(np.int64)
+        at, end = self.first[lead], self.first[lead + 1]
+        left = np.flatnonzero(at < end)
+        at, end = at[left], end[left]
+        while len(left):
+            same = self.terms[at] == hashes[left]
+            out[left[same]] = at[same]
+            at = at + 1
+            go = ~same & (at < end)
+            left, at, end = left[go], at[go], end[go]
+        return out
+
+    def of(self, texts: pa.Array) -> Iterator[tuple[int, Rows]]:
+        """First row, and how often each of some rows holds each term."""
+        v = max(len(self.terms), 1)
         for row, n, rows, hashes in _term_stream(texts):
-            cuts = range(0, n, _PORTION)
-            if len(cuts) <= 1:
-                yield row, self.counts(n, rows, hashes)
-                continue
-            for first in cuts:
-                own = (rows >= first) & (rows < first + _PORTION)
-                yield row + first, self.counts(min(_PORTION, n - first), rows[own] - first, hashes[own])
-
-
-def weights(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    out = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0.0) * idf
-    length = np.sqrt((out * out).sum(axis=1, keepdims=True))
-    return out / np.where(length > 0, length, 1)
-
-
-class BlockMaxIndex:
-    """Inverted lists of example weights in blocks, with the maximum of each block."""
-
-    def __init__(self, examples: np.ndarray):
-        n, v = examples.shape
-        # Similar examples side by side make tight block maxima: order by their heaviest terms.
-        order = np.lexsort((np.arange(n), -examples.max(axis=1, initial=0), examples.argmax(axis=1) if v else np.zeros(n)))
-        self.order = order  # place in the index -> example
-        self.blocks = -(-n // BLOCK)
-        place, term = np.nonzero(examples[order])
-        by = np.lexsort((place, term))
-        place, term = place[by], term[by]
-        self.slot, self.weight = place % BLOCK, examples[order][place, term]
-        self.start = np.searchsorted(term * self.blocks + place // BLOCK, np.arange(v * self.blocks + 1))
-        self.most = np.zeros((v, self.blocks))
-        np.maximum.at(self.most, (term, place // BLOCK), self.weight)
-
-    def nearest(self, queries: np.ndarray, k: int, leave_out: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+            place = self.places(hashes)
+            known = place >= 0
+            key, count = np.unique(rows[known] * v + place[known], return_counts=True)
+            yield row, Rows(np.searchsorted(key, np.arange(n + 1) * v), key % v, count, len(self.terms))
+
+
+def weights(counts: Rows | np.ndarray, idf: np.ndarray) -> Rows | np.ndarray:
+    rows = Rows.of(counts)
+    value = (1 + np.log(rows.value)) * idf[rows.term]
+    owner = rows.owners()
+    value = value / np.sqrt(np.bincount(owner, value * value, len(rows.start) - 1))[owner]
+    if isinstance(counts, Rows):
+        return rows._replace(value=value)
+    out = np.zeros(counts.shape)
+    out[owner, rows.term] = value
+    return out
+
+
+class ExampleIndex:
+    """All terms of the examples: frequent ones as columns, the others as inverted lists."""
+
+    def __init__(self, examples: Rows | np.ndarray, evidence: np.ndarray | None = None):
+        self.examples = Rows.of(examples)
+        self.n = len(self.examples.start) - 1
+        self.evidence = np.zeros(self.examples.width) if evidence is None else evidence
+        self._build()
+
+    def __reduce__(self):
+        """Only the examples are sent; the lists are built again where they are used."""
+        return ExampleIndex, (self.examples, self.evidence)
+
+    def _build(self) -> None:
+        rows, n = self.examples, self.n
+        held = np.bincount(rows.term, minlength=rows.width)
+        frequent = np.argsort(-held, kind="stable")[:MOST_FREQUENT]
+        frequent = frequent[held[frequent] > FREQUENT * n]
+        self.column = np.full(rows.width, -1, np.int32)
+        self.column[frequent] = np.arange(len(frequent))
+        owner, column = rows.owners(), self.column[rows.term]
+        often = column >= 0
+        self.columns = np.zeros((len(frequent), n), np.float32)
+        self.columns[column[often], owner[often]] = rows.value[often]
+        by = np.flatnonzero(~often)
+        by = by[np.argsort(rows.term[by], kind="stable")]
+        self.start = np.searchsorted(rows.term[by], np.arange(rows.width + 1))
+        self.place, self.weight = owner[by].astype(np.int32), rows.value[by].astype(np.float32)
+        # The products add up to at most one; each of the sums and roundings errs by at most 2**-24.
+        self.error = (len(frequent) + 8) * 2.0**-24
+
+    def nearest(
+        self, queries: Rows | np.ndarray, k: int, leave_out: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """The k largest cosines above zero and their examples (-1: fewer), ties by example.
 
         ``leave_out``: for each query an example that is no answer.
         """
-        m = len(queries)
-        best, who = np.zeros((m, k)), np.full((m, k), -1)
-        if not m or not self.blocks or not queries.shape[1]:
-            return best, who
-        bound = queries @ self.most
-        visit = np.argsort(-bound, axis=1, kind="stable")
-        row, term = np.nonzero(queries)
-        value, first = queries[row, term], np.searchsorted(row, np.arange(m + 1))
-        active = np.arange(m)
-        for step in range(self.blocks):
-            block = visit[active, step]
-            limit = bound[active, block]
-            # An equal cosine may still win by its example's number.
-            go = (limit > 0) & (limit >= best[active, -1] * (1 - 1e-9))
-            active, block = active[go], block[go]
-            if not len(active):
-                break
-            for a in range(0, len(active), _PORTION):
-                self._visit(active[a : a + _PORTION], block[a : a + _PORTION], term, value, first, best, who, k, leave_out)
-        return best, who
-
-    def _visit(self, rows, block, term, value, first, best, who, k, leave_out) -> None:
-        n = first[rows + 1] - first[rows]
-        pair = np.repeat(np.arange(len(rows)), n)
-        at = np.repeat(first[rows], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        lists = term[at] * self.blocks + block[pair]
-        size = self.start[lists + 1] - self.start[lists]
-        entry = np.repeat(self.start[lists], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        cell = np.repeat(pair, size) * BLOCK + self.slot[entry]
-        score = np.bincount(cell, np.repeat(value[at], size) * self.weight[entry], len(rows) * BLOCK).reshape(-1, BLOCK)
-        place = block[:, None] * BLOCK + np.arange(BLOCK)
-        example = np.where(place < len(self.order), self.order[np.minimum(place, len(self.order) - 1)], -1)
-        score = np.round(score, 9)
-        if leave_out is not None:
-            score[example == leave_out[rows][:, None]] = 0
-        example = np.where(score > 0, example, -1)
-        score = np.where(example >= 0, score, 0)
-        both, names = np.hstack([best[rows], score]), np.hstack([who[rows], example])
-        top = np.lexsort((np.where(names < 0, 1 << 60, names), -both), axis=1)[:, :k]
-        best[rows] = np.take_along_axis(both, top, axis=1)
-        who[rows] = np.take_along_axis(names, top, axis=1)
-
-
-def votes(best: np.ndarray, who: np.ndarray, toxic: np.ndarray, stands_for: np.ndarray) -> np.ndarray:
-    """The neighbours' share of toxic ones, each by its closeness; NaN without a neighbour."""
-    close = np.where(who >= 0, best / (1.05 - np.minimum(best, 1)) * stands_for[who], 0)
+        return self.search(queries, k, leave_out)[:2]
+
+    def search(
+        self, queries: Rows | np.ndarray, k: int, leave_out: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``nearest``, and the cosines' parts weighted by the evidence of their terms."""
+        rows = Rows.of(queries)
+        m = len(rows.start) - 1
+        best, who, told = np.zeros((m, k)), np.full((m, k), -1), np.zeros((m, k))
+        full = np.zeros(rows.width)
+        for a in range(0, m if self.n else 0, _PORTION):
+            b = min(a + _PORTION, m)
+            rough = self._rough(rows, a, b)
+            if leave_out is not None:
+                rough[np.arange(b - a), leave_out[a:b]] = 0
+            place = max(self.n - k, 0)
+            least = np.partition(rough, place, axis=1)[:, place] - 2 * self.error
+            row, example = np.nonzero((rough > 0) & (rough >= least[:, None]))
+            at = np.searchsorted(row, np.arange(b - a + 1))
+            for q in np.flatnonzero(np.diff(at)):
+                own = slice(rows.start[a + q], rows.start[a + q + 1])
+                full[rows.term[own]] = rows.value[own]
+                some = example[at[q] : at[q + 1]]
+                cosine, part = self._exact(full, some)
+                full[rows.term[own]] = 0
+                top = np.lexsort((some, -cosine))[:k]
+                best[a + q, : len(top)], who[a + q, : len(top)], told[a + q, : len(top)] = cosine[top], some[top], part[top]
+        return best, who, told
+
+    def _rough(self, rows: Rows, a: int, b: int) -> np.ndarray:
+        """Cosines of queries a to b and all examples, to within ``error``."""
+        own = slice(rows.start[a], rows.start[b])
+        term, value = rows.term[own], rows.value[own]
+        owner = np.repeat(np.arange(b - a), np.diff(rows.start[a : b + 1]))
+        column = self.column[term]
+        often, rest = column >= 0, np.flatnonzero(column < 0)
+        left = np.zeros((b - a, len(self.columns)), np.float32)
+        left[owner[often], column[often]] = value[often]
+        out = left @ self.columns
+        first, size = self.start[term[rest]], self.start[term[rest] + 1] - self.start[term[rest]]
+        entry = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+        cell = np.repeat(owner[rest] * self.n, size) + self.place[entry]
+        out += np.bincount(cell, np.repeat(value[rest], size) * self.weight[entry], out.size).reshape(out.shape)
+        return out
+
+    def _exact(self, full: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines of a whole vector and some examples, and these weighted by evidence."""
+        rows, cosine, told = self.examples, [], []
+        for a in range(0, len(some), _CANDIDATES):
+            first = rows.start[some[a : a + _CANDIDATES]]
+            size = rows.start[some[a : a + _CANDIDATES] + 1] - first
+            begin = np.cumsum(size) - size
+            entry = np.repeat(first - begin, size) + np.arange(size.sum())
+            term = rows.term[entry]
+            product = full[term] * rows.value[entry]
+            cosine.append(np.add.reduceat(product, begin))
+            told.append(np.add.reduceat(product * (self.evidence[term] + _UNTOLD), begin))
+        return np.round(np.concatenate(cosine), 9), np.concatenate(told)
+
+
+BlockMaxIndex = ExampleIndex  # its name before all terms were indexed
+
+
+def votes(
+    best: np.ndarray, who: np.ndarray, told: np.ndarray, toxic: np.ndarray, stands_for: np.ndarray
+) -> np.ndarray:
+    """The neighbours' share of toxic ones, each by evidence and closeness; NaN without a neighbour."""
+    close = np.where(who >= 0, told / (1.05 - np.minimum(best, 1)) * stands_for[who], 0)
     total = close.sum(axis=1)
     return np.where(total > 0, (close * toxic[who]).sum(axis=1) / np.where(total > 0, total, 1), np.nan)
 
@@ -203,50 +273,31 @@ def _sample(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple[DataFra
     return found, sizes
 
 
-def _vocabulary(terms: DataFrame, max_terms: int) -> np.ndarray:
-    """Terms that tell most about the label: log-likelihood ratio of their presence in examples.
-
-    A term must reach twice the logarithm of the number of terms: less than one would by chance.
-    """
-    sizes = {r["toxic"]: r["n"] for r in terms.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
+def label_evidence(counts: Rows, toxic: np.ndarray) -> np.ndarray:
+    """What each term's presence tells about the label: the log-likelihood ratio over examples."""
+    n1 = toxic.sum()
+    n0, n = len(toxic) - n1, len(toxic)
     if not n1 or not n0:
-        return np.zeros(0, np.uint64)
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
+        return np.zeros(counts.width)
+    held = np.bincount(counts.term, minlength=counts.width)
+    a = np.bincount(counts.term, toxic[counts.owners()], counts.width)
+    b = held - a
 
     def part(observed, expected):
-        return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(0.0)
-
-    n = n1 + n0
-    evidence = 2 * (
-        part(a, (a + b) * n1 / n) + part(b, (a + b) * n0 / n)
-        + part(n1 - a, (n - a - b) * n1 / n) + part(n0 - b, (n - a - b) * n0 / n)
-    )
-    counts = (
-        terms.select("toxic", F.explode("terms").alias("term"))
-        .groupBy("term")
-        .agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
-        .where("a + b >= 3")
-    )
-    least = 2 * np.log(max(counts.count(), 2))
-    rows = (
-        counts.withColumn("evidence", evidence)
-        .where(F.col("evidence") >= float(least))
-        .orderBy(F.desc("evidence"), "term")
-        .limit(max_terms)
-        .collect()
-    )
-    return np.array([r["term"] for r in rows], np.int64).view(np.uint64)
+        return np.where(observed > 0, observed * np.log(np.maximum(observed, 1) / np.maximum(expected, 1e-300)), 0.0)
+
+    return np.maximum(2 * (
+        part(a, held * n1 / n) + part(b, held * n0 / n)
+        + part(n1 - a, (n - held) * n1 / n) + part(n0 - b, (n - held) * n0 / n)
+    ), 0)
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_terms: int = 384, k: int = 15
-) -> dict:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, k: int = 15) -> dict:
     """Vocabulary, idf, index and calibration from at most ``2 * per_class`` labelled documents."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
 
-    def distinct_terms(batches):
+    def bags(batches):
         for batch in batches:
             for row, n, rows, hashes in _term_stream(batch.column(2)):
                 order = np.lexsort((hashes, rows))
@@ -255,7 +306,8 @@ def fit(
                 fold_a, fold_b = _fold_sums(every, hashes)
                 new = np.ones(len(rows), bool)
                 new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
-                at = np.searchsorted(rows[new], np.arange(n + 1)).astype(np.int32)
+                at = pa.array(np.searchsorted(rows[new], np.arange(n + 1)).astype(np.int32))
+                counts = np.diff(np.append(np.flatnonzero(new), len(rows)))
                 yield pa.record_batch(
                     {
                         "doc_id": batch.column(0).slice(row, n),
@@ -263,65 +315,57 @@ def fit(
                         "fold_a": pa.array(fold_a),
                         "fold_b": pa.array(fold_b),
                         "occurrences": pa.array(np.diff(every)),
-                        "terms": pa.ListArray.from_arrays(pa.array(at), pa.array(hashes[new].view(np.int64))),
+                        "terms": pa.ListArray.from_arrays(at, pa.array(hashes[new].view(np.int64))),
+                        "counts": pa.ListArray.from_arrays(at, pa.array(counts.astype(np.int32))),
                     }
                 )
 
     found, sizes = _sample(docs, labels, per_class)
     sample = scratch.store(found, "sample")
     described = sample.select("doc_id", "toxic", "text").mapInArrow(
-        distinct_terms, "doc_id long, toxic int, fold_a long, fold_b long, occurrences long, terms array<long>"
+        bags,
+        "doc_id long, toxic int, fold_a long, fold_b long, occurrences long, terms array<long>, counts array<int>",
     )
-    terms = scratch.store(described, "terms")
-    folds = terms.groupBy("fold_a", "fold_b", "occurrences", "toxic").agg(
+    described = scratch.store(described, "bags")
+    folds = described.groupBy("fold_a", "fold_b", "occurrences", "toxic").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("members")
     )
-    first = folds.select("doc_id", "members")
-    vocabulary = Vocabulary(_vocabulary(terms.join(first, "doc_id", "left_semi"), max_terms))
+    single = described.join(folds.select("doc_id", "members"), "doc_id")
+    table = single.select("doc_id", "toxic", "members", "terms", "counts").toArrow().sort_by("doc_id")
+    ids, toxic, members = (table.column(c).to_numpy() for c in ("doc_id", "toxic", "members"))
+    toxic = toxic.astype(float)
+    hashes = pc.list_flatten(table.column("terms")).to_numpy().astype(np.int64).view(np.uint64)
+    start = np.concatenate(([0], np.cumsum(pc.list_value_length(table.column("terms")).to_numpy()))).astype(np.int64)
+    vocabulary = Vocabulary(hashes)
     v = len(vocabulary.terms)
+    counts = Rows(start, vocabulary.places(hashes).astype(np.int32), pc.list_flatten(table.column("counts")).to_numpy(), v)
+    del table, hashes
     shared = spark.sparkContext.broadcast(vocabulary)
 
     def occurrences(batches):
         seen, rows = np.zeros(v + 1, np.int64), 0
         for batch in batches:
-            for _, counts in shared.value.of(batch.column(0)):
-                seen[:v] += (counts > 0).sum(axis=0)
-                rows += len(counts)
+            for _, held in shared.value.of(batch.column(0)):
+                seen[:v] += np.bincount(held.term, minlength=v)
+                rows += len(held.start) - 1
         seen[v] = rows
-        yield pa.record_batch({"term": pa.array(np.arange(v + 1)), "docs": pa.array(seen)})
+        some = np.flatnonzero(seen)
+        for at in range(0, len(some), 1 << 16):
+            part = some[at : at + (1 << 16)]
+            yield pa.record_batch({"term": pa.array(part), "docs": pa.array(seen[part])})
 
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    table = texts.mapInArrow(occurrences, "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).collect()
+    found = texts.mapInArrow(occurrences, "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).toArrow()
     seen = np.zeros(v + 1)
-    for r in table:
-        seen[r["term"]] = r["docs"]
+    seen[found.column("term").to_numpy()] = found.column("docs").to_numpy()
     idf = np.log((1 + seen[v]) / (1 + seen[:v])) + 1
+    shared.unpersist()
 
-    def held_terms(batches):
-        for batch in batches:
-            for row, counts in shared.value.of(batch.column(2)):
-                few = np.minimum(counts, 65535).astype(np.uint16)
-                yield pa.record_batch(
-                    {
-                        "doc_id": batch.column(0).slice(row, len(few)),
-                        "toxic": batch.column(1).slice(row, len(few)),
-                        "members": batch.column(3).slice(row, len(few)),
-                        "counts": pa.array([x.tobytes() for x in few], pa.binary()),
-                    }
-                )
-
-    single = sample.join(first, "doc_id").select("doc_id", "toxic", "text", "members")
-    rows = single.mapInArrow(held_terms, "doc_id long, toxic int, members long, counts binary")
-    rows = sorted(rows.collect(), key=lambda r: r["doc_id"])
-    ids = np.array([r["doc_id"] for r in rows], np.int64)
-    toxic = np.array([r["toxic"] for r in rows], float)
-    counts = np.array([np.frombuffer(bytes(r["counts"]), np.uint16) for r in rows]).reshape(len(rows), v)
-    members = np.array([r["members"] for r in rows], float)
     drawn = {t: max(members[toxic == t].sum(), 1) for t in (0, 1)}
     stands_for = members * np.where(toxic == 1, sizes.get(1, 0) / drawn[1], sizes.get(0, 0) / drawn[0])
     examples = weights(counts, idf)
-    index = BlockMaxIndex(examples)
-    vote = votes(*index.nearest(examples, k, np.arange(len(rows))), toxic, stands_for)
+    index = ExampleIndex(examples, label_evidence(counts, toxic))
+    vote = votes(*index.search(examples, k, np.arange(len(ids))), toxic, stands_for) if len(ids) else np.zeros(0)
     alone, near = np.isnan(vote), ~np.isnan(vote)
     prior = (toxic * stands_for).sum() / max(stands_for.sum(), 1e-9)
     base = ((toxic * stands_for)[alone].sum() + prior) / (stands_for[alone].sum() + 1)
@@ -348,16 +392,13 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
         m = shared.value
         for batch in batches:
             for row, counts in m["vocabulary"].of(batch.column(at).cast(pa.string())):
-                n = len(counts)
+                n = len(counts.start) - 1
                 value, evidence = np.full(n, m["base"]), np.full((n, 3), -1)
-                some = np.flatnonzero(counts.any(axis=1))
-                if len(some):
-                    kinds, kind = np.unique(counts[some], axis=0, return_inverse=True)
-                    best, who = m["index"].nearest(weights(kinds, m["idf"]), m["k"])
-                    vote = votes(best, who, m["toxic"], m["stands_for"])
-                    calibrated = np.where(np.isnan(vote), m["base"], np.interp(np.nan_to_num(vote), *m["line"]))
-                    value[some] = calibrated[kind.ravel()]
-                    evidence[some] = np.pad(who, ((0, 0), (0, 3)), constant_values=-1)[:, :3][kind.ravel()]
+                if len(m["ids"]):
+                    best, who, told = m["index"].search(weights(counts, m["idf"]), m["k"])
+                    vote = votes(best, who, told, m["toxic"], m["stands_for"])
+                    value = np.where(np.isnan(vote), m["base"], np.interp(np.nan_to_num(vote), *m["line"]))
+                    evidence = np.pad(who, ((0, 0), (0, 3)), constant_values=-1)[:, :3]
                 held = evidence >= 0
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum(held.sum(axis=1)))).astype(np.int32)),

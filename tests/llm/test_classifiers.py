@@ -77,6 +77,41 @@ def test_only_true_copies_are_one_example(spark):
     assert {round(w) for i, w in weight.items() if i != copies[0]} == {1} and round(weight[copies[0]]) == len(copies)
 
 
+def test_a_toxic_word_of_five_labelled_documents_counts(spark):
+    rng = np.random.default_rng(9)
+    words = ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, 7)) for _ in range(340)]
+    common, rare = words[:300], words[300:]
+    ids = spark.range(600).selectExpr("id AS doc_id").where(~langid.held_out()).collect()
+    rows, marks = [], []
+    for n, (i,) in enumerate(ids):  # half are toxic; forty words of five toxic documents each are the only sign
+        own = [rare[n // 10]] if n % 2 and n < 400 else []
+        rows.append((i, " ".join([*rng.choice(common, 12), *own])))
+        marks.append((i, n % 2))
+    word = {i: rare[n // 10] for n, (i,) in enumerate(ids) if n % 2 and n < 400}
+    new = [(2000 + n, f"{w} qq xx") for n, w in enumerate(rare)]
+    copies = [(3000 + i, dict(rows)[i]) for i in word]
+    plain = [(5000 + n, " ".join(rng.choice(common, 12))) for n in range(100)]
+    docs = spark.createDataFrame(rows + new + copies + plain, "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.rate(docs, spark.createDataFrame(marks, "doc_id long, toxic int")).collect()}
+    assert len(word) == 200 and all([word[e] for e in got[2000 + n].evidence] == [w] * 3 for n, w in enumerate(rare))
+    assert all(got[3000 + i].evidence[0] == i for i in word)
+    middle = np.median([got[i].score for i, _ in plain])
+    assert min(got[i].score for i, _ in new) > middle and np.mean([got[i].score > middle for i, _ in copies]) > 0.95
+
+
+def test_nearest_of_very_many_terms_are_exact():
+    rng = np.random.default_rng(10)
+    often = rng.random(3000) ** 3 * 0.4
+    examples = toxicity.weights((rng.random((700, 3000)) < often).astype(int), 1 + rng.random(3000))
+    queries = toxicity.weights((rng.random((150, 3000)) < often).astype(int), 1 + rng.random(3000))
+    sparse = toxicity.ExampleIndex(toxicity.Rows.of(examples))
+    best, who = sparse.nearest(toxicity.Rows.of(queries), 15)
+    cosine = np.round(queries @ examples.T, 9)
+    assert 0 < len(sparse.columns) and len(sparse.place)
+    for q in range(150):
+        assert who[q].tolist() == np.lexsort((np.arange(700), -cosine[q]))[:15].tolist()
+
+
 def test_nearest_examples_are_exact_with_ties():
     rng = np.random.default_rng(6)
     counts = rng.poisson(0.15, (500, 20))
