@@ -84,3 +84,94 @@ SELECT * FROM (
   FROM pairs
 ) WHERE rank <= 10
 """
+
+ORACLES["op11_exact_dedup"] = r"""
+WITH clean AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents
+), digests AS (SELECT doc_id, sha256(text) AS text_sha256 FROM clean)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256
+FROM digests WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+ORACLES["op12_filter_interactions"] = r"""
+WITH given AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents
+), marked AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+     100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+     regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > least, false)] AS fails
+  FROM given LEFT JOIN marked USING (doc_id)
+), masks AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM failing GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 3, 4, 5]) AS i),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5
+), each AS (
+  SELECT m.*, filter_order, l, i, instr(filter_order, l) AS step,
+    list_min(list_transform(list_filter([1, 2, 3, 4, 5], lambda j: fails[j]), lambda j: instr(filter_order, 'ABCDE'[j]))) AS hit
+  FROM masks m, orders, letters
+), summed AS (
+  SELECT part, filter_order, step, any_value(l) AS l, sum(n) AS n,
+    sum(CASE WHEN fails[i] AND hit = step THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN fails[i] AND hit < step THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails[i] AND len(list_filter(fails, lambda x: x)) = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN fails[i] AND hit = step THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN fails[i] AND hit = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM each GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  CAST(n - sum(removed) OVER (PARTITION BY part, filter_order ORDER BY step) AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley
+FROM summed
+"""
+
+
+def _clusters(rounds: int = 5, k: int = 40, seed: int = 2) -> str:
+    """Rounds of assignment and exact floored means, written out one after the other."""
+    parts = [
+        """usable AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+)""",
+        "vals AS MATERIALIZED (SELECT r, unnest(range(64)) AS pos, unnest(v) AS x FROM usable)",
+        f"""firsts AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('{seed}:' || CAST(vec_id AS VARCHAR)), v) - 1 AS c
+  FROM usable WHERE vec_id IS NOT NULL QUALIFY c < {k}
+)""",
+        "c0 AS MATERIALIZED (SELECT c, pos, x FROM firsts JOIN vals USING (r))",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT r, c, sum((v.x - m.x) * (v.x - m.x)) AS d FROM vals v JOIN c{i} m USING (pos) GROUP BY r, c) GROUP BY r
+)""")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c, pos, coalesce((s - ((s % n) + n) % n) // n, o.x) AS x
+  FROM c{i} o LEFT JOIN (
+    SELECT c, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM a{i} JOIN vals USING (r) GROUP BY c, pos
+  ) USING (c, pos)
+)""")
+    listed = ",\n".join(parts)
+    return f"""
+WITH {listed},
+digests AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY pos)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN usable USING (r) JOIN digests USING (c)
+"""
+
+
+ORACLES["op13_centroid_clusters"] = _clusters()

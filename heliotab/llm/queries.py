@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliotab.llm import chat, decontam, extract, hamming, langid, lengths, neardup, pieces, sharding, toxicity
+from heliotab.llm import (
+    chat,
+    decontam,
+    exact,
+    extract,
+    hamming,
+    interactions,
+    langid,
+    lengths,
+    neardup,
+    pieces,
+    shallot,
+    sharding,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +90,21 @@ def op10_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one that stays of its equal texts."""
+    return exact.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of five filters in all orders, for the documents of each language."""
+    return interactions.filter_interactions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in forty clusters, after five rounds."""
+    return shallot.cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2)
+
+
 QUERIES = {
     "op1_chat_prefix_targets": op1_chat_prefix_targets,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -87,4 +116,7 @@ QUERIES = {
     "op8_balanced_shards": op8_balanced_shards,
     "op9_page_main_text": op9_page_main_text,
     "op10_language_centroids": op10_language_centroids,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_filter_interactions": op12_filter_interactions,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }

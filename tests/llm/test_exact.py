@@ -1,0 +1,76 @@
+import hashlib
+import re
+
+from pyspark.sql import functions as F
+
+from heliotab.llm import exact
+
+SCHEMA = "doc_id long, text string, run string, digest int"
+
+
+def brute(rows):
+    """Rows of (doc_id, keep_id, size, kept, sha) as a sorted list; of equal rows any one is kept."""
+    clean = [(i, re.sub(r"[\x20\x09-\x0D]+", " ", t or "")) for i, t in rows]
+    groups = {}
+    for i, t in clean:
+        groups.setdefault(t, []).append(i)
+    out = []
+    for t, ids in groups.items():
+        ids.sort(key=lambda i: (i is None, i))
+        sha = hashlib.sha256(t.encode()).hexdigest()
+        out += [(i, ids[0], len(ids), n == 0, sha) for n, i in enumerate(ids)]
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()), key=str)
+
+
+def table(spark, rows, parts=8):
+    return spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA).repartition(parts)
+
+
+ODD = [
+    (9, "a b"), (3, "a \t\n b"), (5, "a\x0b b"), (7, "A b"), (8, " a b"), (2, None), (4, ""), (6, "\n"), (1, " "),
+    (None, "a b"), (None, "only"), (None, "only"), (10, "rep"), (10, "rep"), (11, "rep"), (10, "other"), (12, "é" * 300_000),
+    (13, "é" * 300_000), (-4, "no break"), (14, "no break"),
+]
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    assert result(exact.exact_duplicates(table(spark, ODD))) == brute(ODD)
+    assert exact.exact_duplicates(table(spark, [], 1)).count() == 0
+
+
+def test_any_tree_gives_the_same_answer(spark):
+    rows = [(i, f"text {i % 7 if i % 3 else 0} {i % 11 if i % 5 == 0 else ''}") for i in range(600)]
+    want = brute(rows)
+    for parts, bits in ((1, 4), (5, 1), (37, 1), (37, 2), (37, 4)):
+        assert result(exact.exact_duplicates(table(spark, rows, parts), bits=bits)) == want
+
+
+def test_equal_digests_of_different_texts_stay_apart(spark, monkeypatch):
+    real = exact.text_key
+    monkeypatch.setattr(exact, "text_key", lambda t: [F.lit(b"same").alias("digest"), *real(t)[1:]])
+    rows = [(1, "one"), (2, "two"), (3, "one"), (4, "three")]
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact.exact_duplicates(table(spark, rows)).collect()}
+    assert got == {1: (1, 2), 2: (2, 1), 3: (1, 2), 4: (4, 1)}
+
+
+def test_carried_columns_give_the_rows_that_stay(spark):
+    kept = exact.exact_duplicates(table(spark, ODD), carry=["doc_id", "text", "run", "digest"]).where("kept").select("row.*")
+    assert kept.columns == ["doc_id", "text", "run", "digest"]
+    assert kept.count() == len({re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for _, t in ODD})
+
+
+def test_no_python_and_no_large_merge(spark):
+    """One hot text over many partitions: no merge sees more entries of it than runs that meet."""
+    df = exact.exact_duplicates(table(spark, [(i, "hot") for i in range(500)], 40))
+    plan = df._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|InArrow|Cartesian|NestedLoop", plan)
+    assert {(r.keep_id, r.group_size) for r in df.collect()} == {(0, 500)}
+
+
+def test_all_documents(spark, documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    assert result(exact.exact_duplicates(documents)) == brute(rows)

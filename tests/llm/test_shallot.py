@@ -1,0 +1,93 @@
+import hashlib
+from math import floor, isfinite, nan
+
+import numpy as np
+
+from heliotab.llm import shallot
+
+SCHEMA = "vec_id long, embedding array<float>, label int, cluster string, v int"
+
+
+def brute(rows, k=40, rounds=5, seed=2):
+    """Plain k-means in Python integers: {(vec_id, vector): (cluster, distance, inertia of both kinds, digest)} as a sorted list."""
+    kept = [(i, [floor(256 * x) for x in v]) for i, v in rows if v is not None and len(v) == 64 and all(x is not None and isfinite(x) for x in v)]
+    named = sorted(((hashlib.sha256(f"{seed}:{i}".encode()).hexdigest(), v) for i, v in kept if i is not None))
+    centroids = [v for _, v in named[:k]]
+    for turn in range(rounds + 1):
+        found = []
+        for _, v in kept:
+            d = [sum((a - b) ** 2 for a, b in zip(v, c, strict=True)) for c in centroids]
+            found.append((min(d), d.index(min(d))))
+        if turn < rounds:
+            for c in range(len(centroids)):
+                own = [v for (_, v), (_, a) in zip(kept, found, strict=True) if a == c]
+                if own:
+                    centroids[c] = [sum(x) // len(own) for x in zip(*own, strict=True)]
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    inertia = [sum(d for d, a in found if a == c) for c in range(len(centroids))]
+    return sorted(((i, a, d, inertia[a], sum(inertia), digest[a]) for (i, _), (d, a) in zip(kept, found, strict=True)), key=str)
+
+
+def result(df):
+    names = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=str)
+
+
+def table(spark, rows, parts=4):
+    return spark.createDataFrame([(i, v, 1, "x", 2) for i, v in rows], SCHEMA).repartition(parts)
+
+
+def random_rows(n, seed=3):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(0, 0.3, (6, 64))
+    return [(i, [float(np.float32(x)) for x in middle[i % 6] + rng.normal(0, 0.1, 64)]) for i in range(n)]
+
+
+def test_random_vectors_with_ties_and_copies(spark):
+    rows = random_rows(260) + [(1000 + i, [0.5] * 64) for i in range(90)] + [(5, [0.25] * 64), (5, [0.25] * 64)]
+    assert result(shallot.cluster(table(spark, rows))) == brute(rows)
+
+
+def test_odd_vectors(spark):
+    good = random_rows(30)
+    odd = [(50, None), (51, []), (52, [1.0] * 63), (53, [1.0] * 65), (54, [nan] + [1.0] * 63), (55, [float("inf")] * 64), (56, [None] + [1.0] * 63), (None, [0.5] * 64)]
+    assert result(shallot.cluster(table(spark, good + odd))) == brute(good + odd)
+    huge = [(60, [3e38] * 64), (61, [600_000.0] + [0.0] * 63)]
+    assert result(shallot.cluster(table(spark, good + huge))) == brute(good)  # distances beyond a long
+    wide = [(70, [500_000.0] * 64), (71, [-500_000.0] * 64)]
+    assert result(shallot.cluster(table(spark, good + wide))) == brute(good + wide)
+
+
+def test_few_and_no_vectors(spark):
+    for n in (1, 2, 3):
+        rows = random_rows(n)
+        assert result(shallot.cluster(table(spark, rows, 1))) == brute(rows)
+        assert result(shallot.cluster(table(spark, rows * 3, 1), k=1)) == brute(rows * 3, k=1)
+    assert shallot.cluster(table(spark, [], 1)).count() == 0
+    assert shallot.cluster(table(spark, [(None, [0.5] * 64)], 1)).count() == 0
+
+
+def test_search_is_exact_and_skips_most_distances():
+    rng = np.random.default_rng(8)
+    k, points = 40, rng.integers(-60, 60, (3000, 8))
+    points[1000:] += rng.integers(-4, 5, (40, 8))[rng.integers(0, 40, 2000)] * 60
+    centroids, before, state, computed = points[:k].copy(), None, None, []
+    centroids[7] = centroids[3]  # equal centroids: ties
+    for _ in range(8):
+        search = shallot.Search(centroids, before)
+        n = len(points)
+        state = (np.zeros(n, int), np.zeros(n, int), np.zeros(n), np.zeros(n)) if state is None else state
+        *state, work = search.assign(points, *state)
+        d = ((points[:, None] - centroids[None]) ** 2).sum(axis=2)
+        assert np.array_equal(state[0], d.argmin(axis=1))
+        computed.append(work / d.size)
+        before, centroids = centroids, np.array(
+            [np.floor_divide(points[state[0] == c].sum(axis=0), (state[0] == c).sum()) if (state[0] == c).any() else centroids[c] for c in range(k)]
+        )
+    assert computed[-1] < 0.25 and computed[0] < 0.9
+
+
+def test_all_vectors(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in vectors.collect()]
+    assert result(shallot.cluster(vectors)) == brute(rows)
