@@ -69,8 +69,8 @@ def test_few_and_no_vectors(spark):
 
 def test_search_is_exact_and_skips_most_distances():
     rng = np.random.default_rng(8)
-    k, points = 40, rng.integers(-60, 60, (3000, 8))
-    points[1000:] += rng.integers(-4, 5, (40, 8))[rng.integers(0, 40, 2000)] * 60
+    k, points = 40, rng.integers(-30, 30, (3000, 8))
+    points += rng.integers(-9, 10, (40, 8))[np.arange(3000) % 40] * 60
     centroids, before, state, computed = points[:k].copy(), None, None, []
     centroids[7] = centroids[3]  # equal centroids: ties
     for _ in range(8):
@@ -84,7 +84,7 @@ def test_search_is_exact_and_skips_most_distances():
         before, centroids = centroids, np.array(
             [np.floor_divide(points[state[0] == c].sum(axis=0), (state[0] == c).sum()) if (state[0] == c).any() else centroids[c] for c in range(k)]
         )
-    assert computed[-1] < 0.25 and computed[0] < 0.9
+    assert computed[-1] < 0.1 and computed[0] < 0.9  # share of all distances
 
 
 def test_all_vectors(spark, sf_dir):
