@@ -6,7 +6,11 @@ passage of an item lies in at most two blocks of about its own size, however lon
 Each item and each block has ``HASHES`` MinHash values; block minima of larger classes are minima
 of the smaller ones'.  An item is a candidate in a document if one of its values is one of a
 block's: an item contained to 80 % shares at least a fifth of the two blocks' shingles, which all
-``HASHES`` values miss with probability under 1e-6.
+``HASHES`` values miss with probability under 1e-6 for items of ``SHORT`` shingles or more.
+
+Shorter items, whose few shingles a block can hide, are their own class and are searched without
+MinHash: of n shingles at least m must be shared, so any n - m + 1 of them hold a shared one, and
+these are keys that every shingle of a document is looked up by.  None of them is missed.
 
 A bitmap of the items' values of fixed size tells tasks which blocks are worth keeping; the join on
 the values decides, so that an over-full bitmap costs time and no result.  Every candidate is
@@ -27,6 +31,7 @@ from heliotab.llm.words import distinct_sorted, mix, shingle_stream, text_blocks
 
 HASHES = 64
 LEAST_CLASS = 16
+SHORT = 8
 PERCENT = 80
 
 _rng = np.random.default_rng(11)
@@ -46,15 +51,25 @@ def value_keys(minima: np.ndarray, k: int, size: int) -> np.ndarray:
     return mix(minima.astype(np.uint64) | np.uint64(k << 32 | size << 40))
 
 
-def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def short_keys(shingles: np.ndarray) -> np.ndarray:
+    """64-bit keys of single shingles, apart from those of minima."""
+    return mix(shingles ^ np.uint64(0x2545F4914F6CDD1D))
+
+
+def _items(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Items with words: class (0 for short ones), set and keys."""
     for batch in batches:
         for row, data, offsets in text_blocks(batch.column(1)):
             shingles, at = shingle_stream(data, offsets)
             rows = np.flatnonzero(np.diff(at))
             sets = [distinct_sorted(shingles[at[i] : at[i + 1]]) for i in rows]
-            sizes = [size_class(len(own)) for own in sets]
+            sizes = [size_class(len(own)) if len(own) >= SHORT else 0 for own in sets]
             keys = []
             for own, size in zip(sets, sizes, strict=True):
+                if not size:
+                    least = max(-(-percent * len(own) // 100), 1)
+                    keys.append(short_keys(own[: len(own) - least + 1]))
+                    continue
                 low = (own >> np.uint64(32)).astype(np.uint32)
                 values = [((low * _MULTIPLIER[k]) ^ _ADDEND[k]).min(keepdims=True) for k in range(HASHES)]
                 keys.append(np.unique([value_keys(v, k, size)[0] for k, v in enumerate(values)]))
@@ -117,12 +132,19 @@ def _key_filter(keys: DataFrame, n: int) -> KeyFilter:
 
 def block_hits(shingles: np.ndarray, classes: list[int], known: KeyFilter) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys found in a stream of shingles, with the place range of the blocks that hold them."""
+    keys, begins, ends = [], [], []
+    if 0 in classes:
+        found = short_keys(shingles)
+        hit = known.hits(found)
+        keys, begins, ends = [found[hit]], [hit], [hit + 1]
+        classes = [c for c in classes if c]
+        if not classes:
+            return keys[0], begins[0], ends[0]
     least = min(classes)
     blocks = -(-len(shingles) // least)
     low = (shingles >> np.uint64(32)).astype(np.uint32)
     low = np.pad(low, (0, blocks * least - len(low)), mode="edge") if blocks else low
     grid = np.ascontiguousarray(low.reshape(blocks, least).T)
-    keys, begins, ends = [], [], []
     for k in range(HASHES):
         minima = ((grid * _MULTIPLIER[k]) ^ _ADDEND[k]).min(axis=0)
         size = least
@@ -154,7 +176,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> Data
     scratch = Scratch(spark, "decontam")
     columns = [F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")]
     described = benchmark.where("item_id is not null").select(*columns).mapInArrow(
-        _items, "item_id long, size long, shingles array<long>, keys array<long>"
+        lambda batches: _items(batches, percent), "item_id long, size long, shingles array<long>, keys array<long>"
     )
     items = scratch.store(described, "items")
     keys = items.select(F.explode("keys").alias("key")).distinct()

@@ -2,9 +2,10 @@
 
 Features are byte 2-grams and 3-grams of the lower-cased text, every ASCII byte that is no letter
 counted as a space, hashed to ``FEATURES`` places.  A text is the vector of log(1 + count) * idf,
-scaled to length one; idf comes from all documents.  For each language ``per_language`` spherical
-k-means centroids are fitted on at most ``max_rows`` labelled documents in total, the ones with the
-least hashes of their ids.  The prediction is the language of the centroid with the largest
+scaled to length one; idf comes from all learnable documents: those with text, lang and an id that
+is not held out.  For each language ``per_language`` spherical k-means centroids are fitted on a
+sample of learnable documents, the ones with the least hashes of their ids: about ``max_rows`` in
+total, or ``LEAST_EACH`` of each language where that is more.  Every learnable language has centroids.  The prediction is the language of the centroid with the largest
 cosine.  Each centroid set also keeps how similar its own language's documents are, by length;
 a document less similar than half of what 99.5 % of them reach is marked ``rejected``.
 """
@@ -26,6 +27,7 @@ from heliotab.llm.words import text_blocks
 FEATURES = 4096
 UNKNOWN = "und"
 ROWS = 256  # documents whose dense vectors are held at a time
+LEAST_EACH = 20
 SCALE = 0.05  # cosine difference that counts as a factor e in the score
 
 _KEEP = np.full(256, 0x20, np.uint8)
@@ -38,6 +40,13 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def learnable(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, lang`` of the rows that a model may be learned from."""
+    given = F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    rows = docs.where(~held_out() & given)
+    return rows.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+
+
 def _counts(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """First row and n-gram counts (rows x FEATURES) of a few rows at a time."""
     for row, data, offsets in text_blocks(pc.utf8_lower(texts.cast(pa.large_string()))):
@@ -118,15 +127,13 @@ def length_class(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(1 + counts.sum(axis=1)).astype(int), 15)
 
 
-def _sample(docs: DataFrame, max_rows: int, max_languages: int) -> list[tuple[str, bytes]]:
-    """Language and counts of at most ``max_rows`` labelled documents, evenly over languages."""
-    learn = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    learn = learn.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    sizes = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+def _sample(learn: DataFrame, max_rows: int) -> list[tuple[str, bytes]]:
+    """Language and counts of about ``max_rows`` learnable documents, evenly over languages."""
+    sizes = learn.groupBy("lang").count().collect()
     if not sizes:
         return []
-    each = max(max_rows // len(sizes), 1)
-    shares = docs.sparkSession.createDataFrame(
+    each = max(max_rows // len(sizes), LEAST_EACH)
+    shares = learn.sparkSession.createDataFrame(
         [(r["lang"], min(1.0, each / r["count"])) for r in sizes], "lang string, share double"
     )
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
@@ -134,7 +141,7 @@ def _sample(docs: DataFrame, max_rows: int, max_languages: int) -> list[tuple[st
         learn.join(F.broadcast(shares), "lang")
         .where(place < F.col("share"))
         .orderBy(F.xxhash64("doc_id"), "lang", F.xxhash64("text"))
-        .limit(max_rows + max_rows // 4)
+        .limit(each * len(sizes) * 5 // 4)
     )
 
     def run(batches):
@@ -149,12 +156,13 @@ def _sample(docs: DataFrame, max_rows: int, max_languages: int) -> list[tuple[st
     return list(zip(table.column(0).to_pylist(), table.column(1).to_pylist(), strict=True))
 
 
-def fit(docs: DataFrame, max_rows: int = 2400, max_languages: int = 200, per_language: int = 4) -> dict:
+def fit(docs: DataFrame, max_rows: int = 2400, per_language: int = 4) -> dict:
     """The model: idf, centroids with their languages, and the least accepted cosine by length."""
     ship(docs.sparkSession)
-    frequency, total = document_frequencies(docs)
+    learn = learnable(docs)
+    frequency, total = document_frequencies(learn)
     idf = (np.log((1 + total) / (1 + frequency)) + 0.1).astype(np.float32)
-    sample = _sample(docs, max_rows, max_languages)
+    sample = _sample(learn, max_rows)
     sample = [(lang, np.frombuffer(x, np.uint16)) for lang, x in sample if any(x)]
     names = sorted({lang for lang, _ in sample})
     model = {"idf": idf, "languages": names, "centroids": np.zeros((0, FEATURES), np.float32), "of": np.zeros(0, int)}

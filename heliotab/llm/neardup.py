@@ -17,8 +17,9 @@ never paired among themselves.  A pair is put forward if its signature distance
 J >= threshold; it comes from the first key that it shares, hence once.  Links are confirmed on
 full shingle sets: signatures never decide that two documents are alike.
 
-Rows without a document id are returned alone and link with nothing; rows that share one id count
-as one document.
+Rows without a document id are returned alone and link with nothing.  Rows that share an id must
+share their text: classes of equal sets are named by their least id.  ``corpus_pipeline`` numbers
+rows that do not.
 """
 
 from __future__ import annotations
@@ -362,7 +363,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     named = classes.select(*same, "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select(*same, F.coalesce("component", "rep").alias("component"))
-    # Rows that share an id are one document, also if their sets differ.
     linked = described.select("doc_id", *same).join(named, same, "left")
     name = F.when(
         F.col("doc_id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))

@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -21,6 +24,56 @@ def test_labels_of_held_out_rows_are_never_read(documents):
     assert one == two
 
 
+def test_texts_of_held_out_rows_are_never_read(documents):
+    """Other texts in held-out rows, and in rows without a language, change no other row's outcome."""
+    hidden = langid.held_out() | F.col("lang").isNull()
+    other = documents.withColumn("text", F.when(hidden, F.lit("quite another text, zz yy xx")).otherwise(F.col("text")))
+    one, two = ({r.doc_id: (r.lang_pred, r.score) for r in langid.identify(d).where(~hidden).collect()} for d in (documents, other))
+    assert one == two and len(one) > 100
+
+
+def grams(text):
+    """Hashed 2-grams and 3-grams of a text, in plain Python."""
+    data = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in text.lower().encode())
+    out = Counter()
+    for i in range(len(data) - 1):
+        if data[i : i + 2] != b"  ":
+            out[((data[i] << 8 | data[i + 1]) * 0x9E3779B1 & 0xFFFFFFFF) >> 20] += 1
+            if i + 2 < len(data) and data[i + 1 : i + 3] != b"  ":
+                out[((data[i] << 16 | data[i + 1] << 8 | data[i + 2]) * 0x85EBCA77 & 0xFFFFFFFF) >> 20] += 1
+    return out
+
+
+def test_all_documents_against_every_centroid(spark, documents):
+    model = langid.fit(documents)
+    rows = documents.collect()
+    learn = {r.doc_id for r in langid.learnable(documents).collect()}
+    seen = Counter(f for r in rows if r.doc_id in learn for f in grams(r.text))
+    assert learn and all(abs(model["idf"][f] - math.log((1 + len(learn)) / (1 + sum(f in grams(r.text) for r in rows if r.doc_id in learn))) - 0.1) < 1e-5 for f in list(seen)[:20])
+    got = {r.doc_id: r for r in langid.predict(documents, model).collect()}
+    for r in rows:
+        own = {f: math.log1p(n) * float(model["idf"][f]) for f, n in grams(r.text).items()}
+        length = math.sqrt(sum(x * x for x in own.values())) or 1.0
+        best = {}
+        for centre, of in zip(model["centroids"], model["of"], strict=True):
+            cosine = sum(x / length * float(centre[f]) for f, x in own.items())
+            best[model["languages"][of]] = max(cosine, best.get(model["languages"][of], -1.0))
+        top = max(best.values())
+        if got[r.doc_id].lang_pred == "und":
+            assert not any(c.isalpha() for c in r.text)
+            continue
+        assert best[got[r.doc_id].lang_pred] >= top - 1e-5
+        assert abs(got[r.doc_id].score - 1 / sum(math.exp((x - top) / langid.SCALE) for x in best.values())) < 1e-3
+
+
+def test_very_many_languages_are_all_learned(spark):
+    rows = [(2 * i, f"{chr(97 + i % 26)}{chr(97 + i // 26)} " * 6, f"l{i}") for i in range(260)]
+    rows += [(i + 1000, t, lang) for i, t, lang in rows] + [(i + 2000, t, lang) for i, t, lang in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = {r.lang for r in langid.learnable(docs).select("lang").distinct().collect()}
+    assert set(langid.fit(docs, max_rows=100)["languages"]) == learned and len(learned) > 230
+
+
 def test_language_edges(spark, documents):
     model = langid.fit(documents)
     rows = [(None, None), (1, ""), (1, ""), (2, "123 !? 456"), (3, "A"), (4, "漢字かな交じり文"), (5, "the and of " * 20_000)]

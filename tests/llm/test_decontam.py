@@ -38,3 +38,26 @@ def test_empty_tables(spark):
     assert decontam.leaks(docs, items.limit(0)).count() == 0
     assert decontam.leaks(docs.limit(0), items).count() == 0
     assert decontam.leaks(docs, items).count() == 1
+
+
+def test_items_of_few_shingles_are_all_found(spark):
+    """Items of 3 to 12 words as whole texts or inside others; also with as much changed as may be."""
+    docs, items = [], []
+    for n in range(600):
+        size = 3 + n % 10
+        own = [f"i{n}w{j}" for j in range(size)]
+        items.append((n, " ".join(own)))
+        around = [] if size < 5 else [f"a{n}b{j}" for j in range(40)]
+        docs.append((n, " ".join([*around, *own, *around])))
+        if size >= 9:  # five shingles or more: one may be missing
+            docs.append((1000 + n, " ".join([*around, *own[:-1]])))
+    got = result(decontam.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)))
+    assert got == brute(docs, items) and len(got) == 600 + 240
+
+
+def test_items_of_few_shingles_at_other_shares(spark):
+    items = [(n, " ".join(f"i{n}w{j}" for j in range(11))) for n in range(50)]  # 7 shingles
+    docs = [(n, " ".join(t.split()[: 5 + n % 7])) for n, t in items]
+    for percent in (1, 50, 100):
+        got = result(decontam.leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), percent))
+        assert got == brute(docs, items, percent)

@@ -24,7 +24,7 @@ def test_stages_against_their_operators_and_brute_force(spark, sf_dir, documents
         elif name == "toxicity":
             want = {r.doc_id for r in toxicity.rate(kept, labels).where("predicted = 0").collect()}
         elif name == "near_dedup":
-            want = {i for i, (_, _, stays) in near_duplicates(texts).items() if stays}
+            want = {i for i, (_, _, stays) in near_duplicates(texts, corpus_pipeline.NEAR_PERCENT).items() if stays}
         elif name == "decontaminate":
             items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
             want = set(before) - {d for d, _ in leaks(texts, items)}
@@ -65,10 +65,26 @@ def test_run_keeps_clashing_columns_and_odd_rows(spark, documents, tmp_path, sf_
         docs = spark.read.parquet(str(tmp_path / name))
     assert {r.score for r in docs.select("score").distinct().collect()} == {"mine"}
     ids = [r.doc_id for r in docs.where("doc_id is null or doc_id >= 1000000").collect()]
-    assert sorted(ids, key=str) == [10**6 + 2, None]
+    assert ids == [10**6 + 2]  # the row without an id is a copy of it
     assert corpus_pipeline.STAGES[4][1](spark, docs.limit(0), sf_dir).count() == 0
 
 
+def test_rows_that_share_an_id_or_have_none(spark, documents, sf_dir, tmp_path):
+    u, v, w, x = (" ".join(f"{c}{i}" for i in range(40)) for c in "uvwx")
+    rows = [(3, u), (5, u), (5, v), (5, w), (None, w + " end"), (None, x), (None, x), (6, x + " end"), (7, v), (8, None), (8, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], documents.schema)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()]
+    one = [g for g in got if (g[1] or "").startswith("w0 ")]  # of two that no id names
+    assert len(one) == 1 and one[0] in rows
+    assert sorted({*got} - {*one}, key=str) == sorted([(3, u), (6, x + " end"), (7, v), (8, None), (None, None)], key=str) and len(got) == 6
+    plain = docs.where("doc_id in (3, 6, 7)").unionByName(docs.where("doc_id = 3"))
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, plain, sf_dir).collect()) == [3, 6, 7]
+    items = spark.createDataFrame([(1, x), (2, u)], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()]
+    assert sorted(left, key=str) == sorted([(5, v), (5, w), (None, w + " end"), (7, v), (8, None), (8, None), (None, None)], key=str)
+
+
 def test_empty_table(spark, documents, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, documents.limit(0), sf_dir).count() == 0
