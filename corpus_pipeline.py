@@ -33,20 +33,45 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rated.where("predicted = 0").select("row.*")
 
 
+def _numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``doc_id, text, row``: rows with an id of their own, all columns of ``docs`` in ``row``.
+
+    An id that different texts share, or none at all, names no document: such rows get numbers above
+    all ids in use.  Other ids stay, also in rows that repeat one text.
+    """
+    packed = _packed(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id", "text")
+    mark = F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull())
+    ids = packed.groupBy("doc_id").agg(F.min(mark).alias("least"), F.max(mark).alias("most"))
+    scratch = Scratch(spark, "ids")
+    shared = scratch.store(ids.where("doc_id is null or least != most").select("doc_id"), "shared")
+    if shared.isEmpty():
+        return packed
+    top = packed.agg(F.max("doc_id")).first()[0] or 0
+    own = packed.where("doc_id is not null").join(shared, "doc_id", "left_anti")
+    # Written once, so that a number stays with its row.
+    odd = packed.join(shared, packed.doc_id.eqNullSafe(shared.doc_id), "left_semi")
+    odd = scratch.store(odd.withColumn("number", F.monotonically_increasing_id()), "odd")
+    odd = odd.select((F.col("number") + max(top, 0) + 1).alias("doc_id"), "text", "row")
+    return own.select("doc_id", "text", "row").unionByName(odd)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the least doc_id.
 
-    Near duplicates share 0.8 or more of their five-word shingles (``NEAR_PERCENT``).  Of rows that repeat a doc_id one stays; rows without one stay.
+    Near duplicates share 0.8 or more of their five-word shingles (``NEAR_PERCENT``).  Of rows that
+    repeat an id and its text one stays.  Rows without an id, or whose id another text has too, are
+    documents of their own, and stay where no document with an id of its own is in their group.
     """
-    kept = neardup.near_duplicates(docs.select("doc_id", "text"), NEAR_PERCENT).where("kept and doc_id is not null")
-    named = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    rows = _numbered(spark, docs)
+    kept = neardup.near_duplicates(rows.select("doc_id", "text"), NEAR_PERCENT).where("kept")
+    return rows.join(kept.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontam.leaks(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark item, with or without an id."""
+    rows = _numbered(spark, docs)
+    found = decontam.leaks(rows.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
