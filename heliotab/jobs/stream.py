@@ -17,7 +17,7 @@ from .. import storage
 from ..plans import training
 from ..session import job_session
 from ..sources import topic
-from ..streaming import sinks, streams
+from ..streaming import manifest, progress, sinks, streams
 
 
 def chosen_sinks(options) -> dict[str, sinks.BatchSink]:
@@ -37,13 +37,22 @@ def chosen_sinks(options) -> dict[str, sinks.BatchSink]:
 
 def run(spark: SparkSession, messages: DataFrame, options) -> None:
     model = training.load_model(spark, *options.model) if options.model else None
-    stream = streams.enriched_stream(messages, model, options.wording, stamp=False)
+    entries = manifest.Manifest(options.manifest) if options.manifest else None
+    stream = streams.enriched_stream(messages, model, options.wording, stamp=False, audit=entries is not None)
     named = chosen_sinks(options)
-    if options.separate:
-        queries = streams.to_separate_queries(stream, named, options.checkpoint, options.interval)
-    else:
-        queries = [streams.to_sinks(stream, named, options.checkpoint, "readings", options.interval)]
-    streams.await_all(spark, queries)
+    with progress.recorded(spark) as log:
+        if options.separate:
+            queries = streams.to_separate_queries(stream, named, options.checkpoint, options.interval)
+        else:
+            queries = [
+                streams.to_sinks(stream, named, options.checkpoint, "readings", options.interval, entries)
+            ]
+        try:
+            streams.await_all(spark, queries)
+        finally:
+            log.wait([q.runId for q in queries if not q.isActive], timeout=10)
+            if options.progress:
+                log.table(spark).coalesce(1).write.mode("append").json(options.progress)
 
 
 def parse(arguments: list[str] | None = None):
@@ -62,10 +71,15 @@ def parse(arguments: list[str] | None = None):
     parser.add_argument("--processed", action="append", default=[])
     parser.add_argument("--documents")
     parser.add_argument("--snapshots")
+    parser.add_argument("--manifest", help="folder of the entries of complete batches")
+    parser.add_argument("--progress", help="folder for a record of batches, ends and failures")
     parser.add_argument("--console", action="store_true")
     parser.add_argument("--separate", action="store_true", help="one query per sink")
     parser.add_argument("--wording", action="store_true", help="existing wording in and out")
-    return parser.parse_args(arguments)
+    options = parser.parse_args(arguments)
+    if options.manifest and options.separate:
+        parser.error("--manifest is about batches that one query writes to all sinks: not with --separate")
+    return options
 
 
 def main() -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import habitability, physics
 from ..functions.rounding import with_rounded
-from ..sources import dims
+from ..sources import csvscan, dims
 
 # What a planet without a measure counts as on the telemetry side.
 PLANET_DEFAULTS = {
@@ -178,32 +178,33 @@ def nest(planets: DataFrame, parents: list[str], by: Column) -> DataFrame:
     )
 
 
-def read_planets_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
-    """A planet file with header.  Inference costs a second pass and is therefore off."""
-    reader = spark.read.option("header", True)
+def read_planets_csv(
+    spark: SparkSession, path: str, infer: bool = False, problems: bool = False
+) -> DataFrame:
+    """The 33 planet columns by header name, whatever their order; a missing one is an error.
+
+    Inference keeps the file's own columns and types; it costs a second pass and is therefore off.
+    ``problems``: see ``csvscan.scan``.
+    """
     if infer:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schemas.PLANETS).csv(path)
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return csvscan.scan(spark, path, schemas.PLANETS, problems=problems)
 
 
 def load_local_planets(spark: SparkSession, path: str) -> DataFrame:
     """A catalogue file as source planets: typed, missing columns defaulted, no file no rows."""
     try:
-        rows = spark.read.option("header", True).csv(path)
+        rows = csvscan.scan(spark, path, schemas.SOURCE_PLANETS, LOCAL_FILE_DEFAULTS)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schemas.SOURCE_PLANETS)
-    missing = {c: F.lit(v) for c, v in LOCAL_FILE_DEFAULTS.items() if c not in rows.columns}
-    return _in_schema_order(
-        rows.withColumns(missing | {"source": F.lit("local")}), schemas.SOURCE_PLANETS
-    )
+    return rows.withColumn("source", F.lit("local"))
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """An archive extract as CSV with header; columns are found by name, lines of comment skipped."""
-    rows = spark.read.option("header", True).option("comment", "#").csv(path)
-    return _in_schema_order(rows, schemas.ARCHIVE)
+    return csvscan.scan(spark, path, schemas.ARCHIVE, comment="#")
 
 
 def default_parameter_sets(archive: DataFrame) -> DataFrame:

@@ -25,6 +25,9 @@ _PLANET_FIELDS = """system_name, star_type, star_luminosity, star_age_gy, xuv_fa
  has_water_int, magnetic_field_int, in_hz_int, habitable_candidate_int, tidally_locked_int,
  retains_atmosphere_int, label"""
 
+_STATE = """CASE WHEN l_orderkey % 13 = 0 THEN 'missing' WHEN l_orderkey % 11 = 0 THEN 'malformed'
+  WHEN l_orderkey % 7 = 0 THEN 'mismatched' ELSE 'intact' END"""
+
 _VIEWS = f"""WITH star_types AS (
  SELECT CAST(a AS INTEGER) AS star_idx, b AS star_type, CAST(c AS DOUBLE) AS luminosity,
   CAST(d AS INTEGER) AS temp_k, CAST(e AS DOUBLE) AS mass_solar, CAST(f AS DOUBLE) AS lifespan_gy,
@@ -435,6 +438,31 @@ FROM per_class, total t""",
  UNION ALL SELECT {_READING_FIELDS}, NULL, NULL, NULL, NULL, 'raw' FROM readings""",
     "stream_batches": """SELECT count(*) AS n, true AS one_time, true AS all_known
  FROM readings GROUP BY l_orderkey % 3""",
+    "scan_csv_problems": """, marked AS (
+ SELECT planet_id % 13 = 0 AS mass, planet_id % 17 = 0 AS moons, planet_id % 19 = 0 AS line FROM planets)
+SELECT 'mass_earth' AS problem, count(*) AS n FROM marked WHERE mass UNION ALL
+SELECT 'moons', count(*) FROM marked WHERE moons UNION ALL SELECT 'line', count(*) FROM marked WHERE line UNION ALL
+SELECT 'none', count(*) FROM marked WHERE NOT (mass OR moons OR line)""",
+    "scan_csv_clean": f"""SELECT {_PLANET_FIELDS} FROM planets
+ WHERE planet_id % 13 <> 0 AND planet_id % 17 <> 0 AND planet_id % 19 <> 0""",
+    "sink_staged_overwrite": """SELECT name, label, 'kept' AS result FROM planets
+ UNION ALL SELECT name, upper(label), 'replaced' FROM planets""",
+    "decode_quality": f"""SELECT state, count(*) AS n, CAST(sum(CASE WHEN state IN ('intact', 'mismatched') THEN 1 ELSE 0 END) AS BIGINT) AS names,
+ CAST(sum(CASE WHEN state = 'intact' THEN 1 ELSE 0 END) AS BIGINT) AS ticks FROM (SELECT {_STATE} AS state FROM readings) GROUP BY state""",
+    "stream_committed_batches": """SELECT state, sink, count(*) AS n, CAST(sum(tick) AS BIGINT) AS ticks
+ FROM readings, (VALUES ('failed', 1), ('repaired', 3)) AS t(state, parts), (VALUES ('first'), ('second'), ('third')) AS s(sink)
+ WHERE l_orderkey % 3 < parts GROUP BY state, sink""",
+    "stream_batch_metrics": f"""SELECT CAST(b AS BIGINT) AS batch, count(state) AS "rows", count(*) FILTER (state = 'intact') AS intact,
+ count(*) FILTER (state = 'mismatched') AS mismatched, count(*) FILTER (state = 'malformed') AS malformed,
+ count(*) FILTER (state = 'missing') AS missing
+FROM (VALUES (0), (1), (2)) AS v(b) LEFT JOIN (
+ SELECT CASE WHEN l_orderkey % 2 = 0 THEN 0 ELSE 2 END AS b, {_STATE} AS state FROM readings) r USING (b) GROUP BY b""",
+    "stream_progress": """, batches AS (
+ SELECT CAST(l_orderkey % 3 AS BIGINT) AS batch, count(*) AS n FROM readings GROUP BY 1)
+SELECT 'whole' AS query, 'batch' AS event, batch, n AS "rows" FROM batches
+UNION ALL SELECT 'broken', 'batch', batch, n FROM batches WHERE batch = 0
+UNION ALL SELECT query, event, NULL, NULL FROM (VALUES ('whole', 'started'), ('whole', 'ended'),
+ ('broken', 'started'), ('broken', 'failed')) AS e(query, event)""",
     "stream_restart": f"""SELECT {_ENRICHED_FIELDS}, CAST(NULL AS VARCHAR) AS ml_predicted_label
  FROM alarmed""",
     "string_index": """, counts AS (

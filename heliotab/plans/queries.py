@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,8 @@ from .. import schemas, vocab
 from ..functions import habitability, physics
 from ..operators.joins import lookup_join
 from ..sinks import batch as batch_sinks
-from ..sources import dims, terms, testbed, wire
-from ..streaming import sinks, streams
+from ..sources import csvscan, dims, terms, testbed, wire
+from ..streaming import manifest, progress, sinks, streams
 from ..workspace import stored, work_dir
 from . import catalog, reports, telemetry, training
 
@@ -71,19 +72,53 @@ def _planet_table(spark, sf_dir):
 
 @query
 def scan_csv_planets(spark, sf_dir):
-    """The planet table through a CSV file."""
+    """The planet table through a CSV file with its columns in another order, and one more."""
     path = work_dir(spark, "planets-csv")
-    batch_sinks.write_csv(_planet_table(spark, sf_dir), path)
+    planets = _planet_table(spark, sf_dir)
+    turned = planets.select(F.lit("x").alias("note"), *reversed(planets.columns))
+    batch_sinks.write_csv(turned, path)
     return catalog.read_planets_csv(spark, path)
 
 
+def _damaged_csv(spark, sf_dir):
+    """A scan of planets of which some have a word for a number or one field too many."""
+    path = work_dir(spark, "damaged-csv")
+    planets = testbed.planets(spark, sf_dir)
+    number = F.col("planet_id")
+    texts = planets.select(
+        *[F.col(f.name).cast("string") for f in reversed(schemas.PLANETS.fields) if f.name != "name"],
+        F.when(number % 19 == 0, F.concat("name", F.lit(",more"))).otherwise(F.col("name")).alias("name"),
+        number,
+    ).withColumns(
+        {
+            "mass_earth": F.when(number % 13 == 0, "n/a").otherwise(F.col("mass_earth")),
+            "moons": F.when(number % 17 == 0, "many").otherwise(F.col("moons")),
+        }
+    )
+    # Without quotes a comma inside the last column is one more field.
+    texts.drop("planet_id").write.option("header", True).option("quote", "").csv(path)
+    return catalog.read_planets_csv(spark, path, problems=True)
+
+
+@query
+def scan_csv_problems(spark, sf_dir):
+    """Rows of a damaged file for each kind of problem."""
+    return csvscan.problem_counts(_damaged_csv(spark, sf_dir))
+
+
+@query
+def scan_csv_clean(spark, sf_dir):
+    """The rows of a damaged file that are whole."""
+    return csvscan.clean_rows(_damaged_csv(spark, sf_dir))
+
+
 @query
 def sink_csv_roundtrip(spark, sf_dir):
     """The star table through a CSV file."""
     path = work_dir(spark, "stars-csv")
     stars = catalog.star_system_table(spark, testbed.systems(spark, sf_dir).drop("system_id"))
     batch_sinks.write_csv(stars, path)
-    return spark.read.schema(schemas.STAR_SYSTEMS).option("header", True).csv(path)
+    return csvscan.scan(spark, path, schemas.STAR_SYSTEMS)
 
 
 @query
@@ -488,6 +523,26 @@ def sink_parquet_roundtrip(spark, sf_dir):
     return first.unionByName(second)
 
 
+@query
+def sink_staged_overwrite(spark, sf_dir):
+    """Results that a failed overwrite left as they were, and one that a later overwrite replaced."""
+    root = work_dir(spark, "staged")
+    first = _planet_table(spark, sf_dir).select("name", "label")
+    broken = first.withColumn("label", F.when(F.col("label") == vocab.UNCERTAIN, F.raise_error(F.lit("lost"))).otherwise("x"))
+    for name in ("kept", "replaced"):
+        batch_sinks.write_parquet(first, f"{root}/{name}")
+        try:
+            batch_sinks.write_parquet(broken, f"{root}/{name}")
+        except Exception as error:
+            if "lost" not in str(error):
+                raise
+    batch_sinks.write_parquet(first.withColumn("label", F.upper("label")), f"{root}/replaced")
+    kept, replaced = (
+        spark.read.schema(first.schema).parquet(f"{root}/{d}").withColumn("result", F.lit(d)) for d in ("kept", "replaced")
+    )
+    return kept.unionByName(replaced)
+
+
 # --- streaming ----------------------------------------------------------------------------------
 
 
@@ -633,13 +688,19 @@ def stream_fanout(spark, sf_dir):
     return merged
 
 
-@query
-def stream_batches(spark, sf_dir):
-    """Batches of one file each: rows of a batch, and whether one known processing time marks it."""
-    topic, out = work_dir(spark, "topic"), work_dir(spark, "batches")
+def _published_in_three(spark, sf_dir) -> str:
+    """A topic of three files, by the remainder of the order number."""
+    topic = work_dir(spark, "topic")
     readings = testbed.readings(spark, sf_dir)
     for part in range(3):
         _publish(readings.filter(F.col("l_orderkey") % 3 == part).coalesce(1), topic)
+    return topic
+
+
+@query
+def stream_batches(spark, sf_dir):
+    """Batches of one file each: rows of a batch, and whether one known processing time marks it."""
+    topic, out = _published_in_three(spark, sf_dir), work_dir(spark, "batches")
     stream = _unstamped(spark, topic, max_files=1)
     _run_sinks(spark, stream, f"{out}/checkpoint", processed=sinks.parquet_sink(f"{out}/data"))
     written = spark.read.parquet(f"{out}/data")
@@ -650,6 +711,112 @@ def stream_batches(spark, sf_dir):
     ).drop("batch")
 
 
+@query
+def stream_committed_batches(spark, sf_dir):
+    """What readers see through the manifest: after the third sink failed in the second batch, and later."""
+    topic, out = _published_in_three(spark, sf_dir), work_dir(spark, "committed")
+    entries, broken = manifest.Manifest(f"{out}/manifest"), [True]
+
+    def unreliable(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 1 and broken:
+            raise RuntimeError("store is down")
+        sinks.parquet_sink(f"{out}/third")(batch, batch_id)
+
+    named = {n: sinks.parquet_sink(f"{out}/{n}") for n in ("first", "second")} | {"third": unreliable}
+    stream = _unstamped(spark, topic, max_files=1)
+
+    def seen(state: str) -> DataFrame:
+        parts = [
+            entries.committed(spark.read.option("basePath", f"{out}/{n}").parquet(f"{out}/{n}"))
+            .groupBy(F.lit(state).alias("state"), F.lit(n).alias("sink"))
+            .agg(F.count("*").alias("n"), F.sum("tick").alias("ticks"))
+            for n in named
+        ]
+        return stored(parts[0].unionByName(parts[1]).unionByName(parts[2]), "seen")
+
+    def run() -> None:
+        running = streams.to_sinks(stream, named, f"{out}/checkpoint", interval="once", manifest=entries)
+        streams.await_all(spark, [running])
+
+    try:
+        run()
+    except StreamingQueryException as error:
+        if "store is down" not in str(error):
+            raise
+    before = seen("failed")
+    broken.clear()
+    run()
+    return before.unionByName(seen("repaired"))
+
+
+@query
+def stream_batch_metrics(spark, sf_dir):
+    """Messages of each batch by state: two batches of damaged ones and an empty batch."""
+    topic, out = work_dir(spark, "topic"), work_dir(spark, "metrics")
+    readings = testbed.readings(spark, sf_dir)
+    whole = wire.encode(readings.select(*schemas.SENSOR_READING.names, "l_orderkey"))
+    order = F.get_json_object("value", "$.l_orderkey").cast("bigint")
+    tick = F.regexp_replace("value", '"tick":', '"tick":"x","was":')
+    damaged = (
+        F.when(order % 13 == 0, F.lit(None).cast("string"))
+        .when(order % 11 == 0, F.expr("substr(value, 1, 40)"))
+        .when(order % 7 == 0, tick)
+        .otherwise(F.col("value"))
+    )
+    messages = whole.withColumns({"order": order, "damaged": damaged})
+    for part in ("order % 2 = 0", "false", "order % 2 <> 0"):
+        messages.filter(part).select("key", F.col("damaged").alias("value")).coalesce(1).write.mode("append").parquet(topic)
+    stream = streams.enriched_stream(streams.replay(spark, topic, 1), stamp=False, audit=True)
+    entries = manifest.Manifest(f"{out}/manifest")
+    named = {"processed": sinks.parquet_sink(f"{out}/data")}
+    running = streams.to_sinks(stream, named, f"{out}/checkpoint", interval="once", manifest=entries)
+    streams.await_all(spark, [running])
+    return entries.entries(spark).select("batch", "rows", *wire.MESSAGE_STATES)
+
+
+@query
+def decode_quality(spark, sf_dir):
+    """The state of every message of a damaged topic, with what is left of it."""
+    readings = testbed.readings(spark, sf_dir).select("l_orderkey", "planet_name", "tick")
+    order = F.get_json_object("value", "$.l_orderkey").cast("bigint")
+    cut = F.expr("substr(value, 1, length(value) div 2)")
+    wrong = F.regexp_replace("value", '"tick":', '"tick":"x","was":')
+    damaged = F.when(order % 13 == 0, F.lit(None).cast("string")).when(order % 11 == 0, cut).when(order % 7 == 0, wrong)
+    messages = wire.encode(readings).withColumn("value", F.when(damaged.isNotNull() | (order % 13 == 0), damaged).otherwise(F.col("value")))
+    decoded = wire.decode(messages, readings.schema, audit=True)
+    return decoded.groupBy(F.col(wire.STATE).alias("state")).agg(
+        F.count("*").alias("n"), F.count("planet_name").alias("names"), F.count("tick").alias("ticks")
+    )
+
+
+@query
+def stream_progress(spark, sf_dir):
+    """What the listener records of two queries at once: rows of each batch, one end and one failure."""
+    topic, out = _published_in_three(spark, sf_dir), work_dir(spark, "progress")
+
+    def refuse(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 1:
+            raise RuntimeError("store is down")
+
+    with progress.recorded(spark) as log:
+        running = [
+            streams.to_sinks(_unstamped(spark, topic, max_files=1), {"x": sink}, f"{out}/{name}", name, "once")
+            for name, sink in (("whole", sinks.parquet_sink(f"{out}/data")), ("broken", refuse))
+        ]
+        failed = []
+        for one in running:
+            try:
+                streams.await_all(spark, [one])
+            except StreamingQueryException:
+                failed.append(one.name)
+        if failed != ["broken"] or not log.wait([q.runId for q in running]):
+            raise RuntimeError(f"failed queries: {failed}")
+        events = stored(log.table(spark), "events")
+    batches = events.where("event <> 'batch' OR rows > 0")
+    # The failed batch has progress of its own or not, depending on when it broke: only whole ones count.
+    return batches.where("query = 'whole' OR event <> 'batch' OR batch = 0").select("query", "event", "batch", "rows")
+
+
 @query
 def stream_restart(spark, sf_dir):
     """Two runs on one checkpoint: messages published in between are added, none repeats."""

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.habitability import decode_label
 from ..operators.joins import key_hash
 from ..schemas import NUMERIC_FEATURES
+from ..sinks.staged import replace, settle
 from ..workspace import stored
 
 LOG = logging.getLogger(__name__)
@@ -217,14 +218,17 @@ def feature_importance(
 
 
 def save_model(model: PipelineModel, *paths: str) -> None:
+    """Replace the model of every destination; a failed save leaves the earlier one."""
+    spark = SparkSession.active()
     for path in paths:
-        model.write().overwrite().save(path)
+        replace(spark, path, model.write().save)
 
 
 def load_model(spark: SparkSession, *paths: str) -> PipelineModel | None:
     """The first model that loads, in the given order; None if there is none."""
     for path in paths:
         try:
+            settle(spark, path)
             return PipelineModel.read().session(spark).load(path)
         except Exception as error:  # a missing path, an unreachable store or a broken file
             LOG.warning("no model at %s: %s", path, type(error).__name__)

@@ -1,4 +1,4 @@
-"""Batch outputs."""
+"""Batch outputs.  Each replaces an earlier one only when it is complete (``staged``)."""
 
 from __future__ import annotations
 
@@ -6,22 +6,25 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from .staged import replace
+
 
 def write_parquet(df: DataFrame, *paths: str) -> None:
-    """Overwrite every destination with the same rows.
+    """Replace the result of every destination by the same rows.
 
     The rows are computed for the first destination only; the others copy its files, so a large
     result is neither computed again nor held on the executors.
     """
+    spark = df.sparkSession
     first, *others = paths
-    df.write.mode("overwrite").parquet(first)
+    replace(spark, first, df.write.parquet)
     for path in others:
-        written = df.sparkSession.read.schema(df.schema).parquet(first)
-        written.write.mode("overwrite").parquet(path)
+        written = spark.read.schema(df.schema).parquet(first)
+        replace(spark, path, written.write.parquet)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    replace(df.sparkSession, path, df.write.option("header", True).csv)
 
 
 def write_reports(reports: Mapping[str, DataFrame], path: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..schemas import SENSOR_READING
 
@@ -21,14 +21,42 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def decode(messages: DataFrame, schema: StructType = SENSOR_READING) -> DataFrame:
+# What a message can be: read whole, read but for fields of a wrong type, nothing of it readable, no
+# value at all.
+MESSAGE_STATES = ["intact", "mismatched", "malformed", "missing"]
+STATE = "_message"
+_CORRUPT = "_corrupt"
+
+
+def decode(messages: DataFrame, schema: StructType = SENSOR_READING, audit: bool = False) -> DataFrame:
     """Message values to flat columns.
 
     Every message gives one row: a malformed one is all NULL, a value of the wrong type is NULL
-    in its field only.
+    in its field only.  ``audit`` adds the column ``_message`` with the state of the message.
     """
-    parsed = F.from_json(F.col("value").cast("string"), schema)
-    return nan_to_null(messages.select(parsed.alias("d")).select("d.*"))
+    text = F.col("value").cast("string")
+    if not audit:
+        return nan_to_null(messages.select(F.from_json(text, schema).alias("d")).select("d.*"))
+    whole = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
+    parsed = F.from_json(text, whole, {"columnNameOfCorruptRecord": _CORRUPT})
+    rows = messages.select(text.isNull().alias("_none"), parsed.alias("d")).select("_none", "d.*")
+    state = (
+        F.when(F.col("_none"), "missing")
+        .when(F.col(_CORRUPT).isNull(), "intact")
+        .when(F.coalesce(*[F.col(f"`{f}`").isNotNull() | F.lit(None) for f in schema.names], F.lit(False)), "mismatched")
+        .otherwise("malformed")
+    )
+    return nan_to_null(rows.withColumn(STATE, state).drop("_none", _CORRUPT))
+
+
+def state_counts(rows: DataFrame) -> dict[str, int]:
+    """Rows in all (``rows``) and in each message state, in one pass; no state column counts as intact."""
+    known = STATE in rows.columns
+    counts = [
+        F.count_if(F.col(STATE) == s) if known else F.count_if(F.lit(s == "intact")) for s in MESSAGE_STATES
+    ]
+    row = rows.agg(F.count("*").alias("rows"), *[c.alias(s) for c, s in zip(counts, MESSAGE_STATES, strict=True)]).first()
+    return row.asDict()
 
 
 def encode(readings: DataFrame, key: str = "planet_name") -> DataFrame:

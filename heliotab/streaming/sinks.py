@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..plans import telemetry
 from ..schemas import MODEL_COLUMNS
+from ..sources.wire import STATE, state_counts
+from .manifest import Manifest
 
 BatchSink = Callable[[DataFrame, int], None]
 CONSOLE_ROWS = 30
@@ -27,9 +29,12 @@ QUERY_ID = "sql.streaming.queryId"  # the property that a streaming query sets f
 ALL_BATCHES = "run=*/batch=*"
 
 
+def _run_of(batch: DataFrame) -> str:
+    return batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "none"
+
+
 def _batch_folder(path: str, batch: DataFrame, batch_id: int, unit: str = "batch") -> str:
-    run = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "none"
-    return f"{path}/run={run}/{unit}={batch_id}"
+    return f"{path}/run={_run_of(batch)}/{unit}={batch_id}"
 
 
 def parquet_sink(path: str) -> BatchSink:
@@ -89,23 +94,32 @@ def console_sink(rows: int = CONSOLE_ROWS) -> BatchSink:
     return write
 
 
-def fan_out(sinks: Mapping[str, BatchSink]) -> BatchSink:
+def fan_out(sinks: Mapping[str, BatchSink], manifest: Manifest | None = None) -> BatchSink:
     """Feed one computation of a batch to all sinks; an empty batch writes nothing.
 
-    All sinks see the same processing time, added after the computation if the batch has none.
+    All sinks see the same processing time, added after the computation if the batch has none.  The
+    pass that computes the batch also counts its rows and the states of its messages.  With a
+    ``manifest`` the batch is entered there when the last sink has it, empty batches too; a batch
+    that is entered already is not written again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark, run = batch.sparkSession, _run_of(batch)
+        if manifest and manifest.has(spark, run, batch_id):
+            return
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if kept.isEmpty():
-                return
-            stamped = kept
-            if "processed_at" not in kept.columns:
-                now = datetime.now(timezone.utc)
-                stamped = kept.withColumn("processed_at", F.lit(now))
-            for sink in sinks.values():
-                sink(stamped, batch_id)
+            states = state_counts(kept)
+            rows = states.pop("rows")
+            if rows:
+                stamped = kept.drop(STATE)
+                if "processed_at" not in kept.columns:
+                    now = datetime.now(timezone.utc)
+                    stamped = stamped.withColumn("processed_at", F.lit(now))
+                for sink in sinks.values():
+                    sink(stamped, batch_id)
+            if manifest:
+                manifest.commit(spark, run, batch_id, rows, states, list(sinks))
         finally:
             kept.unpersist()
 
