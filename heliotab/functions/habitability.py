@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import vocab
-from .rules import Rules, any_match_sql, first_match, first_match_sql
+from .rules import Rules, any_match_sql, first_match, first_match_sql, own_method
 
 # Label rules of the catalogue, first match wins.  A missing flag counts as "no".
 LABEL_RULES = [
@@ -139,7 +139,7 @@ NO_ALERT = "NOMINAL"
 
 def label_reason() -> Column:
     """The rule that decided a planet's label: r1 to r10, or the two positive outcomes."""
-    return first_match(LABEL_RULES, LAST_LABEL_RULE)
+    return F.expr(own_method(first_match_sql(LABEL_RULES, LAST_LABEL_RULE)))
 
 
 def label_of(reason: str) -> Column:
@@ -181,17 +181,24 @@ def score_points() -> dict[str, Column]:
     return {term: F.expr(sql) for term, sql in _points_sql().items()}
 
 
+def _clamped(points: str) -> str:
+    low, high = SCORE_RANGE
+    return f"round(greatest({low}D, least({high}D, {points})), 1)"
+
+
 def score_from(terms: list[str], eliminated: str) -> Column:
     """Sum of the terms, clamped, with one decimal; zero for eliminated readings."""
-    low, high = SCORE_RANGE
-    total = f"round(greatest({low}D, least({high}D, {' + '.join(terms)})), 1)"
-    return F.expr(f"CASE WHEN {eliminated} THEN 0D ELSE {total} END")
+    return F.expr(f"CASE WHEN {eliminated} THEN 0D ELSE {_clamped(' + '.join(terms))} END")
 
 
 def habitability_score() -> Column:
-    """0 to 100 with one decimal, from known measures."""
+    """0 to 100 with one decimal, from known measures.
+
+    A product and not a CASE: the points are computed for every reading, in a method of their own.
+    """
     eliminated = any_match_sql(_on_known(SCORE_ELIMINATIONS))
-    return score_from(list(_points_sql().values()), eliminated)
+    points = own_method(" + ".join(_points_sql().values()))
+    return F.expr(f"if({eliminated}, 0D, 1D) * {_clamped(points)}")
 
 
 def habitability_class() -> Column:
@@ -218,7 +225,7 @@ def alert_codes() -> Column:
 
 def raised_alerts() -> Column:
     """Alert codes joined into one text, empty when all is nominal."""
-    return F.expr(f"concat_ws('{vocab.ALERT_SEPARATOR}', {_alert_columns_sql()})")
+    return F.expr(own_method(f"concat_ws('{vocab.ALERT_SEPARATOR}', {_alert_columns_sql()})"))
 
 
 def or_nominal(raised: str) -> Column:

@@ -41,6 +41,7 @@ def with_rounded(df: DataFrame, quantities: dict[str, tuple[Column, int]]) -> Da
             names = {"x": x, "s": scale[x], "k": _SPLITTER, "whole": _ALL_WHOLE}
             for name, sql in step.items():
                 known = F.coalesce(column, F.lit(float("nan")))
+                known = F.greatest(known, known)  # in a method of its own, see rules.own_method
                 added[name.format(**names)] = F.expr(sql.format(**names)) if sql else known
         df = df.withColumns(added)
     return df.drop(

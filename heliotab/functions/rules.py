@@ -31,3 +31,14 @@ def first_match(rules: Rules, default: object = None) -> Column:
 
 def any_match_sql(rules: Rules) -> str:
     return " OR ".join(f"({predicate})" for predicate, _ in rules)
+
+
+def own_method(sql: str) -> str:
+    """The same value, computed in a method of its own.
+
+    Spark generates one method for all projections of a stage, and the JVM does not compile methods
+    above 8000 bytes.  An expression that is used twice in a projection is computed once, in a separate
+    method if it is long: hence the greatest of the value and itself.  For expressions that are
+    always evaluated; inside a CASE branch it would be computed twice.
+    """
+    return f"greatest({sql}, {sql})"

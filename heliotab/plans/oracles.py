@@ -513,13 +513,25 @@ parts AS (SELECT 1 AS part, r, feature FROM star_rank UNION ALL SELECT 2, r, fea
         f"({i}, '{c}')" for i, c in enumerate(_NUMERIC_LIST)) + """) AS n(r, feature))
 SELECT CAST(row_number() OVER (ORDER BY part, r) - 1 AS INTEGER) AS slot, feature, 1.0::DOUBLE AS total,
  true AS is_share FROM parts""",
-    "cross_validate": """, grid AS (
- SELECT t, d, m FROM (VALUES (1, 50), (2, 100), (3, 200)) AS a(i, t), (VALUES (1, 4), (2, 6), (3, 8)) AS b(j, d),
- (VALUES (1, 1), (2, 2)) AS c(k, m))
-SELECT CAST(row_number() OVER (ORDER BY t, d, m) - 1 AS INTEGER) AS setting,
- 'maxDepth=' || d || ', minInstancesPerNode=' || m || ', numTrees=' || t AS params, true AS is_accuracy FROM grid""",
-    "best_params": """SELECT CAST(18 AS BIGINT) AS n_settings, true AS known_trees, true AS known_depth,
- true AS is_best""",
+    "cross_validate": f""", grid AS (
+ SELECT CAST(row_number() OVER (ORDER BY t, d, m) - 1 AS INTEGER) AS setting,
+  'maxDepth=' || d || ', minInstancesPerNode=' || m || ', numTrees=' || t AS params
+ FROM (VALUES (50), (100), (200)) AS a(t), (VALUES (4), (6), (8)) AS b(d), (VALUES (1), (2)) AS c(m)),
+folds AS (SELECT label, CAST((row_number() OVER (PARTITION BY label
+  ORDER BY CAST('0x' || substr(md5(name), 1, 8) AS BIGINT), name) - 1) % 5 AS INTEGER) AS fold
+ FROM (SELECT name, {_EXACT} AS label FROM planets)),
+held_out AS (SELECT fold, label, count(*) AS n FROM folds GROUP BY fold, label)
+SELECT setting, fold, label, label AS predicted, n, params, 1.0::DOUBLE AS accuracy FROM grid, held_out""",
+    "best_params": """SELECT 50 AS num_trees, 4 AS max_depth, 1 AS min_instances, 1.0::DOUBLE AS accuracy, 18 AS n_settings""",
+    "importance_threshold": """, cells AS (
+ SELECT has_water AS w, in_habitable_zone AS z, CAST(count(*) AS DOUBLE) AS n FROM planets GROUP BY ALL),
+sums AS (SELECT sum(n) AS a, sum(n) FILTER (w) AS w, sum(n) FILTER (z) AS z, sum(n) FILTER (w AND z) AS h FROM cells),
+-- Gini impurity of a node of x rows, y of them habitable, times x: 2 * y * (x - y) / x.
+decrease AS (SELECT *, 2 * h * (a - h) / a - 2 * h * (w - h) / w AS by_water, 2 * h * (a - h) / a - 2 * h * (z - h) / z AS by_zone FROM sums),
+parts AS (
+ SELECT unnest(['has_water_int', 'in_hz_int']) AS feature,
+  unnest(CASE WHEN by_zone > by_water THEN [2 * h * (z - h) / z, by_zone] ELSE [by_water, 2 * h * (w - h) / w] END) AS d FROM decrease)
+SELECT feature, round(d / sum(d) OVER (), 6) AS importance FROM parts""",
     "stream_predict": f"""SELECT planet_name, tick, timestamp, habitability_class,
  CASE WHEN habitable_candidate_int = 1 THEN 'habitable' ELSE 'non_habitable' END AS ml_predicted_label FROM alarmed""",
     "alert_codes": f"""SELECT {_KEY}, CAST(generate_subscripts(alert_list, 1) - 1 AS INTEGER) AS position,

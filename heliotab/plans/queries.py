@@ -17,7 +17,7 @@ from ..sinks import batch as batch_sinks
 from ..sources import csvscan, dims, terms, testbed, wire
 from ..streaming import manifest, progress, sinks, streams
 from ..workspace import stored, work_dir
-from . import catalog, reports, telemetry, training
+from . import catalog, reports, search, telemetry, training
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -962,10 +962,9 @@ def feature_importance(spark, sf_dir):
     """All vector slots with their names, and what their importances add up to."""
     planets = _training_planets(spark, sf_dir)
     model = training.build_pipeline(_grid_forest()).fit(planets)
-    slots = training.feature_importance(model, planets, threshold=-1.0)
-    return slots.crossJoin(
-        F.broadcast(slots.agg(F.round(F.sum("importance"), 6).alias("total")))
-    ).select("slot", "feature", "total", F.col("importance").between(0, 1).alias("is_share"))
+    slots = stored(training.feature_importance(model, planets, threshold=-1.0), "importance")
+    total = F.lit(round(slots.agg(F.sum("importance")).first()[0], 6))
+    return slots.select("slot", "feature", total.alias("total"), F.col("importance").between(0, 1).alias("is_share"))
 
 
 @query
@@ -975,40 +974,31 @@ def stratified_folds(spark, sf_dir):
     return training.with_folds(planets)
 
 
-_SEARCHES: dict = {}
-
-
-def _searched(spark, sf_dir):
-    """The whole search: 18 settings, five folds, on the rule labels; once for both its queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SEARCHES:
-        _SEARCHES[key] = training.cross_validate(_training_planets(spark, sf_dir), parallelism=8)
-    return _SEARCHES[key]
-
-
 @query
 def cross_validate(spark, sf_dir):
-    """Every setting of the search once, with an average accuracy that is one."""
-    scores = training.cv_scores(_searched(spark, sf_dir), spark)
-    return scores.select("setting", "params", F.col("accuracy").between(0.5, 1).alias("is_accuracy"))
+    """The whole search, 18 settings and five folds: held-out rows by label and prediction, and averages."""
+    found = search.run(_exact_planets(spark, sf_dir).drop("split"), parallelism=8)
+    known = found.settings.select("setting", "params").join(F.broadcast(search.averages(found.counts)), "setting")
+    return found.counts.join(known, "setting").withColumn("accuracy", F.round("accuracy", 9))
 
 
 @query
 def best_params(spark, sf_dir):
-    """The setting of the best model is in the grid and has the largest average accuracy."""
-    search = _searched(spark, sf_dir)
-    best = training.best_params(search.bestModel, spark)
-    tried = training.cv_scores(search, spark)
-    of_best = F.format_string(
-        "maxDepth=%d, minInstancesPerNode=%d, numTrees=%d", "max_depth", "min_instances", "num_trees"
-    )
-    top = tried.agg(F.max("accuracy").alias("top"), F.count("*").alias("n_settings"))
-    return tried.join(best, F.col("params") == of_best).crossJoin(top).select(
-        "n_settings",
-        F.col("num_trees").isin(training.GRID_TREES).alias("known_trees"),
-        F.col("max_depth").isin(training.GRID_DEPTH).alias("known_depth"),
-        (F.col("accuracy") == F.col("top")).alias("is_best"),
-    )
+    """The best of the 18 settings over two folds; of equal averages the first of the grid."""
+    found = search.run(_exact_planets(spark, sf_dir).drop("split"), folds=2, parallelism=8)
+    n_settings = F.lit(found.settings.count()).alias("n_settings")
+    return search.best_params(found).select("num_trees", "max_depth", "min_instances", F.round("accuracy", 9).alias("accuracy"), n_settings)
+
+
+@query
+def importance_threshold(spark, sf_dir):
+    """Importances above the threshold, of a tree that learns two flags, from the table of its nodes."""
+    planets = testbed.planets(spark, sf_dir)
+    both = F.col("has_water") & F.col("in_habitable_zone")
+    marked = stored(planets.withColumn("label", F.when(both, vocab.HABITABLE).otherwise(vocab.NON_HABITABLE)), "training")
+    model = training.build_pipeline(training.forest(numTrees=1, maxDepth=4, bootstrap=False)).fit(marked)
+    found = training.feature_importance(model, marked)
+    return found.select("feature", F.round("importance", 6).alias("importance"))
 
 
 @query

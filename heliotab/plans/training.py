@@ -6,7 +6,6 @@ import logging
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
@@ -14,7 +13,7 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +21,7 @@ from ..functions.habitability import decode_label
 from ..operators.joins import key_hash
 from ..schemas import NUMERIC_FEATURES
 from ..sinks.staged import replace, settle
-from ..workspace import stored
+from . import trees
 
 LOG = logging.getLogger(__name__)
 SEED = 42
@@ -127,34 +126,6 @@ def random_train_test(planets: DataFrame, seed: int = SEED) -> tuple[DataFrame,
     return train, test
 
 
-def cross_validate(
-    train: DataFrame,
-    classifier: RandomForestClassifier | None = None,
-    grid: list | None = None,
-    folds: int = 5,
-    parallelism: int = 4,
-    key: str = "name",
-) -> CrossValidatorModel:
-    """Search the grid by accuracy; preprocessing is fitted inside each fold.
-
-    Folds are stratified by label and come from a hash of the key, so that a repeated or retried
-    run sees the same ones.  They are stored with the table, which every fit reads again.
-    """
-    classifier = classifier or forest()
-    search = CrossValidator(
-        estimator=build_pipeline(classifier),
-        estimatorParamMaps=grid or full_grid(classifier),
-        evaluator=MulticlassClassificationEvaluator(
-            labelCol="label_index", predictionCol="prediction", metricName="accuracy"
-        ),
-        numFolds=folds,
-        seed=SEED,
-        parallelism=parallelism,
-        foldCol="fold",
-    )
-    return search.fit(stored(with_folds(train, folds, key), "folds"))
-
-
 def _stage(model: PipelineModel, matches):
     return next(stage for stage in model.stages if matches(stage))
 
@@ -182,21 +153,6 @@ def score(model: PipelineModel, planets: DataFrame) -> DataFrame:
     return with_predicted_label(model, model.transform(planets))
 
 
-def best_params(model: PipelineModel, spark: SparkSession) -> DataFrame:
-    best = forest_of(model)
-    row = (best.getNumTrees, best.getMaxDepth(), best.getMinInstancesPerNode())
-    return spark.createDataFrame([row], "num_trees int, max_depth int, min_instances int")
-
-
-def cv_scores(model: CrossValidatorModel, spark: SparkSession) -> DataFrame:
-    """Average accuracy of every setting tried."""
-    rows = [
-        (i, ", ".join(f"{p.name}={v}" for p, v in sorted(s.items(), key=lambda x: x[0].name)), float(m))
-        for i, (s, m) in enumerate(zip(model.getEstimatorParamMaps(), model.avgMetrics))
-    ]
-    return spark.createDataFrame(rows, "setting int, params string, accuracy double")
-
-
 def slot_names(assembled: DataFrame, column: str = "features_raw") -> list[str]:
     """Names of the vector slots, from the metadata that the assembler wrote."""
     groups = assembled.schema[column].metadata["ml_attr"]["attrs"].values()
@@ -207,13 +163,16 @@ def slot_names(assembled: DataFrame, column: str = "features_raw") -> list[str]:
 def feature_importance(
     model: PipelineModel, planets: DataFrame, threshold: float = IMPORTANCE_THRESHOLD
 ) -> DataFrame:
-    """Slots whose importance is above the threshold, by slot index."""
-    names = slot_names(model.transform(planets))
-    values = forest_of(model).featureImportances.toArray().tolist()
-    rows = [(i, name, value) for i, (name, value) in enumerate(zip(names, values))]
-    ranked = planets.sparkSession.createDataFrame(
-        rows, "slot int, feature string, importance double"
+    """Slots whose importance is above the threshold, with their names.
+
+    Importances are computed from the table of the forest's nodes; a slot that no tree uses has zero.
+    """
+    spark = planets.sparkSession
+    names = spark.createDataFrame(
+        list(enumerate(slot_names(model.transform(planets)))), "slot int, feature string"
     )
+    found = trees.importances(trees.node_table(spark, forest_of(model))).withColumnRenamed("feature", "slot")
+    ranked = names.join(found, "slot", "left").withColumn("importance", F.coalesce("importance", F.lit(0.0)))
     return ranked.filter(F.col("importance") > threshold)
 
 
