@@ -1,9 +1,11 @@
+import duckdb
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
-from heliotab.plans import reports, telemetry, training
+from heliotab.plans import reports, search, telemetry, training, trees
 from heliotab.schemas import NUMERIC_FEATURES
 from heliotab.sources import testbed
 from heliotab.workspace import stored
@@ -91,13 +93,53 @@ def test_grid_and_folds(planets):
     assert left.count() + right.count() == planets.count()
 
 
-def test_search(spark, planets):
-    classifier = training.forest()
-    grid = [{classifier.numTrees: 5, classifier.maxDepth: depth} for depth in (2, 6)]
-    found = training.cross_validate(planets, classifier, grid, folds=2)
-    scores = training.cv_scores(found, spark).collect()
-    assert len(scores) == 2 and scores[1].accuracy > scores[0].accuracy
-    assert training.best_params(found.bestModel, spark).first().max_depth == 6
+@pytest.fixture(scope="module")
+def found(planets):
+    classifier = training.forest(bootstrap=False)
+    grid = [{classifier.numTrees: 1, classifier.maxDepth: depth} for depth in (2, 6, 5)]
+    return search.run(planets, classifier, grid, folds=3)
+
+
+def test_search_equals_cross_validation(spark, planets, found):
+    """Features fitted once per fold and shared give the accuracies of a fit per setting."""
+    classifier = training.forest(bootstrap=False)
+    usual = CrossValidator(
+        estimator=training.build_pipeline(classifier),
+        estimatorParamMaps=[{classifier.numTrees: 1, classifier.maxDepth: depth} for depth in (2, 6, 5)],
+        evaluator=MulticlassClassificationEvaluator(labelCol="label_index", metricName="accuracy"),
+        numFolds=3, foldCol="fold", parallelism=3,
+    ).fit(stored(training.with_folds(planets, 3), "folds"))
+    ours = {r.setting: r.accuracy for r in search.averages(found.counts).collect()}
+    assert [ours[i] for i in range(3)] == pytest.approx(list(usual.avgMetrics), abs=1e-12)
+    best = training.forest_of(usual.bestModel)
+    row = search.best_params(found).first()
+    assert (row.num_trees, row.max_depth, row.min_instances) == (1, best.getMaxDepth(), 1) and row.max_depth in (5, 6)
+    assert row.accuracy == max(usual.avgMetrics) and ours[0] < row.accuracy
+    left, right = (training.score(m, planets).select("name", "predicted_label") for m in (found.best, usual.bestModel))
+    assert left.exceptAll(right).count() == 0
+
+
+def test_sql_over_the_predictions_gives_averages_and_winner(spark, planets, found, tmp_path):
+    found.counts.coalesce(1).write.parquet(f"{tmp_path}/counts")
+    rows = duckdb.sql(f"""
+        SELECT setting, avg(accuracy) AS accuracy FROM (
+         SELECT setting, fold, sum(CASE WHEN label = predicted THEN n ELSE 0 END) / sum(n) AS accuracy
+         FROM '{tmp_path}/counts/*.parquet' GROUP BY setting, fold) GROUP BY setting ORDER BY accuracy DESC, setting""").fetchall()
+    ours = search.report(found).orderBy("place").collect()
+    assert [r[0] for r in rows] == [r.setting for r in ours] and found.best_setting == rows[0][0]
+    assert [r[1] for r in rows] == pytest.approx([r.accuracy for r in ours], abs=1e-12)
+    assert [r.params for r in found.settings.orderBy("setting").collect()] == [f"maxDepth={d}, numTrees=1" for d in (2, 6, 5)]
+    # Every labelled row is held out once for each setting, in its own fold.
+    per_fold = training.with_folds(planets, 3).groupBy("fold", "label").count()
+    held_out = found.counts.groupBy("setting", "fold", "label").agg(F.sum("n").alias("count"))
+    for setting in range(3):
+        assert held_out.where(F.col("setting") == setting).drop("setting").exceptAll(per_fold).count() == 0
+
+
+def test_equal_averages_go_to_the_first_setting(spark):
+    rows = [(s, f, "a", p, n) for s in (0, 1, 2) for f in (0, 1) for p, n in (("a", 3), ("b", 1 if s else 2))]
+    ranked = search.ranking(spark.createDataFrame(rows, search.COUNTS)).orderBy("place").collect()
+    assert [(r.setting, round(r.accuracy, 9)) for r in ranked] == [(1, 0.75), (2, 0.75), (0, 0.6)]
 
 
 def test_importance_names(model, planets):
@@ -107,3 +149,24 @@ def test_importance_names(model, planets):
     assert sum(r.importance for r in ranked) == pytest.approx(1.0)
     kept = training.feature_importance(model, planets).collect()
     assert 0 < len(kept) < len(ranked) and all(r.importance > 0.01 for r in kept)
+
+
+def test_importances_of_the_node_table(spark, model, planets):
+    nodes = trees.node_table(spark, training.forest_of(model))
+    ours = {r.feature: r.importance for r in trees.importances(nodes).collect()}
+    theirs = training.forest_of(model).featureImportances.toArray().tolist()
+    assert [ours.get(i, 0.0) for i in range(len(theirs))] == pytest.approx(theirs, abs=1e-12)
+    forest = training.forest_of(model)
+    assert nodes.count() == forest.totalNumNodes and nodes.select("tree").distinct().count() == forest.getNumTrees
+    inner = nodes.where("feature IS NOT NULL")
+    assert inner.where("left IS NULL OR right IS NULL OR gain <= 0").count() == 0
+    children = inner.select("tree", F.explode(F.array("left", "right")).alias("node")).join(nodes, ["tree", "node"])
+    assert children.count() == nodes.where("node > 0").count()
+
+
+def test_importances_without_a_split(spark):
+    nodes = spark.createDataFrame([(0, 0, None, 5.0, None)], "tree int, node int, feature int, rows double, gain double")
+    assert trees.importances(nodes).count() == 0
+    more = [(0, 0, 3, 8.0, 0.25), (0, 1, 4, 4.0, 0.5), (1, 0, None, 8.0, None), (2, 0, 4, 8.0, 0.5)]
+    nodes = spark.createDataFrame(more, "tree int, node int, feature int, rows double, gain double")
+    assert {r.feature: r.importance for r in trees.importances(nodes).collect()} == {3: 0.25, 4: 0.75}
