@@ -10,7 +10,8 @@ The index is dealt by segment and the segment's leading bits, so a query visits
 leading bits are within the radius; inside a cell the distinct segment values within the radius are
 looked up and their rows verified in one step.  Cells that hold too many rows are dealt further by
 the hash of the row, and of equal codes only the k + 1 least ids are filed: with ties by id no other
-can be an answer.
+can be an answer.  Equal query codes are searched once, for k + 1 answers of which each query leaves
+out itself.
 """
 
 from __future__ import annotations
@@ -153,9 +154,9 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int | None =
                     rows = np.repeat(start[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                     distance = np.bitwise_count(words[rows] ^ code).sum(axis=1).astype(np.int64)
                     names = ids[by[rows]]
-                    keep = (distance <= reach) & (names != q)
+                    keep = distance <= reach
                     distance, names = distance[keep], names[keep]
-                    best = np.lexsort((names, distance))[:k]
+                    best = np.lexsort((names, distance))[:k_found]
                     out[0].append(np.full(len(best), q))
                     out[1].append(names[best])
                     out[2].append(distance[best])
@@ -164,9 +165,10 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int | None =
 
         return verify
 
-    state = scratch.store(
-        queries.select(F.col("id").alias("query_id"), "code").distinct().withColumn("reach", F.lit(FAR)), "queries"
-    )
+    asked = queries.select(F.col("id").alias("asked_id"), "code").distinct()
+    once = asked.groupBy("code").agg(F.min("asked_id").alias("query_id"))
+    state = scratch.store(once.select("query_id", "code", F.lit(FAR).alias("reach")), "queries")
+    codes_asked, k_found = state, k + 1  # a query's own id may be one of the answers
     found = None
     most = max(b - a for a, b in zip(borders, borders[1:], strict=False))
     for radius in range(most + 1):
@@ -180,13 +182,13 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int | None =
             verifying(radius), "query_id long, id long, distance int"
         )
         pool = fresh if found is None else found.select("query_id", "id", "distance").unionByName(fresh)
-        spent = [x for x in (found, state) if x is not None]
+        spent = [x for x in (found, state) if x is not None and x is not codes_asked]
         order = W.partitionBy("query_id").orderBy("distance", "id")
-        ranked = pool.distinct().withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+        ranked = pool.distinct().withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k_found)
         found = scratch.store(ranked, "found")
         # After this round everything within this distance has been seen.
         seen = m * (radius + 1) - 1
-        kth = found.where(F.col("rank") == k).select("query_id", F.col("distance").alias("kth"))
+        kth = found.where(F.col("rank") == k_found).select("query_id", F.col("distance").alias("kth"))
         state = scratch.store(
             state.drop("reach")
             .join(kth, "query_id", "left")
@@ -200,4 +202,9 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10, bits: int | None =
         scratch.drop(table)
     if found is None:  # no queries
         return spark.createDataFrame([], empty)
-    return found.select("query_id", "rank", "id", "distance")
+    # From the codes back to the queries: each has its code's answers but for itself.
+    names = asked.join(codes_asked.select("code", "query_id"), "code").select("asked_id", "query_id")
+    answers = names.join(found.select("query_id", "id", "distance"), "query_id").where("id <> asked_id")
+    order = W.partitionBy("asked_id").orderBy("distance", "id")
+    ranked = answers.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+    return ranked.select(F.col("asked_id").alias("query_id"), "rank", "id", "distance")

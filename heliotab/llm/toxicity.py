@@ -9,7 +9,7 @@ vectors of (1 + log tf) * idf, scaled to length one.
 The search goes over all terms.  Frequent ones are columns of a matrix in single precision, the
 others inverted lists; both give a cosine whose error is bounded.  What may be among the k nearest
 by that bound gets its cosine in double precision from the whole vectors: the k nearest examples
-are exact.
+are exact.  No block of examples is skipped by the maxima of its terms: the README has the figures.
 
 A neighbour's vote is the part that shared terms have in its cosine, each weighted by what it tells
 about the label (the log-likelihood ratio of its presence in examples), and counts more the closer
@@ -233,9 +233,6 @@ class ExampleIndex:
         return np.round(np.concatenate(cosine), 9), np.concatenate(told)
 
 
-BlockMaxIndex = ExampleIndex  # its name before all terms were indexed
-
-
 def votes(
     best: np.ndarray, who: np.ndarray, told: np.ndarray, toxic: np.ndarray, stands_for: np.ndarray
 ) -> np.ndarray:

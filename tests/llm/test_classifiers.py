@@ -117,6 +117,41 @@ def test_toxicity_learns_words_and_names_its_evidence(spark):
     assert nobody == 0 and toxicity.rate(docs.limit(0), labels).count() == 0
 
 
+def test_scores_against_all_examples_in_plain_python(documents, labels):
+    """Cosines, votes and calibration of every document, one pair at a time."""
+    model = toxicity.fit(documents, labels, per_class=60)
+    examples, idf, k = model["index"].examples, model["idf"], model["k"]
+    tells = model["index"].evidence
+    table = []
+    for i in range(len(model["ids"])):
+        own = slice(examples.start[i], examples.start[i + 1])
+        table.append(dict(zip(examples.term[own].tolist(), examples.value[own].tolist(), strict=True)))
+    rows = documents.select("doc_id", "text").collect()
+    (_, counts), *more = model["vocabulary"].of(pa.array([r.text for r in rows]))
+    assert not more
+    got = {r.doc_id: r for r in toxicity.score(documents.select("doc_id", "text"), model).collect()}
+    for n, row in enumerate(rows):
+        own = slice(counts.start[n], counts.start[n + 1])
+        vector = {t: (1 + math.log(c)) * idf[t] for t, c in zip(counts.term[own].tolist(), counts.value[own].tolist(), strict=True)}
+        length = math.sqrt(sum(x * x for x in vector.values())) or 1.0
+        vector = {t: x / length for t, x in vector.items()}
+        cosine = [round(sum(x * e[t] for t, x in vector.items() if t in e), 9) for e in table]
+        near = [i for i in sorted(range(len(table)), key=lambda i: (-cosine[i], i)) if cosine[i] > 0][:k]
+        assert got[row.doc_id].evidence == model["ids"][near[:3]].tolist()
+        weight = [
+            sum(x * table[i][t] * (tells[t] + 1e-3) for t, x in vector.items() if t in table[i])
+            / (1.05 - min(cosine[i], 1)) * model["stands_for"][i]
+            for i in near
+        ]
+        want = model["base"]
+        if near:
+            vote = sum(w for w, i in zip(weight, near, strict=True) if model["toxic"][i]) / sum(weight)
+            want = min(max(float(np.interp(vote, *model["line"])), 0.0), 1.0)
+        assert abs(got[row.doc_id].score - want) < 1e-6
+        if abs(want - 0.3) > 1e-6:
+            assert got[row.doc_id].predicted == int(want >= 0.3)
+
+
 def test_only_true_copies_are_one_example(spark):
     rows = [(i, f"commonword it {'bad' if i % 3 == 0 else 'fine'} w{chr(97 + i % 26)}{chr(97 + i // 26)} so") for i in range(60)]
     rows += [(100 + i, "Commonword COPIED text, so it is") for i in range(5)] + [(105, "commonword copied copied text so it is")]
@@ -171,7 +206,7 @@ def test_nearest_examples_are_exact_with_ties():
     counts[100:150] = counts[0]
     examples = toxicity.weights(counts, np.ones(20))
     queries = toxicity.weights(rng.poisson(0.2, (80, 20)), np.ones(20))
-    best, who = toxicity.BlockMaxIndex(examples).nearest(queries, 7)
+    best, who = toxicity.ExampleIndex(examples).nearest(queries, 7)
     cosine = np.round(queries @ examples.T, 9)
     for q in range(80):
         order = [i for i in np.lexsort((np.arange(500), -cosine[q])) if cosine[q, i] > 0][:7]

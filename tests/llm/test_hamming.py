@@ -31,6 +31,16 @@ def test_random_codes_and_a_hot_code(spark, monkeypatch):
     assert result(hamming.top_k(codes, table(spark, queries), 10)) == brute(rows, queries, 10)
 
 
+def test_many_equal_query_codes_are_searched_once(spark, monkeypatch):
+    """A third of all rows share a code, and all of them ask."""
+    rng = np.random.default_rng(14)
+    rows = [(i, rng.integers(0, 256, 8, dtype=np.uint8).tobytes()) for i in range(200)]
+    rows += [(1000 + i, rows[7][1]) for i in range(100)]
+    queries = rows[:20] + rows[200:] + [(5000, rows[3][1]), (5001, rng.integers(0, 256, 8, dtype=np.uint8).tobytes())]
+    assert result(hamming.top_k(table(spark, rows), table(spark, queries), 10)) == brute(rows, queries, 10)
+    assert result(hamming.top_k(table(spark, rows[:5]), table(spark, queries), 10)) == brute(rows[:5], queries, 10)
+
+
 def test_two_words_few_rows_and_nothing(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.integers(0, 256, 16, dtype=np.uint8).tobytes()) for i in range(6)]
