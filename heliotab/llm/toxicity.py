@@ -142,12 +142,16 @@ class ExampleIndex:
         self.examples = Rows.of(examples)
         self.n = len(self.examples.start) - 1
         self.evidence = np.zeros(self.examples.width) if evidence is None else evidence
-        self._build()
+        self.column: np.ndarray | None = None
 
     def __reduce__(self):
         """Only the examples are sent; the lists are built again where they are used."""
         return ExampleIndex, (self.examples, self.evidence)
 
+    def release(self) -> None:
+        """Forget columns and lists; the next search builds them again."""
+        self.column = self.columns = self.start = self.place = self.weight = None
+
     def _build(self) -> None:
         rows, n = self.examples, self.n
         held = np.bincount(rows.term, minlength=rows.width)
@@ -179,6 +183,8 @@ class ExampleIndex:
         self, queries: Rows | np.ndarray, k: int, leave_out: np.ndarray | None = None
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``nearest``, and the cosines' parts weighted by the evidence of their terms."""
+        if self.column is None:
+            self._build()
         rows = Rows.of(queries)
         m = len(rows.start) - 1
         best, who, told = np.zeros((m, k)), np.full((m, k), -1), np.zeros((m, k))
@@ -363,6 +369,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, k: int = 15)
     examples = weights(counts, idf)
     index = ExampleIndex(examples, label_evidence(counts, toxic))
     vote = votes(*index.search(examples, k, np.arange(len(ids))), toxic, stands_for) if len(ids) else np.zeros(0)
+    index.release()  # the driver needs it no more
+    pa.default_memory_pool().release_unused()
     alone, near = np.isnan(vote), ~np.isnan(vote)
     prior = (toxic * stands_for).sum() / max(stands_for.sum(), 1e-9)
     base = ((toxic * stands_for)[alone].sum() + prior) / (stands_for[alone].sum() + 1)
