@@ -66,6 +66,45 @@ def test_repeated_passages_of_articles_stay_and_parts_agree(spark, monkeypatch):
     assert sorted(r.text for r in extract.main_text(df).collect()) == want
 
 
+def test_hidden_elements_and_names_inside_articles():
+    assert text_of('<article><p>a <svg width="1"/> b</p><p>c</p></article>') == ["a b", "c"]
+    assert text_of("<article><p>a</p><object data=x><p>b</p><p>c</p></article>") == ["a", "b", "c"]
+    assert text_of("<p>a<object><p>fallback</p></object>b <SVG><text>x</text></SVG >c<script>if (a<b) {}") == ["ab c"]
+    assert text_of('<script src="x"/><p>a</p><noscript>on</noscript><p>b') == ["a", "b"]
+    names = ['class="ad-hoc"', "class=notice", "class='share-price'", 'class="related-work"', 'id="menu-of-the-day"']
+    for name in names:
+        assert text_of(f"<article><p>a</p><div {name}>b</div><p><label>c</label></article>") == ["a", "b", "c"]
+    for name in ['class="ad-box"', 'id="related-posts"', "class='x shareButtons'", 'class="newsletter"', 'role="search"']:
+        assert text_of(f"<article><p>a</p><div {name}>b</div></article>") == ["a"]
+    assert text_of("<object>" * 20_000 + "end") == ["end"]
+
+
+def test_template_is_counted_over_the_whole_host(spark, monkeypatch):
+    """Against counts over all pages of the host, for parts of any size; equal rows are one page."""
+    rng = np.random.default_rng(3)
+    lines = [" ".join(f"l{i}x{j}" for j in range(9)) for i in range(40)]
+    pages = []
+    for i in range(200):
+        mine = [lines[j] for j in range(40) if rng.random() < j / 200]
+        own = " ".join(f"o{i}x{j}" for j in range(12))
+        pages.append((i, f"http://{'large' if i < 160 else 'small'}.example/{i}", mine, own))
+    rows = [(i, url, "".join(f"<p>{x}</p>" for x in [*mine, own])) for i, url, mine, own in pages]
+    rows += [rows[5]] * 4
+    want = {}
+    for i, url, mine, own in pages:
+        host = [other for other in pages if other[1].split("/")[2] == url.split("/")[2]]
+        n = len(host) + (4 if i < 160 else 0)
+        often = {x for x in mine if sum(x in other[2] for other in host) >= max(3, np.ceil(0.1 * n))}
+        want[i] = "\n\n".join([x for x in mine if x not in often] + [own])
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for part_bytes, part_pages in ((1 << 20, 32), (4000, 5), (300, 1)):
+        monkeypatch.setattr(extract, "PART_BYTES", part_bytes)
+        monkeypatch.setattr(extract, "PART_PAGES", part_pages)
+        got = extract.main_text(df).collect()
+        assert len(got) == 204
+        assert {r.page_id: r.text for r in got} == want
+
+
 def test_pages(spark, sf_dir):
     import html
     import re
