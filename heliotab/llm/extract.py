@@ -196,14 +196,14 @@ def blocks_of(page: str) -> list[tuple[str, bool, bool]]:
     return out
 
 
-def suffix_runs(tokens: np.ndarray, pages: np.ndarray, least_pages: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the runs of ``RUN`` tokens on ``least_pages`` distinct pages or more, and on how many.
+def suffix_runs(tokens: np.ndarray, pages: np.ndarray, least_pages: int) -> np.ndarray:
+    """Starts of the runs of ``RUN`` tokens that are on ``least_pages`` distinct pages or more.
 
-    ``pages`` rises; a run does not go over a page's end.  Equal runs stand side by side.
+    ``pages`` rises; a run does not go over a page's end.
     """
     n = len(tokens)
     if n < RUN:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64)
     end = np.searchsorted(pages, pages, side="right")
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
     # Suffixes that still may be repeated, by place; sorted by their first ``depth`` tokens.
@@ -224,8 +224,7 @@ def suffix_runs(tokens: np.ndarray, pages: np.ndarray, least_pages: int) -> tupl
     new_rank = np.concatenate(([True], by_rank[1:] != by_rank[:-1]))[: len(order)]
     new_page = new_rank | np.concatenate(([True], by_page[1:] != by_page[:-1]))[: len(order)]
     group = np.cumsum(new_rank) - 1
-    on = np.bincount(group, new_page).astype(np.int64)[group]
-    return order[on >= least_pages], on[on >= least_pages]
+    return order[np.bincount(group, new_page)[group] >= least_pages]
 
 
 def _cover(starts: np.ndarray, n: int) -> np.ndarray:
@@ -237,7 +236,7 @@ def _cover(starts: np.ndarray, n: int) -> np.ndarray:
 
 def repeated(tokens: np.ndarray, pages: np.ndarray, least_pages: int) -> np.ndarray:
     """Which tokens lie in a run of ``RUN`` or more that occurs on ``least_pages`` distinct pages."""
-    return _cover(suffix_runs(tokens, pages, least_pages)[0], len(tokens))
+    return _cover(suffix_runs(tokens, pages, least_pages), len(tokens))
 
 
 def _run_keys(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -282,21 +281,18 @@ def _least(pages: int, at_least: int = LEAST_PAGES) -> int:
 
 
 def _propose(key: tuple, part: pa.Table) -> pa.Table:
-    """Runs that a part proposes for its host, with its count of pages."""
-    host, number = (x.as_py() for x in key)
+    """Runs that a part proposes for its host."""
     own = _Part(part)
     tokens, row = own.counted()
     whole = part.column("parts")[0].as_py() == 1
     least = _least(own.rows, LEAST_PAGES if whole else 1)
-    starts, on = suffix_runs(tokens, row, least)
-    runs, first = np.unique(_run_keys(tokens, starts), return_index=True)
+    runs = np.unique(_run_keys(tokens, suffix_runs(tokens, row, least)))
     n = len(runs)
     return pa.table(
         {
-            "host": pa.array([host] * n, pa.string()),
+            "host": pa.array([key[0].as_py()] * n, pa.string()),
             "parts": pa.array([part.column("parts")[0].as_py()] * n, pa.int32()),
             "run": pa.array(runs, pa.int64()),
-            "pages": pa.array(on[first], pa.int64()),
         }
     )
 
@@ -316,6 +312,7 @@ def _count(key: tuple, part: pa.Table, proposed: pa.Table) -> pa.Table:
     return pa.table(
         {
             "host": pa.array([key[0].as_py()] * len(found), pa.string()),
+            "parts": pa.array(proposed.column("parts").to_numpy()[: len(found)], pa.int32()),
             "run": pa.array(found, pa.int64()),
             "pages": pa.array(on, pa.int64()),
         }
@@ -422,13 +419,11 @@ def main_text(pages: DataFrame) -> DataFrame:
         each = runs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         return each.groupBy("host", "part")
 
-    runs = parts.applyInArrow(_propose, "host string, parts int, run long, pages long")
-    proposed = runs.where("parts > 1").select("host", "parts", "run").distinct()
-    counts = parts.cogroup(to_parts(proposed)).applyInArrow(_count, "host string, run long, pages long")
+    proposed = parts.applyInArrow(_propose, "host string, parts int, run long").distinct()
+    counts = parts.cogroup(to_parts(proposed)).applyInArrow(_count, "host string, parts int, run long, pages long")
     # Whether the pages are the least share of the host's is left to the parts, which know these.
-    summed = counts.groupBy("host", "run").agg(F.sum("pages").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
-    repeats = summed.join(proposed, ["host", "run"]).select("host", "parts", "run", "pages")
-    repeats = repeats.unionByName(runs.where("parts = 1"))
+    summed = counts.groupBy("host", "parts", "run").agg(F.sum("pages").alias("pages"))
+    repeats = summed.where(F.col("pages") >= LEAST_PAGES)
     return parts.cogroup(to_parts(repeats)).applyInArrow(
         _keep,
         "page_id long, url string, text string, n_chars long, n_blocks long, template_blocks long, kept_blocks long",
