@@ -6,10 +6,12 @@ all documents of the corpus.  Documents that hold the same terms equally often,
 the same, are folded into one example that weighs as many as it stands for.  The examples are
 vectors of (1 + log tf) * idf, scaled to length one.
 
-The search goes over all terms.  Frequent ones are columns of a matrix in single precision, the
-others inverted lists; both give a cosine whose error is bounded.  What may be among the k nearest
-by that bound gets its cosine in double precision from the whole vectors: the k nearest examples
-are exact.  No block of examples is skipped by the maxima of its terms: the README has the figures.
+The search goes over all terms, in blocks of similar examples.  Inverted lists of the rarer terms are
+added up in double precision.  The frequent terms are columns, of which each block knows the maxima:
+the sum over the lists and the maxima bound the cosines of a block, and blocks whose bound is below
+the k-th cosine found in the most promising ones are skipped.  In the other blocks the columns are
+multiplied in single precision, with a bounded error; what may be among the k nearest by that gets
+its cosine in double precision.  The k nearest examples are exact.
 
 A neighbour's vote is the part that shared terms have in its cosine, each weighted by what it tells
 about the label (the log-likelihood ratio of its presence in examples), and counts more the closer
@@ -41,8 +43,11 @@ CUT = 0.3
 _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[97:123] = False
 _SEPARATOR[128:] = False
-_PORTION = 32  # documents searched at a time
-_CANDIDATES = 256  # examples compared at a time
+_BLOCK = 32  # examples bounded at once
+_LEAD = 64  # examples of the highest bounds, compared first
+_TURNS = 6  # steps towards the direction in which examples differ most
+_PORTION = 128  # documents searched at a time
+_ENTRIES = 1 << 21  # list entries held at a time (of one document, if it alone has more)
 _UNTOLD = 1e-3  # evidence of a term that tells nothing: its examples are neighbours all the same
 
 
@@ -135,40 +140,95 @@ def weights(counts: Rows | np.ndarray, idf: np.ndarray) -> Rows | np.ndarray:
     return out
 
 
+def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the values at each of n places."""
+    return np.bincount(at, values, n).astype(float, copy=False)  # numpy counts in integers where there are none
+
+
+def similar_first(columns: np.ndarray, size: int) -> np.ndarray:
+    """Examples (columns) in an order that has similar ones together, in blocks of ``size``.
+
+    They are halved again and again along the direction in which they differ most.
+    """
+    n = columns.shape[1]
+    out, todo = [], [np.arange(n)] if n and len(columns) else []
+    if not todo:
+        return np.arange(n)
+    while todo:
+        some = todo.pop()
+        if len(some) <= size:
+            out.append(some)
+            continue
+        part = columns if len(some) == n else columns[:, some]
+        mean = part.mean(axis=1)
+        way = np.cos(np.arange(len(columns), dtype=np.float32))  # any start that is the same everywhere
+        for _ in range(_TURNS):
+            along = way @ part - way @ mean
+            way = part @ along - mean * along.sum()
+            way /= max(np.linalg.norm(way), 1e-9)
+        some = some[np.argsort(way @ part, kind="stable")]
+        half = -(-len(some) // (2 * size)) * size
+        todo += [some[half:], some[:half]]
+    return np.concatenate(out)
+
+
 class ExampleIndex:
-    """All terms of the examples: frequent ones as columns, the others as inverted lists."""
+    """All terms of the examples, in blocks: frequent terms as columns with their maxima, others as lists.
+
+    Similar examples share a block.  A block's bound for a query is the largest sum that one of its
+    examples has over the lists, plus the maxima of its columns; a block whose bound is below the
+    k-th cosine found so far is skipped.  ``skipped`` of ``bounded`` blocks were.
+    """
 
-    def __init__(self, examples: Rows | np.ndarray, evidence: np.ndarray | None = None):
+    def __init__(self, examples: Rows | np.ndarray, evidence: np.ndarray | None = None, order: np.ndarray | None = None):
         self.examples = Rows.of(examples)
         self.n = len(self.examples.start) - 1
         self.evidence = np.zeros(self.examples.width) if evidence is None else evidence
+        self.order = order
         self.column: np.ndarray | None = None
+        self.bounded = self.skipped = 0
 
     def __reduce__(self):
-        """Only the examples are sent; the lists are built again where they are used."""
-        return ExampleIndex, (self.examples, self.evidence)
+        """Only the examples and their order are sent; the lists are built again where they are used."""
+        return ExampleIndex, (self.examples, self.evidence, self.order)
 
     def release(self) -> None:
         """Forget columns and lists; the next search builds them again."""
-        self.column = self.columns = self.start = self.place = self.weight = None
+        self.column = self.columns = self.most = self.start = self.place = self.weight = self.often = None
 
     def _build(self) -> None:
         rows, n = self.examples, self.n
         held = np.bincount(rows.term, minlength=rows.width)
         frequent = np.argsort(-held, kind="stable")[:MOST_FREQUENT]
         frequent = frequent[held[frequent] > FREQUENT * n]
+        width, blocks = len(frequent), -(-n // _BLOCK)
         self.column = np.full(rows.width, -1, np.int32)
-        self.column[frequent] = np.arange(len(frequent))
-        owner, column = rows.owners(), self.column[rows.term]
-        often = column >= 0
-        self.columns = np.zeros((len(frequent), n), np.float32)
-        self.columns[column[often], owner[often]] = rows.value[often]
-        by = np.flatnonzero(~often)
+        self.column[frequent] = np.arange(width)
+        owner, column = rows.owners().astype(np.int32), self.column[rows.term]
+        by = np.flatnonzero(column >= 0)
+        columns = np.zeros((width, n), np.float32)
+        columns[column[by], owner[by]] = rows.value[by]
+        if self.order is None:
+            self.order = similar_first(columns, _BLOCK)
+        self.position = np.empty(n, np.int64)
+        self.position[self.order] = np.arange(n)
+        # Examples are numbered by their place in the blocks from here on.
+        self.columns = np.zeros((blocks, width, _BLOCK), np.float32)
+        for j in range(blocks):
+            own = self.order[j * _BLOCK : (j + 1) * _BLOCK]
+            self.columns[j, :, : len(own)] = columns[:, own]
+        del columns
+        self.most = np.ascontiguousarray(self.columns.max(axis=2).T) if blocks else np.zeros((width, 0), np.float32)
+        by = by[np.argsort(self.position[owner[by]], kind="stable")]
+        start = np.searchsorted(self.position[owner[by]], np.arange(n + 1))
+        self.often = Rows(start, column[by], rows.value[by], width)
+        self.told_often = self.evidence[frequent] + _UNTOLD
+        by = np.flatnonzero(column < 0)
         by = by[np.argsort(rows.term[by], kind="stable")]
         self.start = np.searchsorted(rows.term[by], np.arange(rows.width + 1))
-        self.place, self.weight = owner[by].astype(np.int32), rows.value[by].astype(np.float32)
+        self.place, self.weight = self.position[owner[by]].astype(np.int32), rows.value[by]
         # The products add up to at most one; each of the sums and roundings errs by at most 2**-24.
-        self.error = (len(frequent) + 8) * 2.0**-24
+        self.error = (width + 8) * 2.0**-24
 
     def nearest(
         self, queries: Rows | np.ndarray, k: int, leave_out: np.ndarray | None = None
@@ -187,56 +247,94 @@ class ExampleIndex:
             self._build()
         rows = Rows.of(queries)
         m = len(rows.start) - 1
-        best, who, told = np.zeros((m, k)), np.full((m, k), -1), np.zeros((m, k))
-        full = np.zeros(rows.width)
-        for a in range(0, m if self.n else 0, _PORTION):
-            b = min(a + _PORTION, m)
-            rough = self._rough(rows, a, b)
-            if leave_out is not None:
-                rough[np.arange(b - a), leave_out[a:b]] = 0
-            place = max(self.n - k, 0)
-            least = np.partition(rough, place, axis=1)[:, place] - 2 * self.error
-            row, example = np.nonzero((rough > 0) & (rough >= least[:, None]))
-            at = np.searchsorted(row, np.arange(b - a + 1))
-            for q in np.flatnonzero(np.diff(at)):
-                own = slice(rows.start[a + q], rows.start[a + q + 1])
-                full[rows.term[own]] = rows.value[own]
-                some = example[at[q] : at[q + 1]]
-                cosine, part = self._exact(full, some)
-                full[rows.term[own]] = 0
-                top = np.lexsort((some, -cosine))[:k]
-                best[a + q, : len(top)], who[a + q, : len(top)], told[a + q, : len(top)] = cosine[top], some[top], part[top]
-        return best, who, told
-
-    def _rough(self, rows: Rows, a: int, b: int) -> np.ndarray:
-        """Cosines of queries a to b and all examples, to within ``error``."""
+        out = np.zeros((m, k)), np.full((m, k), -1), np.zeros((m, k))
+        entries = np.concatenate(([0], np.cumsum(np.where(self.column[rows.term] < 0, np.diff(self.start)[rows.term], 0))))
+        entries = entries[rows.start]
+        a = 0
+        while a < m and self.n:
+            b = int(np.searchsorted(entries, entries[a] + _ENTRIES, side="right")) - 1
+            b = min(max(b, a + 1), a + _PORTION, m)
+            self._portion(rows, a, b, k, None if leave_out is None else self.position[leave_out[a:b]], out)
+            a = b
+        return out
+
+    def _portion(self, rows: Rows, a: int, b: int, k: int, leave_out: np.ndarray | None, out: tuple) -> None:
+        """Answers of queries a to b."""
+        m, n, blocks = b - a, self.n, len(self.columns)
+        wide = blocks * _BLOCK
         own = slice(rows.start[a], rows.start[b])
         term, value = rows.term[own], rows.value[own]
-        owner = np.repeat(np.arange(b - a), np.diff(rows.start[a : b + 1]))
+        owner = np.repeat(np.arange(m), np.diff(rows.start[a : b + 1]))
         column = self.column[term]
         often, rest = column >= 0, np.flatnonzero(column < 0)
-        left = np.zeros((b - a, len(self.columns)), np.float32)
+        left = np.zeros((m, self.often.width))
         left[owner[often], column[often]] = value[often]
-        out = left @ self.columns
+        narrow = left.astype(np.float32)
+
+        # The lists are added up for every example, in double precision.
         first, size = self.start[term[rest]], self.start[term[rest] + 1] - self.start[term[rest]]
         entry = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
-        cell = np.repeat(owner[rest] * self.n, size) + self.place[entry]
-        out += np.bincount(cell, np.repeat(value[rest], size) * self.weight[entry], out.size).reshape(out.shape)
-        return out
-
-    def _exact(self, full: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Cosines of a whole vector and some examples, and these weighted by evidence."""
-        rows, cosine, told = self.examples, [], []
-        for a in range(0, len(some), _CANDIDATES):
-            first = rows.start[some[a : a + _CANDIDATES]]
-            size = rows.start[some[a : a + _CANDIDATES] + 1] - first
-            begin = np.cumsum(size) - size
-            entry = np.repeat(first - begin, size) + np.arange(size.sum())
-            term = rows.term[entry]
-            product = full[term] * rows.value[entry]
-            cosine.append(np.add.reduceat(product, begin))
-            told.append(np.add.reduceat(product * (self.evidence[term] + _UNTOLD), begin))
-        return np.round(np.concatenate(cosine), 9), np.concatenate(told)
+        cell = np.repeat(owner[rest] * wide, size) + self.place[entry]
+        product = np.repeat(value[rest], size) * self.weight[entry]
+        listed = _sums(cell, product, m * wide).reshape(m, wide)
+        if leave_out is not None:
+            listed[np.arange(m), leave_out] = -4  # below any cosine
+
+        bound = listed.reshape(m, blocks, _BLOCK).max(axis=2) + narrow @ self.most
+        rough = np.zeros((m, wide), np.float32)
+        ask = np.zeros((m, blocks), bool)
+        leads = min(-(-_LEAD // _BLOCK), blocks)
+        np.put_along_axis(ask, np.argpartition(-bound, leads - 1, axis=1)[:, :leads], True, axis=1)
+        self._blocks(rough, listed, narrow, ask)
+        least = self._kth(rough, k)
+        more = (bound > 0) & (bound >= least[:, None]) & ~ask
+        self._blocks(rough, listed, narrow, more)
+        self.bounded, self.skipped = self.bounded + ask.size, self.skipped + ask.size - int(ask.sum() + more.sum())
+
+        row, place = np.nonzero((rough > 0) & (rough >= self._kth(rough, k)[:, None]))
+        cosine = listed[row, place]
+        pair = np.full(m * wide, -1, np.int32)
+        pair[row * wide + place] = np.arange(len(row))
+        hit = pair[cell]
+        some = np.flatnonzero(hit >= 0)
+        which = rest[np.searchsorted(np.cumsum(size), some, side="right")]
+        told = _sums(hit[some], product[some] * (self.evidence[term[which]] + _UNTOLD), len(row))
+        ends = np.cumsum(self.often.start[place + 1] - self.often.start[place])
+        at = 0
+        while at < len(row):
+            to = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _ENTRIES, side="right")), at + 1)
+            part, told_part = self._columns_of(left, row[at:to], place[at:to])
+            cosine[at:to] += part
+            told[at:to] += told_part
+            at = to
+        cosine = np.round(cosine, 9)
+        example = self.order[place]
+        by = np.lexsort((example, -cosine, row))
+        rank = np.arange(len(by)) - np.searchsorted(row, np.arange(m))[row]
+        by, rank = by[rank < k], rank[rank < k]
+        for table, found in zip(out, (cosine, example, told), strict=True):
+            table[a + row[by], rank] = found[by]
+
+    def _kth(self, rough: np.ndarray, k: int) -> np.ndarray:
+        """The k-th largest cosine of each row, less what two of them may err."""
+        at = max(rough.shape[1] - k, 0)
+        return np.partition(rough, at, axis=1)[:, at] - 2 * self.error if rough.shape[1] >= k else np.zeros(len(rough))
+
+    def _blocks(self, rough: np.ndarray, listed: np.ndarray, left: np.ndarray, ask: np.ndarray) -> None:
+        """Cosines, to within ``error``, of the queries that ask for a block and its examples."""
+        for j in np.flatnonzero(ask.any(axis=0)):
+            own, some = slice(j * _BLOCK, (j + 1) * _BLOCK), np.flatnonzero(ask[:, j])
+            rough[some, own] = listed[some, own] + left[some] @ self.columns[j]
+
+    def _columns_of(self, left: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The frequent terms' part of some cosines, and of these weighted by evidence."""
+        first = self.often.start[place]
+        size = self.often.start[place + 1] - first
+        owner = np.repeat(np.arange(len(row)), size)
+        entry = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+        column = self.often.term[entry]
+        product = left.ravel()[np.repeat(row * self.often.width, size) + column] * self.often.value[entry]
+        return _sums(owner, product, len(row)), _sums(owner, product * self.told_often[column], len(row))
 
 
 def votes(

@@ -1,4 +1,5 @@
 import math
+import pickle
 from collections import Counter
 
 import numpy as np
@@ -214,6 +215,48 @@ def test_nearest_examples_are_exact_with_ties():
         assert np.allclose(best[q][: len(order)], cosine[q, order])
 
 
+def test_blocks_below_the_kth_cosine_are_skipped(monkeypatch):
+    """Exact whatever the portions are, with examples left out, and with less than all blocks compared."""
+    rng = np.random.default_rng(11)
+    topics = np.repeat(np.eye(8), 250, axis=1)  # eight topics of 250 terms each, and some terms of all
+    kinds = rng.integers(0, 8, 1500)
+    counts = (rng.random((1500, 2000)) < 0.3 * topics[kinds] * (np.arange(2000) % 3 + 0.1) / 2 + 0.004).astype(int)
+    counts[700:710] = counts[3]
+    monkeypatch.setattr(toxicity, "FREQUENT", 0.02)
+    examples = toxicity.weights(counts, 1 + rng.random(2000))
+    evidence = rng.random(2000)
+    cosine = np.round(examples[:200] @ examples.T, 9)
+    told = (examples[:200] * (evidence + 1e-3)) @ examples.T
+    np.fill_diagonal(cosine, -1)
+    for entries, portion in ((1 << 21, 128), (3000, 128), (1, 7)):
+        monkeypatch.setattr(toxicity, "_ENTRIES", entries)
+        monkeypatch.setattr(toxicity, "_PORTION", portion)
+        index = toxicity.ExampleIndex(examples, evidence)
+        queries = toxicity.Rows.of(examples[:200])
+        best, who, part = index.search(queries, 12, np.arange(200))
+        assert 0.4 * index.bounded < index.skipped < index.bounded == 200 * len(index.columns)
+        assert len(index.place) and index.columns.shape[1] > 100
+        for q in range(200):
+            near = np.lexsort((np.arange(1500), -cosine[q]))[:12]
+            assert who[q].tolist() == near.tolist() and np.allclose(best[q], cosine[q, near])
+            assert np.allclose(part[q], told[q, near])
+
+
+def test_an_index_is_sent_with_its_order():
+    rng = np.random.default_rng(12)
+    examples = toxicity.weights(rng.poisson(0.3, (90, 30)), np.ones(30))
+    index = toxicity.ExampleIndex(examples)
+    one = index.search(examples, 5)
+    index.release()
+    sent = pickle.loads(pickle.dumps(index))
+    assert sent.column is None and sorted(sent.order.tolist()) == list(range(90))
+    assert all((a == b).all() for a, b in zip(one, sent.search(examples, 5), strict=True))
+    for few in (0, 1, 3):
+        best, who = toxicity.ExampleIndex(examples[:few]).nearest(examples[:10], 5)
+        assert ((who >= 0).sum(axis=1) <= few).all() and (who < max(few, 1)).all()
+        assert not few or who[0, 0] == 0 and best[0, 0] == 1
+
+
 def test_isotonic_fit_rises():
     x, y = toxicity.isotonic(np.array([0.1, 0.2, 0.3, 0.4]), np.array([0.0, 1.0, 0.0, 1.0]), np.ones(4))
     assert (np.diff(y) > 0).all() and np.allclose(y, [0, 0.5, 1])
