@@ -28,7 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +47,7 @@ _BLOCK = 32  # examples bounded at once
 _LEAD = 64  # examples of the highest bounds, compared first
 _TURNS = 6  # steps towards the direction in which examples differ most
 _PORTION = 128  # documents searched at a time
-_ENTRIES = 1 << 21  # list entries held at a time (of one document, if it alone has more)
+_ENTRIES = 1 << 19  # list entries held at a time (of one document, if it alone has more)
 _UNTOLD = 1e-3  # evidence of a term that tells nothing: its examples are neighbours all the same
 
 
@@ -90,6 +90,13 @@ class Rows(NamedTuple):
         row, term = np.nonzero(table)
         return Rows(np.searchsorted(row, np.arange(len(table) + 1)), term, table[row, term], table.shape[1])
 
+    def part(self, some: np.ndarray) -> Rows:
+        """Some of the rows."""
+        size = self.start[some + 1] - self.start[some]
+        at = np.concatenate(([0], np.cumsum(size)))
+        entry = np.repeat(self.start[some] - at[:-1], size) + np.arange(at[-1])
+        return Rows(at, self.term[entry], self.value[entry], self.width)
+
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.start) - 1), np.diff(self.start))
 
@@ -192,32 +199,38 @@ class ExampleIndex:
         """Only the examples and their order are sent; the lists are built again where they are used."""
         return ExampleIndex, (self.examples, self.evidence, self.order)
 
-    def release(self) -> None:
-        """Forget columns and lists; the next search builds them again."""
-        self.column = self.columns = self.most = self.start = self.place = self.weight = self.often = None
+    def _frequent(self) -> np.ndarray:
+        held = np.bincount(self.examples.term, minlength=self.examples.width)
+        frequent = np.argsort(-held, kind="stable")[:MOST_FREQUENT]
+        return frequent[held[frequent] > FREQUENT * self.n]
+
+    def arrange(self) -> None:
+        """Find the order of the examples, once: it is sent along."""
+        frequent, rows = self._frequent(), self.examples
+        column = np.full(rows.width, -1, np.int32)
+        column[frequent] = np.arange(len(frequent))
+        columns = np.zeros((len(frequent), self.n), np.float32)
+        for i in range(self.n):
+            own = slice(rows.start[i], rows.start[i + 1])
+            at = column[rows.term[own]]
+            columns[at[at >= 0], i] = rows.value[own][at >= 0]
+        self.order = similar_first(columns, _BLOCK)
 
     def _build(self) -> None:
-        rows, n = self.examples, self.n
-        held = np.bincount(rows.term, minlength=rows.width)
-        frequent = np.argsort(-held, kind="stable")[:MOST_FREQUENT]
-        frequent = frequent[held[frequent] > FREQUENT * n]
+        if self.order is None:
+            self.arrange()
+        rows, n, frequent = self.examples, self.n, self._frequent()
         width, blocks = len(frequent), -(-n // _BLOCK)
         self.column = np.full(rows.width, -1, np.int32)
         self.column[frequent] = np.arange(width)
         owner, column = rows.owners().astype(np.int32), self.column[rows.term]
-        by = np.flatnonzero(column >= 0)
-        columns = np.zeros((width, n), np.float32)
-        columns[column[by], owner[by]] = rows.value[by]
-        if self.order is None:
-            self.order = similar_first(columns, _BLOCK)
+        # Examples are numbered by their place in the blocks from here on.
         self.position = np.empty(n, np.int64)
         self.position[self.order] = np.arange(n)
-        # Examples are numbered by their place in the blocks from here on.
+        by = np.flatnonzero(column >= 0)
         self.columns = np.zeros((blocks, width, _BLOCK), np.float32)
-        for j in range(blocks):
-            own = self.order[j * _BLOCK : (j + 1) * _BLOCK]
-            self.columns[j, :, : len(own)] = columns[:, own]
-        del columns
+        block, within = np.divmod(self.position[owner[by]], _BLOCK)
+        self.columns[block, column[by], within] = rows.value[by]
         self.most = np.ascontiguousarray(self.columns.max(axis=2).T) if blocks else np.zeros((width, 0), np.float32)
         by = by[np.argsort(self.position[owner[by]], kind="stable")]
         start = np.searchsorted(self.position[owner[by]], np.arange(n + 1))
@@ -393,6 +406,26 @@ def label_evidence(counts: Rows, toxic: np.ndarray) -> np.ndarray:
     ), 0)
 
 
+def _own_votes(spark: SparkSession, index: ExampleIndex, k: int, toxic: np.ndarray, stands_for: np.ndarray) -> np.ndarray:
+    """Each example's vote from the others, found by tasks: the driver builds no lists."""
+    index.arrange()
+    shared = spark.sparkContext.broadcast((index, toxic, stands_for))
+
+    def run(batches):
+        index, toxic, stands_for = shared.value
+        for batch in batches:
+            some = batch.column(0).to_numpy()
+            vote = votes(*index.search(index.examples.part(some), k, some), toxic, stands_for)
+            yield pa.record_batch({"example": pa.array(some), "vote": pa.array(vote)})
+
+    n, tasks = index.n, spark.sparkContext.defaultParallelism
+    found = spark.range(0, n, 1, min(tasks, -(-n // _PORTION))).mapInArrow(run, "example long, vote double").toArrow()
+    out = np.full(n, np.nan)
+    out[found.column("example").to_numpy()] = found.column("vote").to_numpy()
+    shared.unpersist()
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, k: int = 15) -> dict:
     """Vocabulary, idf, index and calibration from at most ``2 * per_class`` labelled documents."""
     spark = docs.sparkSession
@@ -466,9 +499,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, k: int = 15)
     stands_for = members * np.where(toxic == 1, sizes.get(1, 0) / drawn[1], sizes.get(0, 0) / drawn[0])
     examples = weights(counts, idf)
     index = ExampleIndex(examples, label_evidence(counts, toxic))
-    vote = votes(*index.search(examples, k, np.arange(len(ids))), toxic, stands_for) if len(ids) else np.zeros(0)
-    index.release()  # the driver needs it no more
-    pa.default_memory_pool().release_unused()
+    vote = _own_votes(spark, index, k, toxic, stands_for) if len(ids) else np.zeros(0)
     alone, near = np.isnan(vote), ~np.isnan(vote)
     prior = (toxic * stands_for).sum() / max(stands_for.sum(), 1e-9)
     base = ((toxic * stands_for)[alone].sum() + prior) / (stands_for[alone].sum() + 1)

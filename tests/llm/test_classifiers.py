@@ -247,9 +247,8 @@ def test_an_index_is_sent_with_its_order():
     examples = toxicity.weights(rng.poisson(0.3, (90, 30)), np.ones(30))
     index = toxicity.ExampleIndex(examples)
     one = index.search(examples, 5)
-    index.release()
     sent = pickle.loads(pickle.dumps(index))
-    assert sent.column is None and sorted(sent.order.tolist()) == list(range(90))
+    assert index.column is not None and sent.column is None and sorted(sent.order.tolist()) == list(range(90))
     assert all((a == b).all() for a, b in zip(one, sent.search(examples, 5), strict=True))
     for few in (0, 1, 3):
         best, who = toxicity.ExampleIndex(examples[:few]).nearest(examples[:10], 5)
@@ -257,6 +256,15 @@ def test_an_index_is_sent_with_its_order():
         assert not few or who[0, 0] == 0 and best[0, 0] == 1
 
 
+def test_votes_of_examples_by_tasks_are_those_of_one_search(spark):
+    rng = np.random.default_rng(13)
+    examples = toxicity.Rows.of(toxicity.weights(rng.poisson(0.2, (300, 60)), np.ones(60)))
+    toxic, stands_for = (rng.random(300) < 0.3).astype(float), 1 + rng.random(300)
+    index = toxicity.ExampleIndex(examples, rng.random(60))
+    one = toxicity.votes(*index.search(examples, 9, np.arange(300)), toxic, stands_for)
+    assert np.allclose(toxicity._own_votes(spark, index, 9, toxic, stands_for), one, equal_nan=True)
+
+
 def test_isotonic_fit_rises():
     x, y = toxicity.isotonic(np.array([0.1, 0.2, 0.3, 0.4]), np.array([0.0, 1.0, 0.0, 1.0]), np.ones(4))
     assert (np.diff(y) > 0).all() and np.allclose(y, [0, 0.5, 1])
