@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heliotab.jobs import stream as job
-from heliotab.plans import telemetry
+from heliotab.plans import queries, telemetry
 from heliotab.schemas import MODEL_COLUMNS, SENSOR_READING
 from heliotab.sources import testbed, topic, wire
 from heliotab.streaming import sinks, streams
@@ -203,3 +203,17 @@ def test_single_sink_stores_no_batch(spark, topic_dir, batch_rows, tmp_path, mon
         assert sum(p["numInputRows"] for p in query.recentProgress) == batch_rows.total()
     assert _rows(spark.read.parquet(f"{tmp_path}/all")) == batch_rows
     assert not _files(f"{tmp_path}/none", ".parquet")
+
+
+def test_publication_is_one_batch_of_many_files(spark, sf_dir, tmp_path):
+    """Written and read by several tasks, also where a publication has fewer rows than files."""
+    messages = wire.encode(testbed.readings(spark, sf_dir).select("planet_name", "tick")).persist()
+    files, topic = queries._files_per_batch(spark), f"{tmp_path}/topic"
+    for part in (messages.repartition(3), messages.filter("false"), messages.limit(1), messages.repartition(2 * files)):
+        queries._append_batch(part, topic)
+    assert len(_files(topic, ".parquet")) == 4 * files > 4
+    stream = _stream(spark, topic, files)
+    streams.await_all(spark, [streams.to_sinks(stream, {"out": sinks.parquet_sink(f"{tmp_path}/out")}, f"{tmp_path}/cp", interval="once")])
+    got = {r["batch"]: r["count"] for r in spark.read.parquet(f"{tmp_path}/out").groupBy("batch").count().collect()}
+    n = messages.count()
+    assert got == {0: n, 2: 1, 3: n}
