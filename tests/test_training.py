@@ -1,3 +1,5 @@
+import re
+
 import duckdb
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -170,3 +172,19 @@ def test_importances_without_a_split(spark):
     more = [(0, 0, 3, 8.0, 0.25), (0, 1, 4, 4.0, 0.5), (1, 0, None, 8.0, None), (2, 0, 4, 8.0, 0.5)]
     nodes = spark.createDataFrame(more, "tree int, node int, feature int, rows double, gain double")
     assert {r.feature: r.importance for r in trees.importances(nodes).collect()} == {3: 0.25, 4: 0.75}
+
+
+def test_fit_deals_rows_to_bounded_partitions(planets, monkeypatch):
+    """What a task holds does not grow with the table, and files and cores do not change the forest."""
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 50)
+    monkeypatch.setattr(training, "FEW_TASKS", 1)
+    n = planets.count()
+    one, many = (training.spread(planets.repartition(k)) for k in (1, 5))
+    parts = one.rdd.glom().map(lambda rows: [r.name for r in rows]).collect()
+    assert len(parts) == -(-n // 50) > 1 and sum(map(len, parts)) == n and max(map(len, parts)) < 100
+    assert parts == many.rdd.glom().map(lambda rows: [r.name for r in rows]).collect()
+    small = training.forest(numTrees=3, maxDepth=3)
+    # Means of the scaler are added up in another order: thresholds agree but for their last digits.
+    forests = [training.forest_of(training.fit(planets.repartition(k), small)).toDebugString.split("\n", 1)[1] for k in (1, 5)]
+    left, right = (re.sub(r"-?\d+\.\d+(E-?\d+)?", lambda m: f"{float(m[0]):.6f}", f) for f in forests)
+    assert left == right
