@@ -7,7 +7,7 @@ from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
-from heliotab.plans import reports, search, telemetry, training, trees
+from heliotab.plans import queries, reports, search, telemetry, training, trees
 from heliotab.schemas import NUMERIC_FEATURES
 from heliotab.sources import testbed
 from heliotab.workspace import stored
@@ -188,3 +188,13 @@ def test_fit_deals_rows_to_bounded_partitions(planets, monkeypatch):
     forests = [training.forest_of(training.fit(planets.repartition(k), small)).toDebugString.split("\n", 1)[1] for k in (1, 5)]
     left, right = (re.sub(r"-?\d+\.\d+(E-?\d+)?", lambda m: f"{float(m[0]):.6f}", f) for f in forests)
     assert left == right
+
+
+def test_best_params_searches_the_whole_grid_over_five_folds(spark, monkeypatch):
+    def stop(rows, classifier=None, grid=None, folds=5, **_):
+        assert classifier is None and grid is None and rows.count() > 0
+        raise RuntimeError(f"{folds} folds")
+
+    monkeypatch.setattr(search, "run", stop)
+    with pytest.raises(RuntimeError, match="^5 folds$"):
+        queries.best_params(spark, SF_DIR)
