@@ -217,3 +217,10 @@ def test_publication_is_one_batch_of_many_files(spark, sf_dir, tmp_path):
     got = {r["batch"]: r["count"] for r in spark.read.parquet(f"{tmp_path}/out").groupBy("batch").count().collect()}
     n = messages.count()
     assert got == {0: n, 2: 1, 3: n}
+
+
+def test_topic_of_one_publication_fits_one_batch(spark, sf_dir, monkeypatch):
+    """Whatever the number of tasks: documents carry the number of their batch."""
+    readings = testbed.readings(spark, sf_dir)
+    monkeypatch.setattr(testbed, "readings", lambda *_: readings.repartition(streams.MAX_FILES + 6))
+    assert 1 < len(_files(queries._published(spark, sf_dir), ".parquet")) <= streams.MAX_FILES
