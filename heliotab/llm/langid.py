@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from heliotab.llm.memory import release
 from heliotab.llm.shipping import ship
 from heliotab.llm.words import text_blocks
 
@@ -88,11 +89,10 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     texts = docs.select(F.col("text").cast("string").alias("text"))
     table = texts.mapInArrow(run, "feature long, docs long").groupBy("feature").agg(F.sum("docs").alias("docs")).toArrow()
-    found = dict(zip(table.column("feature").to_pylist(), table.column("docs").to_pylist(), strict=True))
-    total = found.pop(-1, 0)
-    frequency = np.zeros(FEATURES, np.int64)
-    for feature, n in found.items():
-        frequency[feature] = n
+    feature, n = (table.column(c).to_numpy() for c in ("feature", "docs"))
+    frequency, known = np.zeros(FEATURES, np.int64), feature >= 0
+    frequency[feature[known]] = n[known]
+    total = int(n[~known].sum())
     return frequency, total
 
 
@@ -228,4 +228,6 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 
 def identify(docs: DataFrame, **options) -> DataFrame:
     """Fit on the learnable rows of ``docs(doc_id, text, lang)`` and predict all of its rows."""
-    return predict(docs, fit(docs, **options))
+    predicted = predict(docs, fit(docs, **options))
+    release()
+    return predicted

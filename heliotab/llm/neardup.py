@@ -357,7 +357,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .join(signs, "rep")
     )
     more = scratch.store(_confirmed(matched(second, True), sets, percent), "links")
-    comps = components(links.unionByName(more), scratch)
+    # Round one's components stand for its links: they are stars already and settle in fewer rounds.
+    stars = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    comps = components(stars.unionByName(more), scratch)
     for spent in (members, sets, links, more):
         scratch.drop(spent)
 

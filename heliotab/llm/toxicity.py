@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heliotab.llm.langid import held_out
+from heliotab.llm.memory import release
 from heliotab.llm.storage import Scratch
 from heliotab.llm.words import mix, prefix_hash, span_hash, text_blocks, word_spans
 
@@ -242,6 +243,8 @@ class ExampleIndex:
         self.place, self.weight = self.position[owner[by]].astype(np.int32), rows.value[by]
         # The products add up to at most one; each of the sums and roundings errs by at most 2**-24.
         self.error = (width + 8) * 2.0**-24
+        del owner, column, by, block, within
+        release()  # each worker builds an index beside what its earlier tasks left
 
     def nearest(
         self, queries: Rows | np.ndarray, k: int, leave_out: np.ndarray | None = None
@@ -422,7 +425,7 @@ def _own_votes(spark: SparkSession, index: ExampleIndex, k: int, toxic: np.ndarr
     found = spark.range(0, n, 1, min(tasks, -(-n // _PORTION))).mapInArrow(run, "example long, vote double").toArrow()
     out = np.full(n, np.nan)
     out[found.column("example").to_numpy()] = found.column("vote").to_numpy()
-    shared.unpersist()
+    shared.destroy()
     return out
 
 
@@ -493,7 +496,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, k: int = 15)
     seen = np.zeros(v + 1)
     seen[found.column("term").to_numpy()] = found.column("docs").to_numpy()
     idf = np.log((1 + seen[v]) / (1 + seen[:v])) + 1
-    shared.unpersist()
+    shared.destroy()
 
     drawn = {t: max(members[toxic == t].sum(), 1) for t in (0, 1)}
     stands_for = members * np.where(toxic == 1, sizes.get(1, 0) / drawn[1], sizes.get(0, 0) / drawn[0])
@@ -523,6 +526,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     at = names.index("text")
 
     def run(batches):
+        release()
         m = shared.value
         for batch in batches:
             for row, counts in m["vocabulary"].of(batch.column(at).cast(pa.string())):
@@ -549,4 +553,6 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
 
 def rate(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Fit on the learnable labelled rows and score all rows of ``docs(doc_id, text)``."""
-    return score(docs, fit(docs, labels, **options))
+    scored = score(docs, fit(docs, labels, **options))
+    release()
+    return scored
