@@ -81,3 +81,19 @@ def test_tables_beyond_the_broadcast_size(spark, sf_dir, monkeypatch):
     with settings(spark, autoBroadcastJoinThreshold="-1"):
         shuffled = testbed.readings(spark, sf_dir).collect()
     assert sorted(map(str, shuffled)) == sorted(map(str, expected))
+
+
+def test_hashed_lookup_sorts_neither_side(spark):
+    big = spark.range(1000).selectExpr("id", "if(id % 10 = 0, NULL, id % 7) AS k")
+    lookup = spark.range(5).selectExpr("id AS k", "concat('n', id) AS name")
+    plain, hashed = (joins.lookup_join(big, lookup, "k", 5, max_bytes=0, hashed=h) for h in (False, True))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(tuple, hashed.collect())) == sorted(map(tuple, plain.collect()))
+        plan = hashed._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        small = joins.lookup_join(big, lookup, "k", 5, hashed=True)
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

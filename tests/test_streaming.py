@@ -272,3 +272,12 @@ def test_messages_are_decoded_for_one_of_three_sinks(spark, sf_dir, monkeypatch)
     monkeypatch.setattr(wire, "decode", lambda *args, **kw: decoded.append(1) or usual(*args, **kw))
     sinks_of = queries.stream_parquet_append(spark, sf_dir).groupBy("sink").count().collect()
     assert len(decoded) == 1 and len(sinks_of) == 3 and len({r["count"] for r in sinks_of}) == 1
+
+
+def test_topic_files_keep_no_dictionary_of_messages(spark, sf_dir, tmp_path):
+    parquet = pytest.importorskip("pyarrow.parquet")
+    messages = spark.range(2000).selectExpr("'p' AS key", "concat('{\"tick\":', id, '}') AS value")
+    queries._append_messages(messages.coalesce(1), str(tmp_path / "topic"))
+    (file,) = (tmp_path / "topic").glob("*.parquet")
+    columns = parquet.ParquetFile(file).metadata.row_group(0)
+    assert columns.column(0).has_dictionary_page and not columns.column(1).has_dictionary_page
