@@ -7,11 +7,11 @@ the same, are folded into one example that weighs as many as it stands for.  The
 vectors of (1 + log tf) * idf, scaled to length one.
 
 The search goes over all terms, in blocks of similar examples.  Inverted lists of the rarer terms are
-added up in double precision.  The frequent terms are columns, of which each block knows the maxima:
+added up, one document at a time.  The frequent terms are columns, of which each block knows the maxima:
 the sum over the lists and the maxima bound the cosines of a block, and blocks whose bound is below
 the k-th cosine found in the most promising ones are skipped.  In the other blocks the columns are
-multiplied in single precision, with a bounded error; what may be among the k nearest by that gets
-its cosine in double precision.  The k nearest examples are exact.
+multiplied.  All this is in single precision, with a bounded error; what may be among the k nearest by
+that gets its cosine over all terms in double precision.  The k nearest examples are exact.
 
 A neighbour's vote is the part that shared terms have in its cosine, each weighted by what it tells
 about the label (the log-likelihood ratio of its presence in examples), and counts more the closer
@@ -47,8 +47,8 @@ _SEPARATOR[128:] = False
 _BLOCK = 32  # examples bounded at once
 _LEAD = 64  # examples of the highest bounds, compared first
 _TURNS = 6  # steps towards the direction in which examples differ most
-_PORTION = 128  # documents searched at a time
-_ENTRIES = 1 << 19  # list entries held at a time (of one document, if it alone has more)
+_PORTION = 512  # documents searched at a time
+_ENTRIES = 1 << 17  # terms of documents compared with an example at a time (of one, if it alone has more)
 _UNTOLD = 1e-3  # evidence of a term that tells nothing: its examples are neighbours all the same
 
 
@@ -233,16 +233,13 @@ class ExampleIndex:
         block, within = np.divmod(self.position[owner[by]], _BLOCK)
         self.columns[block, column[by], within] = rows.value[by]
         self.most = np.ascontiguousarray(self.columns.max(axis=2).T) if blocks else np.zeros((width, 0), np.float32)
-        by = by[np.argsort(self.position[owner[by]], kind="stable")]
-        start = np.searchsorted(self.position[owner[by]], np.arange(n + 1))
-        self.often = Rows(start, column[by], rows.value[by], width)
-        self.told_often = self.evidence[frequent] + _UNTOLD
         by = np.flatnonzero(column < 0)
         by = by[np.argsort(rows.term[by], kind="stable")]
         self.start = np.searchsorted(rows.term[by], np.arange(rows.width + 1))
-        self.place, self.weight = self.position[owner[by]].astype(np.int32), rows.value[by]
+        self.place, self.weight = self.position[owner[by]].astype(np.int32), rows.value[by].astype(np.float32)
+        self.told, self.spread = self.evidence + _UNTOLD, np.zeros(rows.width)
         # The products add up to at most one; each of the sums and roundings errs by at most 2**-24.
-        self.error = (width + 8) * 2.0**-24
+        self.error = (width + 12) * 2.0**-24
         del owner, column, by, block, within
         release()  # each worker builds an index beside what its earlier tasks left
 
@@ -264,73 +261,87 @@ class ExampleIndex:
         rows = Rows.of(queries)
         m = len(rows.start) - 1
         out = np.zeros((m, k)), np.full((m, k), -1), np.zeros((m, k))
-        entries = np.concatenate(([0], np.cumsum(np.where(self.column[rows.term] < 0, np.diff(self.start)[rows.term], 0))))
-        entries = entries[rows.start]
-        a = 0
-        while a < m and self.n:
-            b = int(np.searchsorted(entries, entries[a] + _ENTRIES, side="right")) - 1
-            b = min(max(b, a + 1), a + _PORTION, m)
-            self._portion(rows, a, b, k, None if leave_out is None else self.position[leave_out[a:b]], out)
-            a = b
+        for a in range(0, m if self.n else 0, _PORTION):
+            b = min(a + _PORTION, m)
+            self._portion(rows, a, b, k, None if leave_out is None else leave_out[a:b], out)
         return out
 
     def _portion(self, rows: Rows, a: int, b: int, k: int, leave_out: np.ndarray | None, out: tuple) -> None:
         """Answers of queries a to b."""
-        m, n, blocks = b - a, self.n, len(self.columns)
-        wide = blocks * _BLOCK
-        own = slice(rows.start[a], rows.start[b])
-        term, value = rows.term[own], rows.value[own]
-        owner = np.repeat(np.arange(m), np.diff(rows.start[a : b + 1]))
-        column = self.column[term]
-        often, rest = column >= 0, np.flatnonzero(column < 0)
-        left = np.zeros((m, self.often.width))
-        left[owner[often], column[often]] = value[often]
-        narrow = left.astype(np.float32)
-
-        # The lists are added up for every example, in double precision.
-        first, size = self.start[term[rest]], self.start[term[rest] + 1] - self.start[term[rest]]
-        entry = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
-        cell = np.repeat(owner[rest] * wide, size) + self.place[entry]
-        product = np.repeat(value[rest], size) * self.weight[entry]
-        listed = _sums(cell, product, m * wide).reshape(m, wide)
+        m, (blocks, width, _) = b - a, self.columns.shape
+        left, listed = np.zeros((m, width), np.float32), np.empty((m, blocks * _BLOCK), np.float32)
+        for i in range(m):
+            self._add_lists(rows.term[rows.start[a + i] : rows.start[a + i + 1]],
+                            rows.value[rows.start[a + i] : rows.start[a + i + 1]], left[i], listed[i])
         if leave_out is not None:
-            listed[np.arange(m), leave_out] = -4  # below any cosine
+            listed[np.arange(m), self.position[leave_out]] = -4  # below any cosine
 
-        bound = listed.reshape(m, blocks, _BLOCK).max(axis=2) + narrow @ self.most
-        rough = np.zeros((m, wide), np.float32)
+        bound = listed.reshape(m, blocks, _BLOCK).max(axis=2) + left @ self.most
+        rough = np.zeros(listed.shape, np.float32)
         ask = np.zeros((m, blocks), bool)
         leads = min(-(-_LEAD // _BLOCK), blocks)
-        np.put_along_axis(ask, np.argpartition(-bound, leads - 1, axis=1)[:, :leads], True, axis=1)
-        self._blocks(rough, listed, narrow, ask)
-        least = self._kth(rough, k)
+        first = np.argpartition(-bound, leads - 1, axis=1)[:, :leads]
+        np.put_along_axis(ask, first, True, axis=1)
+        self._blocks(rough, listed, left, ask)
+        lead = np.take_along_axis(rough.reshape(m, blocks, _BLOCK), first[:, :, None], axis=1).reshape(m, -1)
+        least = self._kth(lead, k)
         more = (bound > 0) & (bound >= least[:, None]) & ~ask
-        self._blocks(rough, listed, narrow, more)
+        self._blocks(rough, listed, left, more)
         self.bounded, self.skipped = self.bounded + ask.size, self.skipped + ask.size - int(ask.sum() + more.sum())
 
         row, place = np.nonzero((rough > 0) & (rough >= self._kth(rough, k)[:, None]))
-        cosine = listed[row, place]
-        pair = np.full(m * wide, -1, np.int32)
-        pair[row * wide + place] = np.arange(len(row))
-        hit = pair[cell]
-        some = np.flatnonzero(hit >= 0)
-        which = rest[np.searchsorted(np.cumsum(size), some, side="right")]
-        told = _sums(hit[some], product[some] * (self.evidence[term[which]] + _UNTOLD), len(row))
-        ends = np.cumsum(self.often.start[place + 1] - self.often.start[place])
-        at = 0
-        while at < len(row):
-            to = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _ENTRIES, side="right")), at + 1)
-            part, told_part = self._columns_of(left, row[at:to], place[at:to])
-            cosine[at:to] += part
-            told[at:to] += told_part
-            at = to
-        cosine = np.round(cosine, 9)
         example = self.order[place]
+        cosine, told = self._exact(rows, a + row, example)
+        cosine = np.round(cosine, 9)
         by = np.lexsort((example, -cosine, row))
         rank = np.arange(len(by)) - np.searchsorted(row, np.arange(m))[row]
         by, rank = by[rank < k], rank[rank < k]
         for table, found in zip(out, (cosine, example, told), strict=True):
             table[a + row[by], rank] = found[by]
 
+    def _add_lists(self, term: np.ndarray, value: np.ndarray, left: np.ndarray, listed: np.ndarray) -> None:
+        """One query's frequent terms, and the sums of its other terms' lists for every example.
+
+        One query at a time: what it gathers stays in a core's own cache.
+        """
+        column = self.column[term]
+        often = column >= 0
+        left[column[often]] = value[often]
+        rest = ~often
+        term, value = term[rest], value[rest]
+        first, size = self.start[term], self.start[term + 1] - self.start[term]
+        entry = np.repeat(first - np.cumsum(size) + size, size)
+        entry += np.arange(len(entry))
+        product = np.repeat(value.astype(np.float32), size)
+        product *= self.weight.take(entry)
+        listed[:] = _sums(self.place.take(entry), product, len(listed))
+
+    def _exact(self, rows: Rows, row: np.ndarray, example: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines of some queries and examples in double precision, and these weighted by evidence.
+
+        One example at a time is spread out, for all queries that it may be near to.
+        """
+        cosine, told = np.zeros(len(row)), np.zeros(len(row))
+        by = np.argsort(example, kind="stable")
+        begins, sizes = rows.start[row[by]], np.diff(rows.start)[row[by]]
+        ends = np.cumsum(sizes)
+        borders = np.flatnonzero(np.diff(example[by], prepend=-1, append=self.n)).tolist()
+        for at, stop in zip(borders[:-1], borders[1:], strict=True):
+            own = slice(self.examples.start[example[by[at]]], self.examples.start[example[by[at]] + 1])
+            self.spread[self.examples.term[own]] = self.examples.value[own]
+            while at < stop:
+                done = ends[at] - sizes[at]
+                to = min(max(int(np.searchsorted(ends, done + _ENTRIES, side="right")), at + 1), stop)
+                some = [slice(x, x + n) for x, n in zip(begins[at:to].tolist(), sizes[at:to].tolist(), strict=True)]
+                term = np.concatenate([rows.term[x] for x in some])
+                product = self.spread[term] * np.concatenate([rows.value[x] for x in some])
+                first = ends[at:to] - sizes[at:to] - done
+                cosine[by[at:to]] = np.add.reduceat(product, first)
+                told[by[at:to]] = np.add.reduceat(product * self.told[term], first)
+                at = to
+            self.spread[self.examples.term[own]] = 0
+        return cosine, told
+
     def _kth(self, rough: np.ndarray, k: int) -> np.ndarray:
         """The k-th largest cosine of each row, less what two of them may err."""
         at = max(rough.shape[1] - k, 0)
@@ -342,16 +353,6 @@ class ExampleIndex:
             own, some = slice(j * _BLOCK, (j + 1) * _BLOCK), np.flatnonzero(ask[:, j])
             rough[some, own] = listed[some, own] + left[some] @ self.columns[j]
 
-    def _columns_of(self, left: np.ndarray, row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The frequent terms' part of some cosines, and of these weighted by evidence."""
-        first = self.often.start[place]
-        size = self.often.start[place + 1] - first
-        owner = np.repeat(np.arange(len(row)), size)
-        entry = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
-        column = self.often.term[entry]
-        product = left.ravel()[np.repeat(row * self.often.width, size) + column] * self.often.value[entry]
-        return _sums(owner, product, len(row)), _sums(owner, product * self.told_often[column], len(row))
-
 
 def votes(
     best: np.ndarray, who: np.ndarray, told: np.ndarray, toxic: np.ndarray, stands_for: np.ndarray

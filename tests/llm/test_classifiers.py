@@ -242,6 +242,29 @@ def test_blocks_below_the_kth_cosine_are_skipped(monkeypatch):
             assert np.allclose(part[q], told[q, near])
 
 
+def test_lists_are_added_up_one_query_at_a_time(monkeypatch):
+    """What a query gathers from the lists stays small, however many are searched together."""
+    rng = np.random.default_rng(14)
+    counts = (rng.random((400, 900)) < rng.random(900) ** 4 * 0.3).astype(int)
+    examples, evidence = toxicity.weights(counts, 1 + rng.random(900)), rng.random(900)
+    index, asked, sums = toxicity.ExampleIndex(examples, evidence), [], toxicity._sums
+
+    def watched(at, values, n):
+        asked.append((len(at), n))
+        return sums(at, values, n)
+
+    monkeypatch.setattr(toxicity, "_sums", watched)
+    best, who, part = index.search(examples, 9)
+    lists = [np.diff(index.start)[np.flatnonzero((row > 0) & (index.column < 0))].sum() for row in examples]
+    assert max(n for _, n in asked) <= len(index.columns) * toxicity._BLOCK
+    assert max(size for size, _ in asked) <= max(lists) < sum(lists) / 100
+    cosine = np.round(examples @ examples.T, 9)
+    for q in range(400):
+        near = np.lexsort((np.arange(400), -cosine[q]))[:9]
+        assert who[q].tolist() == near.tolist() and np.allclose(best[q], cosine[q, near])
+        assert np.allclose(part[q], ((examples[q] * (evidence + 1e-3)) @ examples.T)[near])
+
+
 def test_an_index_is_sent_with_its_order():
     rng = np.random.default_rng(12)
     examples = toxicity.weights(rng.poisson(0.3, (90, 30)), np.ones(30))
