@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 SHINGLE_WORDS = 5
 
 _rng = np.random.default_rng(20240607)

@@ -1,9 +1,12 @@
 import os
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from heliotab.llm import langid, memory, neardup, toxicity
+from heliotab.llm import langid, memory, neardup, toxicity, words
 
 
 def resident():
@@ -50,3 +53,22 @@ def test_second_components_start_from_stars(spark, monkeypatch):
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 85)
     assert {r.component_id for r in got.select(F.col("component_id")).collect()} == {0}
     assert seen[0] > 1 and seen[1] < seen[0]
+
+
+@pytest.mark.parametrize("step", ["terms", "shingles"])
+def test_texts_take_little_memory_beside_their_batch(monkeypatch, step):
+    """Two workers share an executor with its JVM: a batch of 8 MB is worked on in small blocks."""
+    monkeypatch.setattr(words, "_powers", None)
+    rng = np.random.default_rng(15)
+    texts = pa.array([" ".join(f"word{i}" for i in rng.integers(0, 50_000, 200)) for _ in range(4000)])
+    assert texts.nbytes > 7_000_000
+    tracemalloc.start()
+    if step == "terms":
+        for _ in toxicity._term_stream(texts):
+            pass
+    else:
+        for _, data, offsets in words.text_blocks(texts):
+            words.shingle_stream(data, offsets)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60_000_000
